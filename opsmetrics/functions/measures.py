@@ -30,13 +30,17 @@ def micros_to_interval(c: Column) -> Column:
     )
 
 
-def per_hour(qty: Column, seconds: Column, scale: int | None = 2) -> Column:
-    """Quantity per clocked hour: qty / seconds * 60 * 60.
+def per_hour(qty: Column, seconds: Column, scale: int | None = 2, factors: tuple[float, ...] = (60.0, 60.0)) -> Column:
+    """Quantity per clocked hour: qty / seconds, times each of ``factors``.
 
+    The reports scale by 60 twice, the hourly tables by 3600 once (the
+    order of float operations is kept so results are bit-identical).
     With ``scale`` the value is rounded half away from zero on a decimal,
     as a NUMERIC round does; ``None`` keeps the raw double.
     """
-    rate = F.try_divide(qty.cast("double"), seconds.cast("double")) * F.lit(60.0) * F.lit(60.0)
+    rate = F.try_divide(qty.cast("double"), seconds.cast("double"))
+    for f in factors:
+        rate = rate * F.lit(float(f))
     if scale is None:
         return rate
     return F.round(rate.cast("decimal(38,10)"), scale).cast("double")

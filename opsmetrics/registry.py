@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .functions.windows import ReportWindow
-from .plans import reports
+from .plans import hourly, reports
 from .sources.testdata import testdata_roles
 
 # Whole month of the test data (every item, task and log row lies inside).
@@ -30,10 +30,40 @@ def _report(key: str) -> QueryFn:
     return run
 
 
+def q_hourly_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly.hourly_time(testdata_roles(spark, sf_dir).worklog, MONTH).drop("working_us")
+
+
+def q_pick_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = testdata_roles(spark, sf_dir)
+    return hourly.pick_detail(r.items, r.tasks, MONTH)
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly.hourly_pipeline(testdata_roles(spark, sf_dir), MONTH)
+
+
+def q_productivity_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _raw(spark, sf_dir).drop("working_us")
+
+
+def q_hourly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly.hourly_report(_raw(spark, sf_dir))
+
+
+def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly.daily_report(_raw(spark, sf_dir))
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for key in reports.REPORTS:
         out[key] = _report(key)
+    out["hourly_time"] = q_hourly_time
+    out["pick_detail"] = q_pick_detail
+    out["productivity_raw"] = q_productivity_raw
+    out["hourly_report"] = q_hourly_report
+    out["daily_report"] = q_daily_report
     return out
 
 
@@ -41,4 +71,9 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for key in reports.REPORTS:
         out[key] = oracle.report_sql(key, MONTH)
+    out["hourly_time"] = oracle.hourly_time_sql(MONTH)
+    out["pick_detail"] = oracle.pick_detail_sql(MONTH)
+    out["productivity_raw"] = oracle.productivity_raw_sql(MONTH)
+    out["hourly_report"] = oracle.hourly_report_sql(MONTH)
+    out["daily_report"] = oracle.daily_report_sql(MONTH)
     return out
