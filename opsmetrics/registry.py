@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .functions.windows import ReportWindow
-from .plans import hourly, reports
+from .plans import hourly, receipts, reports
 from .sources.testdata import testdata_roles
 
 # Whole month of the test data (every item, task and log row lies inside).
@@ -55,6 +55,10 @@ def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.daily_report(_raw(spark, sf_dir))
 
 
+def q_grc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return receipts.grc_report(testdata_roles(spark, sf_dir), MONTH)
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for key in reports.REPORTS:
@@ -64,6 +68,7 @@ def queries() -> dict[str, QueryFn]:
     out["productivity_raw"] = q_productivity_raw
     out["hourly_report"] = q_hourly_report
     out["daily_report"] = q_daily_report
+    out["grc_report"] = q_grc_report
     return out
 
 
@@ -76,4 +81,5 @@ def oracle_sql() -> dict[str, str]:
     out["productivity_raw"] = oracle.productivity_raw_sql(MONTH)
     out["hourly_report"] = oracle.hourly_report_sql(MONTH)
     out["daily_report"] = oracle.daily_report_sql(MONTH)
+    out["grc_report"] = oracle.grc_sql(MONTH)
     return out
