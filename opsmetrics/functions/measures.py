@@ -44,3 +44,14 @@ def per_hour(qty: Column, seconds: Column, scale: int | None = 2, factors: tuple
     if scale is None:
         return rate
     return F.round(rate.cast("decimal(38,10)"), scale).cast("double")
+
+
+def interval_seconds(iv: Column) -> Column:
+    """Seconds in a DAY TO SECOND interval, from its day/hour/minute/second parts (fraction kept)."""
+    parts = (
+        F.extract(F.lit("DAY"), iv).cast("decimal(38,6)") * F.lit(86400)
+        + F.extract(F.lit("HOUR"), iv).cast("decimal(38,6)") * F.lit(3600)
+        + F.extract(F.lit("MINUTE"), iv).cast("decimal(38,6)") * F.lit(60)
+        + F.extract(F.lit("SECOND"), iv).cast("decimal(38,6)")
+    )
+    return parts.cast("double")

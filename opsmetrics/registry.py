@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle
+from . import catalog, oracle
 from .functions.windows import ReportWindow
 from .plans import hourly, receipts, reports
 from .sources.testdata import testdata_roles
@@ -69,6 +69,8 @@ def queries() -> dict[str, QueryFn]:
     out["hourly_report"] = q_hourly_report
     out["daily_report"] = q_daily_report
     out["grc_report"] = q_grc_report
+    for key, (fn, _) in catalog.build(MONTH).items():
+        out[key] = fn
     return out
 
 
@@ -82,4 +84,6 @@ def oracle_sql() -> dict[str, str]:
     out["hourly_report"] = oracle.hourly_report_sql(MONTH)
     out["daily_report"] = oracle.daily_report_sql(MONTH)
     out["grc_report"] = oracle.grc_sql(MONTH)
+    for key, (_, sql) in catalog.build(MONTH).items():
+        out[key] = sql
     return out
