@@ -7,17 +7,28 @@ window is the whole month the data covers, so every row takes part.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import catalog, oracle
 from .functions.windows import ReportWindow
-from .plans import hourly, receipts, reports
+from .plans import hourly, incremental, receipts, reports
+from .session import checkpoint_dir
+from .sources import sinks
+from .streaming import hourly_items
 from .sources.testdata import testdata_roles
 
 # Whole month of the test data (every item, task and log row lies inside).
 MONTH = ReportWindow.of("2024-01-01 00:00:00", "2024-01-31 23:59:59")
+# "now" of a run just after the month: the next window ends 2024-01-31 23:59:59.
+AFTER_MONTH = dt.datetime(2024, 2, 1, 0, 30)
+# Two consecutive hourly-job runs that together cover the month.
+RUNS = (dt.datetime(2024, 1, 16, 0, 30), AFTER_MONTH)
+BOOTSTRAP = dt.datetime(2024, 1, 1, 0, 0)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +70,62 @@ def q_grc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return receipts.grc_report(testdata_roles(spark, sf_dir), MONTH)
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """Fresh folder under the shared checkpoint directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = reports.report(testdata_roles(spark, sf_dir), "report_picking", MONTH, hours_as="hours", order=False)
+    path = _scratch(spark, "csv")
+    sinks.write_csv(df, path)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "warehouse")
+    return sinks.read_csv(spark, path, schema)
+
+
+def q_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = hourly.daily_report(_raw(spark, sf_dir))
+    path = _scratch(spark, "append")
+    sinks.append(daily, path)
+    sinks.append(daily, path)
+    return spark.read.parquet(path)
+
+
+def q_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.high_watermark(hourly.hourly_report(_raw(spark, sf_dir)))
+
+
+def q_next_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.next_window_frame(hourly.hourly_report(_raw(spark, sf_dir)), AFTER_MONTH)
+
+
+def q_incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roles = testdata_roles(spark, sf_dir)
+    target = _scratch(spark, "increment")
+    for now in RUNS:
+        incremental.run_increment(spark, roles, target, now, mode="upsert", bootstrap=BOOTSTRAP)
+    return spark.read.parquet(f"{target}/daily")
+
+
+def q_stream_hourly_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roles = testdata_roles(spark, sf_dir)
+    base = _scratch(spark, "stream")
+    detail = hourly.pick_detail(roles.items, roles.tasks, MONTH)
+    detail.withColumn("day", F.to_date("lastmodifieddate")).write.partitionBy("day").parquet(f"{base}/in")
+    return hourly_items.run_available(
+        spark, f"{base}/in", roles.productdetails, f"{base}/out", f"{base}/checkpoint", delay="0 seconds"
+    )
+
+
+def _run_windows() -> list[ReportWindow]:
+    out, mark = [], None
+    for i, now in enumerate(RUNS):
+        w = incremental.next_window(mark, now, BOOTSTRAP if i == 0 else None)
+        out.append(w)
+        mark = w.end.replace(minute=0, second=0)
+    return out
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for key in reports.REPORTS:
@@ -71,6 +138,12 @@ def queries() -> dict[str, QueryFn]:
     out["grc_report"] = q_grc_report
     for key, (fn, _) in catalog.build(MONTH).items():
         out[key] = fn
+    out["sink_csv"] = q_sink_csv
+    out["sink_append"] = q_sink_append
+    out["high_watermark"] = q_high_watermark
+    out["next_window"] = q_next_window
+    out["incremental_run"] = q_incremental_run
+    out["stream_hourly_items"] = q_stream_hourly_items
     return out
 
 
@@ -86,4 +159,10 @@ def oracle_sql() -> dict[str, str]:
     out["grc_report"] = oracle.grc_sql(MONTH)
     for key, (_, sql) in catalog.build(MONTH).items():
         out[key] = sql
+    out["sink_csv"] = oracle.report_sql("report_picking", MONTH)
+    out["sink_append"] = oracle.sink_append_sql(MONTH)
+    out["high_watermark"] = oracle.high_watermark_sql(MONTH)
+    out["next_window"] = oracle.next_window_sql(MONTH, AFTER_MONTH)
+    out["incremental_run"] = oracle.incremental_sql(_run_windows())
+    out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
     return out
