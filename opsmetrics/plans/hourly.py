@@ -64,8 +64,12 @@ __all__ = [
 
 
 def _spec_table(spark, specs: Sequence[ProcessSpec]) -> DataFrame:
-    rows = [(s.item_table, s.tasktype, s.process) for s in specs]
-    return spark.createDataFrame(rows, "item_table string, tasktype string, process string")
+    """The spec rows as a JVM-side local table (no Python RDD behind it)."""
+    rows = [
+        F.struct(F.lit(s.item_table).alias("item_table"), F.lit(s.tasktype).alias("tasktype"), F.lit(s.process).alias("process"))
+        for s in specs
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def pick_detail(
