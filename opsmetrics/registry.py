@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import catalog, oracle
 from .functions.windows import ReportWindow
-from .plans import hourly, incremental, receipts, reports
+from .plans import hourly, incremental, receipts, reports, sql_reports
 from .session import checkpoint_dir
 from .sources import sinks
 from .streaming import hourly_items
@@ -126,6 +126,10 @@ def _run_windows() -> list[ReportWindow]:
     return out
 
 
+def q_param_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_reports.sql_report(spark, testdata_roles(spark, sf_dir), "report_picking", MONTH)
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     for key in reports.REPORTS:
@@ -138,6 +142,7 @@ def queries() -> dict[str, QueryFn]:
     out["grc_report"] = q_grc_report
     for key, (fn, _) in catalog.build(MONTH).items():
         out[key] = fn
+    out["param_report"] = q_param_report
     out["sink_csv"] = q_sink_csv
     out["sink_append"] = q_sink_append
     out["high_watermark"] = q_high_watermark
@@ -159,6 +164,7 @@ def oracle_sql() -> dict[str, str]:
     out["grc_report"] = oracle.grc_sql(MONTH)
     for key, (_, sql) in catalog.build(MONTH).items():
         out[key] = sql
+    out["param_report"] = oracle.report_sql("report_picking", MONTH)
     out["sink_csv"] = oracle.report_sql("report_picking", MONTH)
     out["sink_append"] = oracle.sink_append_sql(MONTH)
     out["high_watermark"] = oracle.high_watermark_sql(MONTH)

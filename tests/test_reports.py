@@ -115,3 +115,20 @@ def test_packing_totals_equal_join(spark):
         e = dict(zip(["totalprocess", "babygear_qty", "consumable_qty", "total_tagged_qty", "total_non_tagged_qty",
                       "bin_count"], exp[k]))
         assert g == e, k
+
+
+@pytest.mark.parametrize("key", ["report_picking", "report_conso_racking", "report_packing"])
+def test_sql_form_equals_dataframe_form(spark, key):
+    from opsmetrics.plans.sql_reports import sql_report
+
+    its = [item(id=1), item(id=2, emailaddress="b", productid=None), item(id=3, item_table="packing", taskid=8),
+           item(id=4, taskid=9)]
+    tks = [task(), task(taskid=8, tasktype="Packing"), task(taskid=9, tasktype="Conso", taskname="B2CExcessRackIn")]
+    log = LOG + [dict(warehouse="whracks10", logid=3, emailaddress="b", modulename="bin/box_packing", status="out",
+                      actiontime=T(DAY + "10:00"))]
+    roles = make_roles(spark, items=its, tasks=tks, worklog=log,
+                       productdetails=[dict(productid=100, brandid="b", productcatid="7", subcatid=1)])
+    for block in (1, 1 << 20):
+        a = sorted(map(tuple, sql_report(spark, roles, key, W, block=block).collect()), key=repr)
+        b = sorted(map(tuple, report(roles, key, W, hours_as="hours").collect()), key=repr)
+        assert a == b
