@@ -112,14 +112,9 @@ def pick_detail(
     )
     j = it.join(flags, ["taskid", "tasktype"], "inner")
     second = F.col("process") if fix_labels else F.lit(SECOND_BRANCH_LABEL)
-    labels = F.filter(
-        F.array(
-            F.when(F.col("_in_archive"), F.col("process")),
-            F.when(F.col("_in_live"), second),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    return j.withColumn("process", F.explode(labels)).select(*DETAIL_COLS)
+    # One output row per master holding the task: explode both labels, drop the absent one.
+    labels = F.array(F.when(F.col("_in_archive"), F.col("process")), F.when(F.col("_in_live"), second))
+    return j.withColumn("process", F.explode(labels)).where(F.col("process").isNotNull()).select(*DETAIL_COLS)
 
 
 def _zero_sum(cond: Column, v: Column) -> Column:

@@ -84,8 +84,8 @@ def q_sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = hourly.daily_report(_raw(spark, sf_dir))
-    path = _scratch(spark, "append")
+    path = _scratch(spark, "append")  # also registers the shared checkpoint folder
+    daily = hourly.daily_report(_raw(spark, sf_dir)).checkpoint()  # computed once, appended twice
     sinks.append(daily, path)
     sinks.append(daily, path)
     return spark.read.parquet(path)
@@ -111,7 +111,7 @@ def q_stream_hourly_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     roles = testdata_roles(spark, sf_dir)
     base = _scratch(spark, "stream")
     detail = hourly.pick_detail(roles.items, roles.tasks, MONTH)
-    detail.withColumn("day", F.to_date("lastmodifieddate")).write.partitionBy("day").parquet(f"{base}/in")
+    sinks.append(detail.withColumn("day", F.to_date("lastmodifieddate")), f"{base}/in", ("day",))
     return hourly_items.run_available(
         spark, f"{base}/in", roles.productdetails, f"{base}/out", f"{base}/checkpoint", delay="0 seconds"
     )

@@ -32,8 +32,8 @@ def report_dir(base: str, report: str, start: dt.datetime, run: dt.datetime | No
 
 def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("warehouse",), mode: str = "overwrite") -> None:
     """Header CSV, one sub-directory per warehouse (the source wrote one file per warehouse)."""
-    w = _printable(df).write.mode(mode).option("header", True)
     cols = [c for c in partition_by if c in df.columns]
+    w = rebalanced(_printable(df), tuple(cols)).write.mode(mode).option("header", True)
     if cols:
         w = w.partitionBy(*cols)
     w.csv(path)
@@ -43,9 +43,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+def rebalanced(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Group rows by the output partition before a partitioned write.
+
+    The ``rebalance`` hint lets AQE put each partition value in as few
+    tasks as possible (few files per directory) while still splitting a
+    partition value that is too large for one task.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Append rows to a Parquet table, created on first use."""
-    w = df.write.mode("append")
+    w = rebalanced(df, partition_by).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -58,7 +68,8 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]
     or repeated run leaves one copy.
     """
     (
-        df.write.mode("overwrite")
+        rebalanced(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
