@@ -19,11 +19,17 @@ def con():
     return duck(SF)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(se.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     df = se.queries()[key](spark, SF)
     rel = con.sql(se.oracle_sql()[key])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes} == duck_types
     assert rows_of(df.collect(), df.columns) == rows_of(rel.fetchall(), rel.columns)
 
 
