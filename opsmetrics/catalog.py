@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions.labels import classify_module, warehouse_label
 from .functions.measures import interval_seconds
-from .functions.windows import ReportWindow, hour_bucket, in_window, micros_since
+from .functions.windows import ReportWindow, hour_bucket, in_window, micros_since, overlaps
 from .operators.items import active, branch_distinct, for_tasks, overlapping_tasks, process_items
 from .operators.products import dedup_products, product_categories, with_category
 from .operators.sessions import log_filter, session_changes, working_time
 from .operators.totals import worker_totals
 from .plans import hourly, reports
 from .sources.testdata import testdata_roles
-from .spec import PICKING, all_modules
+from .spec import CONSO_RACKING, PICKING, all_modules
 
 ITEM_COLS = (
     "item_table", "tier", "warehouse", "id", "emailaddress", "businesstype", "quantity", "processquantity",
@@ -70,12 +70,23 @@ WHERE actiontime BETWEEN {s} AND {e}"""))
     def _(spark, d):
         return R(spark, d).worklog.where(in_window("actiontime", w, "closed"))
 
-    # F5 interval overlap (with F6 task type)
-    @reg("interval_overlap", O.with_roles(["tasks"], f"""SELECT * FROM tasks
+    # F5 interval overlap, every task type
+    @reg("interval_overlap", O.with_roles(["tasks"], f"""SELECT * FROM tasks WHERE {O.overlap_sql(w)}"""))
+    def _(spark, d):
+        return R(spark, d).tasks.where(overlaps("startdate", "enddate", w))
+
+    # F6 (+F5) task type selection for one process
+    @reg("task_type_filter", O.with_roles(["tasks"], f"""SELECT * FROM tasks
 WHERE {O.task_sql(PICKING)} AND {O.overlap_sql(w)}"""))
     def _(spark, d):
         return overlapping_tasks(R(spark, d).tasks, PICKING, w)
 
+    # F7 (+F5/F6) rack-in task names of consolidation racking
+    @reg("task_name_filter", O.with_roles(["tasks"], f"""SELECT * FROM tasks
+WHERE {O.task_sql(CONSO_RACKING)} AND {O.overlap_sql(w)}"""))
+    def _(spark, d):
+        return overlapping_tasks(R(spark, d).tasks, CONSO_RACKING, w)
+
     # F8/F9 work-log filter
     @reg("worklog_filter", O.with_roles(["worklog"], f"""SELECT * FROM worklog
 WHERE actiontime BETWEEN {s} AND {e} AND status IN ('in', 'out') AND modulename IN ({O.q(PICKING.modules)})"""))
@@ -100,22 +111,20 @@ WHERE prev_to IS NULL OR status <> prev_to"""
 
     # J1 semi join items -> overlapping tasks (same tier)
     @reg("task_semi_join", O.with_roles(["items", "tasks"], f"""SELECT {_items_sql_cols('i.')} FROM items i
-WHERE i.item_table = 'pick' AND EXISTS (
+WHERE EXISTS (
   SELECT 1 FROM tasks t WHERE t.tier = i.tier AND t.taskid = i.taskid
     AND {O.task_sql(PICKING)} AND {O.overlap_sql(w, 't.startdate', 't.enddate')})"""))
     def _(spark, d):
         r = R(spark, d)
-        it = r.items.where(F.col("item_table") == PICKING.item_table)
-        return for_tasks(it, overlapping_tasks(r.tasks, PICKING, w)).select(*ITEM_COLS)
+        return for_tasks(r.items, overlapping_tasks(r.tasks, PICKING, w)).select(*ITEM_COLS)
 
     # J2 left join to products (fan-out kept)
     @reg("product_left_join", O.with_roles(["items", "productdetails"], f"""SELECT i.id, i.tier, i.productid,
   i.processquantity, p.productcatid, p.subcatid
-FROM items i LEFT JOIN productdetails p ON i.productid = p.productid
-WHERE i.item_table = 'pick'"""))
+FROM items i LEFT JOIN productdetails p ON i.productid = p.productid"""))
     def _(spark, d):
         r = R(spark, d)
-        it = r.items.where(F.col("item_table") == "pick").select("id", "tier", "productid", "processquantity")
+        it = r.items.select("id", "tier", "productid", "processquantity")
         p = r.productdetails.select("productid", "productcatid", "subcatid")
         return it.join(p, "productid", "left").select("id", "tier", "productid", "processquantity", "productcatid", "subcatid")
 
@@ -131,11 +140,10 @@ WHERE i.item_table = 'pick'"""))
     # J3 null-safe left join to deduplicated products
     @reg("product_natural_join", O.with_roles(["items", "productdetails"], f"""SELECT i.id, i.tier, i.productid,
   p.productcatid
-FROM items i LEFT JOIN ({prod_sql}) p ON i.productid IS NOT DISTINCT FROM p.productid
-WHERE i.item_table = 'pick'"""))
+FROM items i LEFT JOIN ({prod_sql}) p ON i.productid IS NOT DISTINCT FROM p.productid"""))
     def _(spark, d):
         r = R(spark, d)
-        it = r.items.where(F.col("item_table") == "pick").select("id", "tier", "productid")
+        it = r.items.select("id", "tier", "productid")
         return with_category(it, dedup_products(r.productdetails), null_safe=True)
 
     # U1 + U3: DISTINCT per tier branch, UNION ALL
@@ -145,12 +153,12 @@ WHERE i.item_table = 'pick'"""))
         return reports.report_lines(r, PICKING, w).drop("tier")
 
     @reg("live_archive_union", O.with_roles(["items"], """SELECT tier, warehouse, id, emailaddress, quantity FROM items
-WHERE item_table = 'pick' AND tier = 'live'
+WHERE tier = 'live'
 UNION ALL
 SELECT tier, warehouse, id, emailaddress, quantity FROM items
-WHERE item_table = 'pick' AND tier = 'archive'"""))
+WHERE tier = 'archive'"""))
     def _(spark, d):
-        it = R(spark, d).items.where(F.col("item_table") == "pick")
+        it = R(spark, d).items
         cols = ["tier", "warehouse", "id", "emailaddress", "quantity"]
         return it.where(F.col("tier") == "live").select(*cols).unionByName(it.where(F.col("tier") == "archive").select(*cols))
 

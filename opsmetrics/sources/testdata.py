@@ -176,6 +176,9 @@ _BUILDERS = {
 }
 
 
+SPREAD_MIN_BYTES = 1 << 20  # smaller single files are read by one task anyway
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """Spread a single-file input over the cluster's cores.
 
@@ -186,9 +189,15 @@ def _spread(df: DataFrame) -> DataFrame:
     core.  Inputs made of many files, the normal case at scale, are left
     as they are.
     """
-    if len(df.inputFiles()) > 1:
+    files = df.inputFiles()
+    if len(files) != 1:
+        return df
+    spark = df.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(files[0])
+    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath).getLen()
+    if size < SPREAD_MIN_BYTES:  # small enough for one task
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def role_frame(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
