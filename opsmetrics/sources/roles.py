@@ -88,14 +88,47 @@ class Roles:
 
 
 def parquet_roles(spark: SparkSession, base: str) -> Roles:
-    """Roles stored as ``{base}/{role}`` Parquet directories (any partitioning)."""
+    """Roles stored as ``{base}/{role}`` Parquet directories (any partitioning).
+
+    Read with the role schema, so partition columns keep their declared
+    types and column order is the contract's.
+    """
 
     def loader(name: str) -> Callable[[], DataFrame]:
-        return lambda: spark.read.parquet(f"{base.rstrip('/')}/{name}")
+        cols = [f.strip().split(" ")[0] for f in ROLE_SCHEMAS[name].split(",")]
+        return lambda: spark.read.schema(ROLE_SCHEMAS[name]).parquet(f"{base.rstrip('/')}/{name}").select(*cols)
 
     return Roles(spark, {n: loader(n) for n in ROLE_NAMES})
 
 
+# How each role is laid out when stored: partition columns (pruned by the
+# reports' process / tier / type filters) and the sort inside each file
+# (so min/max statistics let the window filters skip row groups).
+ROLE_LAYOUT = {
+    "items": (("item_table", "tier"), ("lastmodifieddate",)),
+    "tasks": (("tier", "tasktype"), ("startdate",)),
+    "worklog": ((), ("actiontime",)),
+    "productdetails": ((), ("productid",)),
+    "ordermaster": ((), ("poid",)),
+    "grc_g": ((), ("lastmodifieddate",)),
+    "grc_m": ((), ("srno",)),
+    "grc_i": ((), ("referenceid",)),
+    "grc_v": ((), ("vendorcode",)),
+    "grc_pd": ((), ("referenceid",)),
+}
+
+
+def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite") -> None:
+    """Write a role table in its layout (``ROLE_LAYOUT``)."""
+    parts, order = ROLE_LAYOUT[role]
+    out = df.hint("rebalance", *parts) if parts else df
+    out = out.sortWithinPartitions(*parts, *order)
+    w = out.write.mode(mode)
+    if parts:
+        w = w.partitionBy(*parts)
+    w.parquet(path)
+
+
 def jdbc_roles(spark: SparkSession, url: str, tables: dict[str, str], properties: dict[str, str]) -> Roles:
     """Roles read over JDBC, one ``dbtable`` (or ``(subquery) alias``) per role.
 
@@ -107,11 +140,3 @@ def jdbc_roles(spark: SparkSession, url: str, tables: dict[str, str], properties
         return lambda: spark.read.jdbc(url, table, properties=properties)
 
     return Roles(spark, {n: loader(t) for n, t in tables.items()})
-
-
-def write_role(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Store a role table as Parquet, partitioned (e.g. items by item_table, tier, warehouse)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

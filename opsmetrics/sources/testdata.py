@@ -21,7 +21,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from ..spec import WAREHOUSE_IDS
-from .roles import Roles
+from .roles import Roles, parquet_roles, store_role
 
 TABLES = ("lineitem", "orders", "part", "events", "customer", "supplier")
 
@@ -206,11 +206,12 @@ def role_frame(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
 
 
 _CACHE: dict[tuple[int, str], Roles] = {}
-_LOCK = threading.Lock()
+_STAGED: dict[tuple[int, str], Roles] = {}
+_LOCK = threading.RLock()
 
 
-def testdata_roles(spark: SparkSession, sf_dir: str) -> Roles:
-    """Roles over ``{sf_dir}/{table}.parquet`` (plans only; one bundle per session and directory)."""
+def mapped_roles(spark: SparkSession, sf_dir: str) -> Roles:
+    """Roles computed on the fly over ``{sf_dir}/{table}.parquet`` (plans only, nothing written)."""
     key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
     with _LOCK:
         roles = _CACHE.get(key)
@@ -218,3 +219,36 @@ def testdata_roles(spark: SparkSession, sf_dir: str) -> Roles:
             loaders = {name: (lambda n=name: role_frame(spark, sf_dir, n)) for name in _BUILDERS}
             roles = _CACHE[key] = Roles(spark, loaders)
         return roles
+
+
+def testdata_roles(spark: SparkSession, sf_dir: str) -> Roles:
+    """Roles over the test tables, stored once per session as partitioned Parquet.
+
+    The first call maps every role from the provided tables and writes it
+    in its storage layout (``ROLE_LAYOUT``: items by process table and
+    tier, tasks by tier and type, files sorted by their time column) into
+    the shared checkpoint folder; later calls read those tables, so the
+    reports get the partition pruning and pushed-down window filters they
+    get on a real deployment.  The source files' modification times are
+    part of the key, so changed inputs are staged again.
+    """
+    import os
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    base_dir = sf_dir.rstrip("/")
+    stamp = tuple(
+        os.path.getmtime(f"{base_dir}/{t}.parquet") if os.path.exists(f"{base_dir}/{t}.parquet") else 0 for t in TABLES
+    )
+    key = (id(spark._jsparkSession), base_dir, stamp)
+    with _LOCK:
+        roles = _STAGED.get(key)
+        if roles is not None:
+            return roles
+        mapped = mapped_roles(spark, sf_dir)
+        target = f"{checkpoint_dir(spark).rstrip('/')}/roles-{uuid.uuid4().hex}"
+        for name in _BUILDERS:
+            store_role(getattr(mapped, name), f"{target}/{name}", name)
+        roles = _STAGED[key] = parquet_roles(spark, target)
+        return roles
