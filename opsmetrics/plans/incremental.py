@@ -76,7 +76,20 @@ def run_increment(
     window = next_window(mark, now, bootstrap)
     if window is None:
         return None
+    return run_window(spark, roles, base, window, mode, fix_labels)
 
+
+def run_window(
+    spark: SparkSession,
+    roles,
+    target: str,
+    window: ReportWindow,
+    mode: str = "upsert",
+    fix_labels: bool = False,
+) -> ReportWindow:
+    """Load one explicit window into ``{target}/{raw,daily,hourly}`` (see the module notes for the modes)."""
+    base = target.rstrip("/")
+    raw_path, daily_path, hourly_path = f"{base}/raw", f"{base}/daily", f"{base}/hourly"
     raw = hourly_pipeline(roles, window, fix_labels=fix_labels)
     raw = raw.withColumn("date", F.to_date("timestamp")).withColumn("hour", F.hour("timestamp"))
     overwrite_partitions(raw, raw_path, ("date", "hour"))

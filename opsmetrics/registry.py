@@ -19,7 +19,7 @@ from .functions.windows import ReportWindow
 from .plans import hourly, incremental, receipts, reports, sql_reports
 from .session import checkpoint_dir
 from .sources import sinks
-from .streaming import hourly_items
+from .streaming import hourly_items, hourly_job
 from .sources.testdata import testdata_roles
 
 # Whole month of the test data (every item, task and log row lies inside).
@@ -117,6 +117,20 @@ def q_stream_hourly_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log-driven streaming form: new log files trigger recomputation of the days they touch."""
+    roles = testdata_roles(spark, sf_dir)
+    base = _scratch(spark, "hourly-job")
+    sinks.append(roles.worklog, f"{base}/landing")  # the log as it lands
+    q = hourly_job.start_hourly_job(spark, roles, f"{base}/landing", f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/daily")
+
+
+# Days the test log covers: the streaming job recomputes exactly these.
+LOG_DAYS = ReportWindow.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
+
+
 def _run_windows() -> list[ReportWindow]:
     out, mark = [], None
     for i, now in enumerate(RUNS):
@@ -149,6 +163,7 @@ def queries() -> dict[str, QueryFn]:
     out["next_window"] = q_next_window
     out["incremental_run"] = q_incremental_run
     out["stream_hourly_items"] = q_stream_hourly_items
+    out["stream_hourly_job"] = q_stream_hourly_job
     return out
 
 
@@ -171,4 +186,5 @@ def oracle_sql() -> dict[str, str]:
     out["next_window"] = oracle.next_window_sql(MONTH, AFTER_MONTH)
     out["incremental_run"] = oracle.incremental_sql(_run_windows())
     out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
+    out["stream_hourly_job"] = oracle.incremental_sql([LOG_DAYS])
     return out
