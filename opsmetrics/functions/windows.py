@@ -65,8 +65,12 @@ class ReportWindow:
 
 
 def ts_lit(v: dt.datetime) -> Column:
-    """A TIMESTAMP_NTZ literal (the source data carries no zone)."""
-    return F.lit(v).cast("timestamp_ntz")
+    """A TIMESTAMP_NTZ literal (the source data carries no zone).
+
+    Built from text: a Python datetime literal would pass through the
+    driver's and the session's time zones.
+    """
+    return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def in_window(col: str | Column, window: ReportWindow, bounds: str = "open") -> Column:
@@ -106,9 +110,28 @@ def micros_since(col: str | Column, origin: Column) -> Column:
 
 
 def hour_bucket(col: str | Column) -> Column:
-    """Timestamp with minute, second and fraction set to zero, kept zone-less."""
+    """Timestamp with minute, second and fraction set to zero, kept zone-less.
+
+    Built from the wall-clock fields, so no session time zone (or its
+    daylight-saving gaps) is involved.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(col: str | Column) -> Column:
+    """Zone-less wall time -> TIMESTAMP instant with the same UTC wall time (zone-independent)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), c))
+
+
+def instant_to_ntz(col: str | Column) -> Column:
+    """Inverse of ``ntz_to_instant``."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.date_trunc("hour", c).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def next_window(mark: dt.datetime | None, now: dt.datetime, bootstrap: dt.datetime | None = None):

@@ -3,7 +3,8 @@
 For users who run SQL: the window bounds, process constants and the
 role table names are named parameters (``:s``, ``:e``,
 ``IDENTIFIER(:items)`` ...), never text substitution, so a bound can not
-rewrite another bound or a table name.  The statement has the same shape
+rewrite another bound or a table name.  Bounds are passed as text and
+read with ``to_timestamp_ntz`` (no time zone involved).  The statement has the same shape
 as the DataFrame plan, including the block-split ``lag`` that keeps one
 busy worker's log from landing in a single task.
 """
@@ -22,8 +23,10 @@ WITH tk AS (
   SELECT tier, taskid FROM IDENTIFIER(:tasks)
   WHERE tasktype = :tasktype
     AND (:any_taskname OR array_contains(:tasknames, taskname))
-    AND (startdate BETWEEN :s AND :e OR enddate BETWEEN :s AND :e
-         OR :s BETWEEN startdate AND enddate OR :e BETWEEN startdate AND enddate)
+    AND (startdate BETWEEN to_timestamp_ntz(:s) AND to_timestamp_ntz(:e)
+         OR enddate BETWEEN to_timestamp_ntz(:s) AND to_timestamp_ntz(:e)
+         OR to_timestamp_ntz(:s) BETWEEN startdate AND enddate
+         OR to_timestamp_ntz(:e) BETWEEN startdate AND enddate)
 ),
 lines AS (
   SELECT DISTINCT warehouse, tier, id, emailaddress, businesstype, quantity, processquantity,
@@ -32,7 +35,7 @@ lines AS (
   LEFT SEMI JOIN tk USING (tier, taskid)
   WHERE it.item_table = :item_table
     AND (it.processquantity > 0 OR it.notfoundquantity > 0)
-    AND it.lastmodifieddate > :s AND it.lastmodifieddate < :e
+    AND it.lastmodifieddate > to_timestamp_ntz(:s) AND it.lastmodifieddate < to_timestamp_ntz(:e)
 ),
 cats AS (SELECT DISTINCT productid, productcatid FROM IDENTIFIER(:products)),
 src AS (
@@ -51,7 +54,8 @@ lg AS (
          coalesce(logid DIV :block, 9223372036854775807) AS blk,
          warehouse, emailaddress, logid, status, actiontime
   FROM IDENTIFIER(:worklog)
-  WHERE actiontime BETWEEN :s AND :e AND status IN ('in', 'out') AND array_contains(:modules, modulename)
+  WHERE actiontime BETWEEN to_timestamp_ntz(:s) AND to_timestamp_ntz(:e)
+    AND status IN ('in', 'out') AND array_contains(:modules, modulename)
 ),
 lagged AS (
   SELECT *, lag(status) OVER (PARTITION BY grp, blk ORDER BY logid NULLS LAST) AS prev_in_block,
@@ -68,8 +72,10 @@ changes AS (
 ),
 wt AS (
   SELECT warehouse, emailaddress,
-    SUM(CAST(CASE WHEN status = 'out' THEN timestampdiff(MICROSECOND, :s, actiontime) END AS DECIMAL(38,0)))
-    - SUM(CAST(CASE WHEN status = 'in' THEN timestampdiff(MICROSECOND, :s, actiontime) END AS DECIMAL(38,0))) AS us
+    SUM(CAST(CASE WHEN status = 'out' THEN timestampdiff(MICROSECOND, to_timestamp_ntz(:s), actiontime) END
+             AS DECIMAL(38,0)))
+    - SUM(CAST(CASE WHEN status = 'in' THEN timestampdiff(MICROSECOND, to_timestamp_ntz(:s), actiontime) END
+               AS DECIMAL(38,0))) AS us
   FROM changes GROUP BY warehouse, emailaddress
 ),
 tgt AS (
@@ -111,8 +117,8 @@ def sql_report(
         "tasks": views["tasks"],
         "products": views["productdetails"],
         "worklog": views["worklog"],
-        "s": window.start,
-        "e": window.end,
+        "s": window.start.isoformat(sep=" "),
+        "e": window.end.isoformat(sep=" "),
         "start_text": window.start_text,
         "window_us": window.length_micros,
         "block": block,

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.windows import instant_to_ntz, ntz_to_instant
 from ..operators.products import dedup_products
 from ..spec import CATEGORY_CONSUMABLE
 
@@ -42,14 +43,15 @@ def hourly_item_totals(detail_stream: DataFrame, products: DataFrame, delay: str
     """Streaming aggregate: warehouse, process, hour -> Quantity, Consumable_Qty, QTY, totalnotfound.
 
     Watermarks need a TIMESTAMP (not NTZ) column: the zone-less stamp is
-    read as a session-zone timestamp for the window and turned back into
-    a zone-less hour on output.
+    mapped to the instant with the same UTC wall time (so one-hour windows
+    fall on whole wall-clock hours in any session zone) and mapped back on
+    output.
     """
     cats = dedup_products(products).select("productid", "productcatid")
     pq = F.col("processquantity")
     s = (
         detail_stream.where(F.col("emailaddress").isNotNull())
-        .withColumn("event_time", F.col("lastmodifieddate").cast("timestamp"))
+        .withColumn("event_time", ntz_to_instant("lastmodifieddate"))
         .join(cats, "productid", "left")
         .withWatermark("event_time", delay)
     )
@@ -63,7 +65,7 @@ def hourly_item_totals(detail_stream: DataFrame, products: DataFrame, delay: str
     return g.select(
         "warehouse",
         "process",
-        F.col("w.start").cast("timestamp_ntz").alias("timestamp"),
+        instant_to_ntz("w.start").alias("timestamp"),
         "Quantity",
         "totalnotfound",
         "Consumable_Qty",

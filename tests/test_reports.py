@@ -132,3 +132,26 @@ def test_sql_form_equals_dataframe_form(spark, key):
         a = sorted(map(tuple, sql_report(spark, roles, key, W, block=block).collect()), key=repr)
         b = sorted(map(tuple, report(roles, key, W, hours_as="hours").collect()), key=repr)
         assert a == b
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from opsmetrics.plans.hourly import hourly_pipeline, hourly_report
+    from opsmetrics.plans.sql_reports import sql_report
+
+    its = [item(id=1, lastmodifieddate=T(DAY + "10:35")), item(id=2, emailaddress="b", lastmodifieddate=T(DAY + "11:50"))]
+    roles = make_roles(spark, items=its, tasks=[task()], worklog=LOG)
+
+    def run():
+        a = sorted(map(tuple, report(roles, "report_picking", W, hours_as="hours").collect()), key=repr)
+        b = sorted(map(tuple, sql_report(spark, roles, "report_picking", W).collect()), key=repr)
+        c = sorted(map(tuple, hourly_report(hourly_pipeline(roles, W)).collect()), key=repr)
+        return a, b, c
+
+    base = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("Asia/Kolkata", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert run() == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
