@@ -17,11 +17,11 @@ from . import oracle as O
 from .functions.labels import classify_module, warehouse_label
 from .functions.measures import interval_seconds
 from .functions.windows import ReportWindow, hour_bucket, in_window, micros_since, overlaps
-from .operators.items import active, branch_distinct, for_tasks, overlapping_tasks, process_items
-from .operators.products import dedup_products, product_categories, with_category
+from .operators.items import active, for_tasks, overlapping_tasks
+from .operators.products import dedup_products, with_category
 from .operators.sessions import log_filter, session_changes, working_time
 from .operators.totals import worker_totals
-from .plans import hourly, reports
+from .plans import reports
 from .sources.testdata import testdata_roles
 from .spec import CONSO_RACKING, PICKING, all_modules
 
