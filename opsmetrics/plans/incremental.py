@@ -11,18 +11,22 @@ Two load modes:
   run, and a failed run between the two appends leaves the tables out of
   step.
 * ``upsert`` (idempotent): worker-hour rows are stored in a ``raw`` table
-  partitioned by (date, hour); the daily and hourly rows of every date the
-  window touches are recomputed from all stored raw rows of that date and
-  replace those date partitions.  Re-running a window, or running after
-  a failure, converges to the same tables.
-
-The raw rows are written before anything reads them, which also cuts the
-lineage: the two roll-ups read the written table, not the recomputed plan.
+  partitioned by date; the window's hours replace the same hours there,
+  and the daily and hourly rows of every date the window touches are
+  recomputed from all raw rows of that date and replace those date
+  partitions.  Re-running a window, or running after a failure, converges
+  to the same tables.
+
+The merged raw rows are written to a staging table in the shared
+checkpoint folder before anything else reads them, which also cuts the
+lineage: the roll-ups and the partition overwrite read that table, not the
+recomputed plan or the files being replaced.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,28 +91,39 @@ def run_window(
     mode: str = "upsert",
     fix_labels: bool = False,
 ) -> ReportWindow:
-    """Load one explicit window into ``{target}/{raw,daily,hourly}`` (see the module notes for the modes)."""
+    """Load one explicit window into ``{target}/{raw,daily,hourly}`` (see the module notes for the modes).
+
+    The raw table is partitioned by date.  The window's worker-hour rows
+    replace the stored rows of the same hours; the other stored hours of
+    the touched dates are kept.  The merged rows of those dates are
+    written to a staging table in the shared checkpoint folder before they
+    overwrite their partitions, so the write never reads the files it
+    replaces and nothing downstream recomputes the pipeline.
+    """
+    from ..session import checkpoint_dir
+
     base = target.rstrip("/")
     raw_path, daily_path, hourly_path = f"{base}/raw", f"{base}/daily", f"{base}/hourly"
-    raw = hourly_pipeline(roles, window, fix_labels=fix_labels)
-    raw = raw.withColumn("date", F.to_date("timestamp")).withColumn("hour", F.hour("timestamp"))
-    overwrite_partitions(raw, raw_path, ("date", "hour"))
+    dates = touched_dates(window)
+    fresh = hourly_pipeline(roles, window, fix_labels=fix_labels).withColumn("date", F.to_date("timestamp"))
+    merged = fresh
+    if table_exists(spark, raw_path):
+        in_window = F.col("timestamp").between(ts_lit(window.start), ts_lit(window.end))
+        kept = spark.read.parquet(raw_path).where(F.col("date").isin(*dates) & ~in_window)
+        merged = fresh.unionByName(kept.select(*fresh.columns))
+    # Written once to the shared folder: a Dataset checkpoint would compute the plan twice.
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/raw-stage-{uuid.uuid4().hex}"
+    merged.write.parquet(stage)
+    merged = spark.read.parquet(stage)
+    overwrite_partitions(merged, raw_path, ("date",))
 
     if mode == "append":
-        # Only this window's hours, read back from the written table.
-        start_date, end_date = window.start.date(), window.end.date()
-        hours = (
-            spark.read.parquet(raw_path)
-            .where(F.col("date").between(F.lit(start_date), F.lit(end_date)))
-            .where(F.col("timestamp").between(ts_lit(window.start), ts_lit(window.end)))
-        )
+        hours = merged.where(F.col("timestamp").between(ts_lit(window.start), ts_lit(window.end)))
         append(daily_report(hours), daily_path)
         append(hourly_report(hours), hourly_path)
         return window
 
-    dates = touched_dates(window)
-    stored = spark.read.parquet(raw_path).where(F.col("date").isin(*dates))
-    overwrite_partitions(daily_report(stored), daily_path, ("date",))
-    hourly = hourly_report(stored).withColumn("date", F.to_date("timestamp"))
+    overwrite_partitions(daily_report(merged), daily_path, ("date",))
+    hourly = hourly_report(merged).withColumn("date", F.to_date("timestamp"))
     overwrite_partitions(hourly, hourly_path, ("date",))
     return window
