@@ -11,6 +11,8 @@ busy worker's log from landing in a single task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.windows import ReportWindow
@@ -100,15 +102,20 @@ def sql_report(
     key: str,
     window: ReportWindow,
     block: int = DEFAULT_BLOCK,
-    view_prefix: str = "opsm_",
 ) -> DataFrame:
-    """Run a v1 report through Spark SQL with named parameters; columns named as ``report``'s."""
+    """Run a v1 report through Spark SQL with named parameters; columns named as ``report``'s.
+
+    The role tables are exposed as temporary views with names unique to
+    this call (concurrent calls cannot see each other's views) and dropped
+    once the statement is analysed.
+    """
     d = REPORTS[key]
     if d.version != 1:
         raise ValueError("the SQL form covers the v1 reports")
+    tag = uuid.uuid4().hex[:12]
     views = {}
     for role in ("items", "tasks", "productdetails", "worklog"):
-        name = f"{view_prefix}{role}"
+        name = f"opsm_{role}_{tag}"
         getattr(roles, role).createOrReplaceTempView(name)
         views[role] = name
     spec = d.spec
@@ -128,7 +135,11 @@ def sql_report(
         "tasknames": list(spec.tasknames or ("",)),
         "modules": list(spec.modules),
     }
-    out = spark.sql(V1_REPORT_SQL, args=args)
+    try:
+        out = spark.sql(V1_REPORT_SQL, args=args)  # analysed here: the views are resolved into the plan
+    finally:
+        for name in views.values():
+            spark.catalog.dropTempView(name)
     # The source names some columns per report (date, B2B/B2C, rate).
     names = [n for n, _ in d.outputs]
     return out.toDF(*names)
