@@ -7,7 +7,8 @@ worker holding a large share of the log would become one huge task.
 ``previous_in_order`` therefore splits each worker's log into blocks of
 the order key: ``lag`` runs per (worker, block) and the first row of a
 block takes the last value of the worker's previous non-empty block,
-found with a second, tiny window over one row per block.
+found the same way over the one-row-per-block table (blocks of blocks),
+so sparse log ids cannot make that second step large either.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from ..spec import HOUR_SECONDS, STATUS_IN, STATUS_OUT, all_modules
 
 # Width of an order-key block: bounds the rows one window task sorts per worker.
 DEFAULT_BLOCK = 1 << 20
+# Block levels: 2 keeps the block-carry step bounded even for sparse order keys.
+DEFAULT_LEVELS = 2
 _LAST_BLOCK = (1 << 63) - 1  # block of rows whose order key is NULL: sorts last
 
 
@@ -34,19 +37,32 @@ def previous_in_order(
     value: str,
     out: str,
     block: int = DEFAULT_BLOCK,
+    levels: int | None = None,
 ) -> DataFrame:
-    """``lag(value) OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` as ``out``, skew-safe."""
-    grp = F.struct(*[F.col(k) for k in keys])  # struct key: NULL keys still group and join
-    blk = F.coalesce(F.expr(f"`{order}` div {int(block)}"), F.lit(_LAST_BLOCK))
-    d = df.withColumn("_grp", grp).withColumn("_blk", blk)
-    w_in = Window.partitionBy("_grp", "_blk").orderBy(F.col(order).asc_nulls_last())
-    d = d.withColumn("_prev", F.lag(value).over(w_in)).withColumn("_rn", F.row_number().over(w_in))
-    last = d.groupBy("_grp", "_blk").agg(F.max_by(value, order).alias("_last"))
-    carry = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy("_grp").orderBy("_blk"))).drop("_last")
-    d = d.join(carry, ["_grp", "_blk"], "left")
-    return d.withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))).drop(
-        "_grp", "_blk", "_prev", "_rn", "_carry"
-    )
+    """``lag(value) OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` as ``out``, skew-safe.
+
+    Level 1 runs ``lag`` per (key, block of ``block`` order values).  The
+    first row of each block needs the last value of the key's previous
+    non-empty block: that is again a ``lag``, over the one-row-per-block
+    table ordered by block, and it is computed the same way one level up
+    (blocks of ``block`` blocks), so even with sparse order values no task
+    sorts more than about ``block`` rows per level; the top level is a
+    plain window over what is left.
+    """
+    levels = DEFAULT_LEVELS if levels is None else levels
+    sfx = f"_{levels}"
+    grp, blk, prev, rn, last, carry = (f"_grp{sfx}", f"_blk{sfx}", f"_prev{sfx}", f"_rn{sfx}", f"_last{sfx}", f"_carry{sfx}")
+    d = df.withColumn(grp, F.struct(*[F.col(k) for k in keys]))  # struct key: NULL keys still group and join
+    d = d.withColumn(blk, F.coalesce(F.expr(f"`{order}` div {int(block)}"), F.lit(_LAST_BLOCK)))
+    w_in = Window.partitionBy(grp, blk).orderBy(F.col(order).asc_nulls_last())
+    d = d.withColumn(prev, F.lag(value).over(w_in)).withColumn(rn, F.row_number().over(w_in))
+    lasts = d.groupBy(grp, blk).agg(F.max_by(value, order).alias(last))
+    if levels > 1:
+        carried = previous_in_order(lasts, [grp], blk, last, carry, block, levels - 1).drop(last)
+    else:
+        carried = lasts.withColumn(carry, F.lag(last).over(Window.partitionBy(grp).orderBy(blk))).drop(last)
+    d = d.join(carried, [grp, blk], "left")
+    return d.withColumn(out, F.when(F.col(rn) == 1, F.col(carry)).otherwise(F.col(prev))).drop(grp, blk, prev, rn, carry)
 
 
 def log_filter(worklog: DataFrame, modules: Iterable[str], window: ReportWindow) -> DataFrame:

@@ -81,3 +81,15 @@ def test_previous_in_order_matches_lag(spark):
     for block in (1, 7, 64, 1 << 20):
         got = {r.rid: r.prev for r in previous_in_order(base, ["k", "g"], "logid", "status", "prev", block).collect()}
         assert got == ref, block
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_previous_in_order_levels_with_sparse_ids(spark, levels):
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["hot", "hot", "x", None]), rnd.randrange(1 << 40), rnd.choice(["in", "out"])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, logid bigint, status string").dropDuplicates(["logid"])
+    w = Window.partitionBy("k").orderBy("logid")
+    ref = {r.logid: r.prev for r in df.withColumn("prev", F.lag("status").over(w)).collect()}
+    for block in (2, 16, 1 << 20):
+        got = {r.logid: r.prev for r in previous_in_order(df, ["k"], "logid", "status", "prev", block, levels).collect()}
+        assert got == ref, (block, levels)
