@@ -5,8 +5,8 @@ role table names are named parameters (``:s``, ``:e``,
 ``IDENTIFIER(:items)`` ...), never text substitution, so a bound can not
 rewrite another bound or a table name.  Bounds are passed as text and
 read with ``to_timestamp_ntz`` (no time zone involved).  The statement has the same shape
-as the DataFrame plan, including the block-split ``lag`` that keeps one
-busy worker's log from landing in a single task.
+as the DataFrame plan, including the two-level block-split ``lag`` that
+keeps one busy worker's log from landing in a single task.
 """
 
 from __future__ import annotations
@@ -64,9 +64,21 @@ lagged AS (
          row_number() OVER (PARTITION BY grp, blk ORDER BY logid NULLS LAST) AS rn
   FROM lg
 ),
+lasts AS (
+  SELECT grp, blk, blk DIV :block AS blk2, max_by(status, logid) AS last_status FROM lg GROUP BY grp, blk
+),
+lagged2 AS (
+  SELECT *, lag(last_status) OVER (PARTITION BY grp, blk2 ORDER BY blk) AS prev_in_block2,
+         row_number() OVER (PARTITION BY grp, blk2 ORDER BY blk) AS rn2
+  FROM lasts
+),
+carry2 AS (
+  SELECT grp, blk2, lag(last2) OVER (PARTITION BY grp ORDER BY blk2) AS carried2
+  FROM (SELECT grp, blk2, max_by(last_status, blk) AS last2 FROM lasts GROUP BY grp, blk2) b2
+),
 carry AS (
-  SELECT grp, blk, lag(last_status) OVER (PARTITION BY grp ORDER BY blk) AS carried
-  FROM (SELECT grp, blk, max_by(status, logid) AS last_status FROM lg GROUP BY grp, blk) b
+  SELECT l.grp, l.blk, CASE WHEN l.rn2 = 1 THEN c.carried2 ELSE l.prev_in_block2 END AS carried
+  FROM lagged2 l LEFT JOIN carry2 c ON l.grp = c.grp AND l.blk2 = c.blk2
 ),
 changes AS (
   SELECT l.* FROM lagged l LEFT JOIN carry c ON l.grp = c.grp AND l.blk = c.blk
