@@ -7,7 +7,8 @@ PKG = pathlib.Path(__file__).resolve().parent.parent / "opsmetrics"
 
 
 def sources():
-    return {p.relative_to(PKG).as_posix(): p.read_text() for p in PKG.rglob("*.py")}
+    """The library without the optional subpackage, whose operators may run numpy inside tasks."""
+    return {n: p.read_text() for p in PKG.rglob("*.py") if not (n := p.relative_to(PKG).as_posix()).startswith("llm/")}
 
 
 def test_only_the_process_table_is_broadcast():
@@ -28,3 +29,8 @@ def test_driver_collects_are_scalars():
     for f, s in sources().items():
         assert ".collect()" not in s and ".toPandas()" not in s, f
         assert s.count(".first()") == allowed.get(f, 0), f
+
+
+def test_nothing_else_imports_the_optional_subpackage():
+    for f, s in sources().items():
+        assert "llm" not in s, f
