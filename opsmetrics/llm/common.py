@@ -24,7 +24,7 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs no recomputation of what
@@ -34,7 +34,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

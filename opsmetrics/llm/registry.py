@@ -5,15 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, mixing, simhash
-from .common import table
+from . import ann, decontam, htmltext, katz, langid, mixing, simhash, tokencount, toxicity, urlfilter
+from .common import crc_mod, table
+
+
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = htmltext.extract(pages, htmltext.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), every=20, k=20)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.every_limit(tokencount.histogram(table(spark, sf_dir, "documents")))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, urlfilter.rule_table(spark, urlfilter.RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> langid.Filter:
+    """Learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").filter(crc_mod(F.col("doc_id"), 3) != 1)
+    return langid.fit(docs.select("text", "lang"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"))
+    return langid.identify(docs, language_model(spark, sf_dir)).select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.digest(decontam.scan(docs, table(spark, sf_dir, "benchmark")))
@@ -23,9 +58,26 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Field:
+    """Learned from the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").filter(crc_mod(F.col("doc_id"), 3) != 1).select("doc_id", "text")
+    return toxicity.fit(docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"))
+    score = F.col("toxicity.score")
+    return toxicity.scored(docs, toxicity_model(spark, sf_dir)).select(
+        "doc_id", "held_out", score.alias("score"), F.when(score >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixing, op8_decontamination, op9_simhash)}
+    return {f.__name__: f for f in (
+        op1_html_text, op2_mixing, op3_nearest, op4_token_counts, op5_url_filter,
+        op6_language_id, op7_language_model, op8_decontamination, op9_simhash, op10_toxicity,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op8_decontamination": decontam.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op5_url_filter": urlfilter.ORACLE, "op8_decontamination": decontam.ORACLE}
