@@ -112,7 +112,7 @@ WHERE prev_to IS NULL OR status <> prev_to"""
     # J1 semi join items -> overlapping tasks (same tier)
     @reg("task_semi_join", O.with_roles(["items", "tasks"], f"""SELECT {_items_sql_cols('i.')} FROM items i
 WHERE EXISTS (
-  SELECT 1 FROM tasks t WHERE t.tier = i.tier AND t.taskid = i.taskid
+  SELECT 1 FROM tasks t WHERE t.tier = i.tier AND t.warehouse = i.warehouse AND t.taskid = i.taskid
     AND {O.task_sql(PICKING)} AND {O.overlap_sql(w, 't.startdate', 't.enddate')})"""))
     def _(spark, d):
         r = R(spark, d)

@@ -2,17 +2,18 @@
 
     worklog --(all process modules, closed window)--> change filter per (warehouse, worker)
             --> per (warehouse, process, hour, worker) signed offsets            hourly_time
-    items (archive tier) --(activity, half-open window)--> x spec --> JOIN task flags
-            --> one row per matching task tier, labelled                         pick_detail
+    items (archive tier) --(activity, half-open window)--> JOIN task flags of the same warehouse
+            --> one row per process and matching task tier, labelled                         pick_detail
     pick_detail --> hour bucket --> null-safe LEFT JOIN deduplicated products
             --> GROUP BY (warehouse, process, hour, worker) --> LEFT JOIN hourly_time
             --> fill missing / zero time, label warehouses                       productivity_raw
     productivity_raw --> GROUP BY hour | date                                    hourly_report / daily_report
 
-The item feed is one scan of the items table for all five processes:
-the fixed five-row spec table is broadcast onto the items (the ``pick``
-table feeds two processes), and the two task-master branches of every
-process become one join against per-task tier flags.
+The item feed is one scan of the items table for all five processes: the
+two task-master branches of every process become one join on
+(warehouse, taskid) against per-task tier flags, and the process follows
+from the item table and the task type after it (the ``pick`` table feeds
+two processes).
 """
 
 from __future__ import annotations
@@ -63,15 +64,6 @@ __all__ = [
 ]
 
 
-def _spec_table(spark, specs: Sequence[ProcessSpec]) -> DataFrame:
-    """The spec rows as a JVM-side local table (no Python RDD behind it)."""
-    rows = [
-        F.struct(F.lit(s.item_table).alias("item_table"), F.lit(s.tasktype).alias("tasktype"), F.lit(s.process).alias("process"))
-        for s in specs
-    ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
 def pick_detail(
     items: DataFrame,
     tasks: DataFrame,
@@ -88,7 +80,6 @@ def pick_detail(
     ``fix_labels=True`` uses the process instead).  No DISTINCT: a task in
     both masters yields two rows.
     """
-    spark = items.sparkSession
     specs = list(specs)
     it = items.where(
         F.col("item_table").isin(*sorted({s.item_table for s in specs}))
@@ -96,25 +87,28 @@ def pick_detail(
         & active_predicate()
         & in_window("lastmodifieddate", window, "half_open")
     ).drop("tier")
-    # Fixed five-row parameter table: broadcasting it is bounded by construction.
-    it = it.join(F.broadcast(_spec_table(spark, specs)), "item_table")
 
     task_cond = None
     for s in specs:
         task_cond = task_predicate(s) if task_cond is None else task_cond | task_predicate(s)
+    keys = [k for k in ("warehouse", "taskid") if k in tasks.columns]
     flags = (
         tasks.where(task_cond & overlaps("startdate", "enddate", window))
-        .groupBy("taskid", "tasktype")
+        .groupBy(*keys, "tasktype")
         .agg(
             F.max(F.col("tier") == "archive").alias("_in_archive"),
             F.max(F.col("tier") == "live").alias("_in_live"),
         )
     )
-    j = it.join(flags, ["taskid", "tasktype"], "inner")
-    second = F.col("process") if fix_labels else F.lit(SECOND_BRANCH_LABEL)
-    # One output row per master holding the task: explode both labels, drop the absent one.
-    labels = F.array(F.when(F.col("_in_archive"), F.col("process")), F.when(F.col("_in_live"), second))
-    return j.withColumn("process", F.explode(labels)).where(F.col("process").isNotNull()).select(*DETAIL_COLS)
+    # The process follows from (item table, task type) and is given after the join, so no item is
+    # doubled before the shuffle; one output row per process and master holding the task.
+    labels = []
+    for s in specs:
+        own = (F.col("item_table") == s.item_table) & (F.col("tasktype") == s.tasktype)
+        labels.append(F.when(own & F.col("_in_archive"), F.lit(s.process)))
+        labels.append(F.when(own & F.col("_in_live"), F.lit(s.process if fix_labels else SECOND_BRANCH_LABEL)))
+    rows = it.join(flags, keys, "inner").withColumn("process", F.explode(F.array_compact(F.array(*labels))))
+    return rows.select(*DETAIL_COLS)
 
 
 def _zero_sum(cond: Column, v: Column) -> Column:

@@ -22,7 +22,7 @@ from .reports import REPORTS
 
 V1_REPORT_SQL = """
 WITH tk AS (
-  SELECT tier, taskid FROM IDENTIFIER(:tasks)
+  SELECT tier, warehouse, taskid FROM IDENTIFIER(:tasks)
   WHERE tasktype = :tasktype
     AND (:any_taskname OR array_contains(:tasknames, taskname))
     AND (startdate BETWEEN to_timestamp_ntz(:s) AND to_timestamp_ntz(:e)
@@ -34,7 +34,7 @@ lines AS (
   SELECT DISTINCT warehouse, tier, id, emailaddress, businesstype, quantity, processquantity,
          notfoundquantity, productid
   FROM IDENTIFIER(:items) it
-  LEFT SEMI JOIN tk USING (tier, taskid)
+  LEFT SEMI JOIN tk USING (tier, warehouse, taskid)
   WHERE it.item_table = :item_table
     AND (it.processquantity > 0 OR it.notfoundquantity > 0)
     AND it.lastmodifieddate > to_timestamp_ntz(:s) AND it.lastmodifieddate < to_timestamp_ntz(:e)

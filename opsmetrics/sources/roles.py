@@ -40,7 +40,7 @@ ROLE_SCHEMAS = {
         "whordertype string, lastmodifieddate timestamp_ntz"
     ),
     "tasks": (
-        "tier string, taskid bigint, tasktype string, taskname string, "
+        "tier string, warehouse string, taskid bigint, tasktype string, taskname string, "
         "startdate timestamp_ntz, enddate timestamp_ntz"
     ),
     "worklog": (

@@ -66,10 +66,14 @@ ITEMS = [
     f"{ITEM_STAMP} AS lastmodifieddate",
 ]
 
-# Status P puts a task into both masters: one scan, exploded, no union.
+# Status P puts a task into both masters, and every task number exists in three of the six
+# warehouses (each warehouse has its own task master): one scan, exploded, no union.
+_TIERS = ("CASE o_orderstatus WHEN 'F' THEN array('archive') WHEN 'O' THEN array('live') "
+          "WHEN 'P' THEN array('archive', 'live') END")
+_NAMES = ", ".join(f"'whracks{w}'" for w in WAREHOUSE_IDS)
+_HERE = f"transform(filter(sequence(0, 5), i -> (o_custkey + i) % 2 = 0), i -> element_at(array({_NAMES}), i + 1))"
 TASKS = [
-    "explode(CASE o_orderstatus WHEN 'F' THEN array('archive') WHEN 'O' THEN array('live') "
-    "WHEN 'P' THEN array('archive', 'live') END) AS tier",
+    f"inline(flatten(transform({_TIERS}, t -> transform({_HERE}, w -> named_struct('tier', t, 'warehouse', w)))))",
     "o_orderkey AS taskid",
     "CASE o_orderkey % 4 WHEN 0 THEN (CASE WHEN o_custkey % 2 = 0 THEN 'Picking' ELSE 'Conso' END) "
     "WHEN 1 THEN 'ConsoOut' WHEN 2 THEN 'QCShipping' ELSE 'Packing' END AS tasktype",

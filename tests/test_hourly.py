@@ -17,7 +17,7 @@ def item(**kw):
 
 
 def task(**kw):
-    base = dict(tier="archive", taskid=7, tasktype="Picking", taskname="Other", startdate=T(DAY + "09:00"),
+    base = dict(tier="archive", warehouse="whracks10", taskid=7, tasktype="Picking", taskname="Other", startdate=T(DAY + "09:00"),
                 enddate=T(DAY + "12:00"))
     base.update(kw)
     return base
@@ -85,3 +85,14 @@ def test_hourly_sums_to_daily(spark):
     h = hourly_report(raw).agg(F.sum("QTY")).first()[0]
     d = daily_report(raw).collect()
     assert len(d) == 1 and d[0].QTY == h == 20.0 and d[0].Distinct_User == 2
+
+
+def test_items_match_tasks_of_their_own_warehouse_only(spark):
+    from opsmetrics.operators.items import process_items
+    from opsmetrics.plans.sql_reports import sql_report
+    from opsmetrics.spec import PICKING
+
+    roles = make_roles(spark, items=[item(id=1), item(id=2, warehouse="whracks2")], tasks=[task(warehouse="whracks2")])
+    assert [r.warehouse for r in pick_detail(roles.items, roles.tasks, W).collect()] == ["whracks2"]
+    assert [r.id for r in process_items(roles.items, roles.tasks, PICKING, W).collect()] == [2]
+    assert [r.warehouse for r in sql_report(spark, roles, "report_picking", W).collect()] == ["whracks2"]

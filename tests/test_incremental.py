@@ -23,7 +23,7 @@ def item(i, t, worker="a", q=2.0):
 
 def roles(spark):
     items = [item(1, "09:10"), item(2, "09:40", "b"), item(3, "10:20"), item(4, "11:05", "b"), item(5, "12:30")]
-    tasks = [dict(tier="archive", taskid=7, tasktype="Picking", taskname="x", startdate=T(DAY + "08:00"),
+    tasks = [dict(tier="archive", warehouse="whracks10", taskid=7, tasktype="Picking", taskname="x", startdate=T(DAY + "08:00"),
                   enddate=T(DAY + "13:00"))]
     log = [dict(warehouse="whracks10", logid=i, emailaddress=w, modulename="wave_picking", status=s,
                 actiontime=T(DAY + t)) for i, (w, s, t) in

@@ -23,7 +23,7 @@ def item(**kw):
 
 
 def task(**kw):
-    base = dict(tier="archive", taskid=7, tasktype="Picking", taskname="Other", startdate=T(DAY + "09:00"), enddate=T(DAY + "12:00"))
+    base = dict(tier="archive", warehouse="whracks10", taskid=7, tasktype="Picking", taskname="Other", startdate=T(DAY + "09:00"), enddate=T(DAY + "12:00"))
     base.update(kw)
     return base
 
