@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions.labels import classify_module, warehouse_label
 from .functions.measures import interval_seconds
-from .functions.windows import ReportWindow, hour_bucket, in_window, micros_since, overlaps
+from .functions.windows import ReportWindow, hour_bucket, in_window, micros_since, of_days, overlaps
 from .operators.items import active, for_tasks, overlapping_tasks
 from .operators.products import dedup_products, with_category
 from .operators.sessions import log_filter, session_changes, working_time
 from .operators.totals import worker_totals
-from .plans import reports
+from .plans import hourly, reports
 from .sources.testdata import testdata_roles
 from .spec import CONSO_RACKING, PICKING, all_modules
 
@@ -30,6 +30,9 @@ ITEM_COLS = (
     "notfoundquantity", "productid", "taskid", "lastmodifieddate",
 )
 
+# A week inside the month of the data, for the window and overlap operators: rows lie before, after and on both bounds.
+WEEK = ReportWindow.of("2024-01-08 00:00:00", "2024-01-14 23:59:59")
+
 
 def _items_sql_cols(prefix: str = "") -> str:
     return ", ".join(prefix + c for c in ITEM_COLS)
@@ -38,6 +41,7 @@ def _items_sql_cols(prefix: str = "") -> str:
 def build(window: ReportWindow) -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]]:
     w = window
     s, e = O.ts(w.start), O.ts(w.end)
+    ws, we = O.ts(WEEK.start), O.ts(WEEK.end)
     R = testdata_roles
     out: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 
@@ -56,24 +60,24 @@ WHERE processquantity > 0 OR notfoundquantity > 0"""))
 
     # F2-F4 window bounds on the item / log stamps
     @reg("window_open", O.with_roles(["items"], f"""SELECT {_items_sql_cols()} FROM items
-WHERE lastmodifieddate < {e} AND lastmodifieddate > {s}"""))
+WHERE lastmodifieddate < {we} AND lastmodifieddate > {ws}"""))
     def _(spark, d):
-        return R(spark, d).items.where(in_window("lastmodifieddate", w, "open")).select(*ITEM_COLS)
+        return of_days(R(spark, d).items, WEEK).where(in_window("lastmodifieddate", WEEK, "open")).select(*ITEM_COLS)
 
     @reg("window_half_open", O.with_roles(["items"], f"""SELECT {_items_sql_cols()} FROM items
-WHERE lastmodifieddate < {e} AND lastmodifieddate >= {s}"""))
+WHERE lastmodifieddate < {we} AND lastmodifieddate >= {ws}"""))
     def _(spark, d):
-        return R(spark, d).items.where(in_window("lastmodifieddate", w, "half_open")).select(*ITEM_COLS)
+        return of_days(R(spark, d).items, WEEK).where(in_window("lastmodifieddate", WEEK, "half_open")).select(*ITEM_COLS)
 
     @reg("window_closed", O.with_roles(["worklog"], f"""SELECT * FROM worklog
-WHERE actiontime BETWEEN {s} AND {e}"""))
+WHERE actiontime BETWEEN {ws} AND {we}"""))
     def _(spark, d):
-        return R(spark, d).worklog.where(in_window("actiontime", w, "closed"))
+        return of_days(R(spark, d).worklog, WEEK).where(in_window("actiontime", WEEK, "closed"))
 
     # F5 interval overlap, every task type
-    @reg("interval_overlap", O.with_roles(["tasks"], f"""SELECT * FROM tasks WHERE {O.overlap_sql(w)}"""))
+    @reg("interval_overlap", O.with_roles(["tasks"], f"""SELECT * FROM tasks WHERE {O.overlap_sql(WEEK)}"""))
     def _(spark, d):
-        return R(spark, d).tasks.where(overlaps("startdate", "enddate", w))
+        return R(spark, d).tasks.where(overlaps("startdate", "enddate", WEEK))
 
     # F6 (+F5) task type selection for one process
     @reg("task_type_filter", O.with_roles(["tasks"], f"""SELECT * FROM tasks
@@ -109,6 +113,11 @@ WHERE prev_to IS NULL OR status <> prev_to"""
     def _(spark, d):
         return session_changes(R(spark, d).worklog, all_modules(), w)
 
+    # The same with short blocks, so that most rows take their predecessor from another block, on two levels
+    @reg("session_dedup_blocks", O.with_roles(["worklog"], dedup_sql.format(mods=O.q(all_modules()))))
+    def _(spark, d):
+        return session_changes(R(spark, d).worklog, all_modules(), w, block=32)
+
     # J1 semi join items -> overlapping tasks (same tier)
     @reg("task_semi_join", O.with_roles(["items", "tasks"], f"""SELECT {_items_sql_cols('i.')} FROM items i
 WHERE EXISTS (
@@ -188,6 +197,16 @@ FROM ({O.lines_sql(PICKING, w)}) g GROUP BY warehouse, emailaddress"""))
         t = working_time(session_changes(R(spark, d).worklog, PICKING.modules, w), w)
         return t.select("warehouse", "emailaddress", interval_seconds(F.col("total_working_hrs")).alias("interval_seconds"))
 
+    # J5 worker-hour item rows left join working time on warehouse, process, hour and worker
+    @reg("pick_time_join", O.with_roles(["items", "tasks", "productdetails", "worklog"], """SELECT pk.warehouse, pk.process,
+  pk.timestamp, pk.emailaddress, pk.Quantity, CAST(tg.working_us AS DOUBLE) / 1000000.0 AS working_sec
+FROM pk LEFT JOIN tg USING (warehouse, process, timestamp, emailaddress)""", O.raw_ctes(w)))
+    def _(spark, d):
+        r = R(spark, d)
+        totals = hourly.item_totals(hourly.pick_detail(r.items, r.tasks, w), r.productdetails)
+        j = hourly.with_time(totals, hourly.hourly_time(r.worklog, w))
+        return j.select(*hourly.RAW_KEYS, "Quantity", (F.col("working_us").cast("double") / F.lit(1_000_000.0)).alias("working_sec"))
+
     # X1 module -> process
     @reg("process_classify", O.with_roles(["worklog"], f"""SELECT logid, modulename, {O._process_case()} AS process
 FROM worklog"""))

@@ -11,9 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Name of the partition column of tables that are stored by day.
+DAY = "stamp_day"
 FMT = "%Y-%m-%d %H:%M:%S"
 
 
@@ -90,6 +92,17 @@ def in_window(col: str | Column, window: ReportWindow, bounds: str = "open") ->
     raise ValueError(f"unknown bounds {bounds!r}")
 
 
+def of_days(df: DataFrame, window: ReportWindow) -> DataFrame:
+    """Rows of the window's days, where the table is partitioned by day: a partition filter, so other days are not listed or opened.
+
+    The stamp's own test still decides; rows without a stamp lie in no
+    day and pass no window either.
+    """
+    if DAY not in df.columns:
+        return df
+    return df.where(F.col(DAY).between(F.lit(window.start.date()), F.lit(window.end.date()))).drop(DAY)
+
+
 def overlaps(start: str | Column, end: str | Column, window: ReportWindow) -> Column:
     """The task-overlap test as four ORed BETWEENs.
 

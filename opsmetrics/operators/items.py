@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import ReportWindow, in_window, overlaps
+from ..functions.windows import ReportWindow, in_window, of_days, overlaps
 from ..spec import ProcessSpec
 
 
@@ -59,7 +59,7 @@ def process_items(
     cond = (F.col("item_table") == spec.item_table) & active_predicate() & in_window("lastmodifieddate", window, bounds)
     if tiers is not None:
         cond = cond & F.col("tier").isin(*tiers)
-    return for_tasks(items.where(cond), overlapping_tasks(tasks, spec, window))
+    return for_tasks(of_days(items, window).where(cond), overlapping_tasks(tasks, spec, window))
 
 
 def branch_distinct(lines: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -72,3 +72,13 @@ def branch_distinct(lines: DataFrame, cols: Iterable[str]) -> DataFrame:
     """
     keys = [c for c in ("warehouse", "tier") if c in lines.columns]
     return lines.select(*keys, *[c for c in cols if c not in keys]).distinct()
+
+
+def one_line_per_id(lines: DataFrame) -> DataFrame:
+    """One line for each item id of a warehouse: the archive line before the live one, then the smallest.
+
+    A minimum over a struct, combined before the shuffle.
+    """
+    rest = [c for c in lines.columns if c not in ("warehouse", "id")]
+    first = F.min(F.struct(*sorted(rest, key=lambda c: c != "tier"))).alias("_line")  # 'archive' sorts before 'live'
+    return lines.groupBy("warehouse", "id").agg(first).select("warehouse", "id", "_line.*").select(*lines.columns)

@@ -5,10 +5,11 @@ order: a row is kept when its status differs from the previous row's.
 A plain window would sort every row of a worker in one task, so a single
 worker holding a large share of the log would become one huge task.
 ``previous_in_order`` therefore splits each worker's log into blocks of
-the order key: ``lag`` runs per (worker, block) and the first row of a
-block takes the last value of the worker's previous non-empty block,
-found the same way over the one-row-per-block table (blocks of blocks),
-so sparse log ids cannot make that second step large either.
+the order key: ``lag`` runs per (worker, block), and only the first and
+last rows of the blocks go on to a second step, where a block's first row
+takes the last value of the worker's block before it (in blocks of blocks,
+so sparse log ids cannot make that step large either).  The whole log is
+scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import classify_module
 from ..functions.measures import exact_sum, micros_to_interval, micros_to_seconds
-from ..functions.windows import ReportWindow, hour_bucket, in_window, micros_since
+from ..functions.windows import ReportWindow, hour_bucket, in_window, micros_since, of_days
 from ..spec import HOUR_SECONDS, STATUS_IN, STATUS_OUT, all_modules
 
 # Width of an order-key block: bounds the rows one window task sorts per worker.
@@ -30,6 +31,28 @@ DEFAULT_LEVELS = 2
 _LAST_BLOCK = (1 << 63) - 1  # block of rows whose order key is NULL: sorts last
 
 
+def _blocked_lag(d: DataFrame, grp: str, blk: str, order: Sequence[Column], value: str, out: str, block: int, level: int) -> DataFrame:
+    """``out`` = the previous row's value within ``grp``; ``d`` is dealt by (grp, blk) once.
+
+    Rows inside a block take it from their block's window.  A block's first
+    and last rows (at most two) go on as the edges: there the first row
+    finds the last row of the block before it, one level up.  Both parts
+    read the same exchange, with all columns, so it is made only once.
+    """
+    prev, rn, nxt, up = (f"_{n}_{level}" for n in ("prev", "rn", "next", "up"))
+    w = Window.partitionBy(grp, blk).orderBy(*order)
+    d = d.withColumns({prev: F.lag(value).over(w), rn: F.row_number().over(w), nxt: F.lead(F.lit(1)).over(w)})
+    inner = d.where(F.col(rn) > 1).withColumn(out, F.col(prev))
+    edges = d.where((F.col(rn) == 1) | F.col(nxt).isNull())
+    along = (F.col(blk).asc(), F.col(rn).asc())
+    if level > 1:
+        edges = edges.withColumn(up, F.expr(f"`{blk}` div {int(block)}"))
+        edges = _blocked_lag(edges, grp, up, along, value, out, block, level - 1).drop(up)
+    else:
+        edges = edges.withColumn(out, F.lag(value).over(Window.partitionBy(grp).orderBy(*along)))
+    return inner.unionByName(edges.where(F.col(rn) == 1)).drop(prev, rn, nxt)
+
+
 def previous_in_order(
     df: DataFrame,
     keys: Sequence[str],
@@ -41,33 +64,26 @@ def previous_in_order(
 ) -> DataFrame:
     """``lag(value) OVER (PARTITION BY keys ORDER BY order NULLS LAST)`` as ``out``, skew-safe.
 
-    Level 1 runs ``lag`` per (key, block of ``block`` order values).  The
-    first row of each block needs the last value of the key's previous
-    non-empty block: that is again a ``lag``, over the one-row-per-block
-    table ordered by block, and it is computed the same way one level up
-    (blocks of ``block`` blocks), so even with sparse order values no task
-    sorts more than about ``block`` rows per level; the top level is a
-    plain window over what is left.
+    The log is dealt once by (key, block of ``block`` order values) and
+    ``lag`` runs there.  Only a block's first and last rows are dealt again,
+    by blocks of blocks (``levels`` times in all), so even with sparse
+    order values no task sorts more than about ``2 * block`` rows per
+    level; the top level is a plain window over what is left.  Rows of
+    one order value follow each other by their other columns, rows
+    without an order value come last, in one block.
     """
     levels = DEFAULT_LEVELS if levels is None else levels
-    sfx = f"_{levels}"
-    grp, blk, prev, rn, last, carry = (f"_grp{sfx}", f"_blk{sfx}", f"_prev{sfx}", f"_rn{sfx}", f"_last{sfx}", f"_carry{sfx}")
-    d = df.withColumn(grp, F.struct(*[F.col(k) for k in keys]))  # struct key: NULL keys still group and join
-    d = d.withColumn(blk, F.coalesce(F.expr(f"`{order}` div {int(block)}"), F.lit(_LAST_BLOCK)))
-    w_in = Window.partitionBy(grp, blk).orderBy(F.col(order).asc_nulls_last())
-    d = d.withColumn(prev, F.lag(value).over(w_in)).withColumn(rn, F.row_number().over(w_in))
-    lasts = d.groupBy(grp, blk).agg(F.max_by(value, order).alias(last))
-    if levels > 1:
-        carried = previous_in_order(lasts, [grp], blk, last, carry, block, levels - 1).drop(last)
-    else:
-        carried = lasts.withColumn(carry, F.lag(last).over(Window.partitionBy(grp).orderBy(blk))).drop(last)
-    d = d.join(carried, [grp, blk], "left")
-    return d.withColumn(out, F.when(F.col(rn) == 1, F.col(carry)).otherwise(F.col(prev))).drop(grp, blk, prev, rn, carry)
+    ties = [F.col(c).asc_nulls_last() for c in df.columns if c != order and c not in keys]
+    # A struct key: NULL keys still make a group.
+    d = df.withColumn("_grp", F.struct(*[F.col(k) for k in keys]))
+    d = d.withColumn("_blk", F.coalesce(F.expr(f"`{order}` div {int(block)}"), F.lit(_LAST_BLOCK)))
+    made = _blocked_lag(d, "_grp", "_blk", (F.col(order).asc_nulls_last(), *ties), value, out, block, levels)
+    return made.drop("_grp", "_blk")
 
 
 def log_filter(worklog: DataFrame, modules: Iterable[str], window: ReportWindow) -> DataFrame:
     """Log rows inside the closed window, status in/out, one of the modules."""
-    return worklog.where(
+    return of_days(worklog, window).where(
         in_window("actiontime", window, "closed")
         & F.col("status").isin(STATUS_IN, STATUS_OUT)
         & F.col("modulename").isin(*modules)

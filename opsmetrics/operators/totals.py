@@ -45,9 +45,13 @@ def measures() -> dict[str, Column]:
     }
 
 
-def worker_totals(lines: DataFrame, names: Iterable[str], keys: Sequence[str] = ("warehouse", "emailaddress")) -> DataFrame:
-    """GROUP BY worker with the named measures."""
+def worker_totals(
+    lines: DataFrame, names: Iterable[str], keys: Sequence[str] = ("warehouse", "emailaddress"), distinct_single: bool = False
+) -> DataFrame:
+    """GROUP BY worker with the named measures; ``distinct_single`` counts single orders by id, not by row."""
     m = measures()
+    if distinct_single:
+        m["single_whpo"] = F.countDistinct(F.when(F.col("whordertype") == WHORDER_SINGLE, F.col("whpoid")))
     return lines.groupBy(*keys).agg(*[m[name].alias(name) for name in names])
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import warehouse_label
 from ..functions.measures import exact_sum, micros_to_seconds, per_hour
-from ..functions.windows import ReportWindow, hour_bucket, in_window, overlaps
+from ..functions.windows import ReportWindow, hour_bucket, in_window, of_days, overlaps
 from ..operators.items import active_predicate, task_predicate
 from ..operators.products import dedup_products, with_category
 from ..operators.sessions import DEFAULT_BLOCK, hourly_time
@@ -71,6 +71,7 @@ def pick_detail(
     specs: Sequence[ProcessSpec] = ALL_SPECS,
     fix_labels: bool = False,
     item_tiers: Iterable[str] = ("archive",),
+    dedup: bool = False,
 ) -> DataFrame:
     """Item lines of every process in [S, E), one row per task master holding the task.
 
@@ -78,10 +79,11 @@ def pick_detail(
     archive master (labelled with the process) UNION ALL archive items whose
     task is in the live master (labelled ``Picking`` whatever the process;
     ``fix_labels=True`` uses the process instead).  No DISTINCT: a task in
-    both masters yields two rows.
+    both masters yields two rows; ``dedup=True`` keeps one of them for each
+    item and process, the archive master's.
     """
     specs = list(specs)
-    it = items.where(
+    it = of_days(items, window).where(
         F.col("item_table").isin(*sorted({s.item_table for s in specs}))
         & F.col("tier").isin(*list(item_tiers))
         & active_predicate()
@@ -106,7 +108,10 @@ def pick_detail(
     for s in specs:
         own = (F.col("item_table") == s.item_table) & (F.col("tasktype") == s.tasktype)
         labels.append(F.when(own & F.col("_in_archive"), F.lit(s.process)))
-        labels.append(F.when(own & F.col("_in_live"), F.lit(s.process if fix_labels else SECOND_BRANCH_LABEL)))
+        second = own & F.col("_in_live") & ~F.col("_in_archive") if dedup else own & F.col("_in_live")
+        labels.append(F.when(second, F.lit(s.process if fix_labels else SECOND_BRANCH_LABEL)))
+    if dedup:  # an item that several copies of the table hold counts once
+        it = it.dropDuplicates(["warehouse", "item_table", "id"])
     rows = it.join(flags, keys, "inner").withColumn("process", F.explode(F.array_compact(F.array(*labels))))
     return rows.select(*DETAIL_COLS)
 
@@ -115,19 +120,12 @@ def _zero_sum(cond: Column, v: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, v).otherwise(F.lit(0.0))), F.lit(0.0))
 
 
-def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame) -> DataFrame:
-    """Worker-hour rows: item totals joined to working time.
-
-    Rows of a NULL worker are dropped (a dataframe group-by drops missing
-    keys) and all-missing sums are 0.  Missing working time becomes one hour,
-    and so does zero time against a positive quantity.  Warehouse names get
-    their short labels; QTY = Quantity - Consumable_Qty.  ``working_us``
-    (exact microseconds) is kept for the roll-ups.
-    """
+def item_totals(detail: DataFrame, products: DataFrame) -> DataFrame:
+    """Item totals per warehouse, process, hour and worker; rows of a NULL worker are dropped, all-missing sums are 0."""
     pq = F.col("processquantity")
     d = detail.where(F.col("emailaddress").isNotNull()).withColumn("timestamp", hour_bucket("lastmodifieddate"))
     d = with_category(d, dedup_products(products), null_safe=True)
-    g = d.groupBy(*RAW_KEYS).agg(
+    return d.groupBy(*RAW_KEYS).agg(
         F.coalesce(F.sum(pq), F.lit(0.0)).alias("Quantity"),
         F.coalesce(F.sum("notfoundquantity"), F.lit(0.0)).alias("totalnotfound"),
         _zero_sum(F.col("businesstype") == BUSINESS_B2B, pq).alias("B2B_Qty"),
@@ -135,7 +133,23 @@ def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame) ->
         _zero_sum(F.col("productcatid") == CATEGORY_BABY_GEAR, pq).alias("BabyGear_Qty"),
         _zero_sum(F.col("productcatid") == CATEGORY_CONSUMABLE, pq).alias("Consumable_Qty"),
     )
-    j = g.join(time.select(*RAW_KEYS, "working_us"), list(RAW_KEYS), "left")
+
+
+def with_time(totals: DataFrame, time: DataFrame) -> DataFrame:
+    """Item totals left join working time (``working_us``, NULL where the worker has none in that hour)."""
+    return totals.join(time.select(*RAW_KEYS, "working_us"), list(RAW_KEYS), "left")
+
+
+def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame) -> DataFrame:
+    """Worker-hour rows: item totals joined to working time.
+
+    Rows of a NULL worker are dropped (a dataframe group-by drops missing
+    keys) and all-missing sums are 0.  Missing working time becomes one hour,
+    and so does zero time against a positive quantity.  Warehouse names get
+    their short labels; QTY = Quantity - Consumable_Qty.  ``working_us``
+    (exact microseconds) is kept for the roll-ups.
+    """
+    j = with_time(item_totals(detail, products), time)
     ws = F.col("working_us")
     filled = (
         F.when(ws.isNull(), F.lit(HOUR_US))

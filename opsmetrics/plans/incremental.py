@@ -26,13 +26,15 @@ recomputed plan or the files being replaced.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import hashlib
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.windows import ReportWindow, next_window, ts_lit
-from ..sources.sinks import append, high_watermark, overwrite_partitions, table_exists
+from ..session import checkpoint_dir
+from ..sources.sinks import append, clear_partitions, high_watermark, overwrite_partitions, table_exists
 from .hourly import daily_report, hourly_pipeline, hourly_report
 
 
@@ -52,14 +54,6 @@ def next_window_frame(results: DataFrame, now: dt.datetime, bootstrap: dt.dateti
     )
 
 
-def touched_dates(window: ReportWindow) -> list[dt.date]:
-    d, out = window.start.date(), []
-    while d <= window.end.date():
-        out.append(d)
-        d += dt.timedelta(days=1)
-    return out
-
-
 def run_increment(
     spark: SparkSession,
     roles,
@@ -98,32 +92,45 @@ def run_window(
     the touched dates are kept.  The merged rows of those dates are
     written to a staging table in the shared checkpoint folder before they
     overwrite their partitions, so the write never reads the files it
-    replaces and nothing downstream recomputes the pipeline.
+    replaces and nothing downstream recomputes the pipeline.  Stored dates
+    of the window that have no rows any more are emptied in all three
+    tables.  The staging table has one name for each target and is
+    emptied after the last write.
     """
-    from ..session import checkpoint_dir
-
     base = target.rstrip("/")
     raw_path, daily_path, hourly_path = f"{base}/raw", f"{base}/daily", f"{base}/hourly"
-    dates = touched_dates(window)
     fresh = hourly_pipeline(roles, window, fix_labels=fix_labels).withColumn("date", F.to_date("timestamp"))
     merged = fresh
+    touched = F.col("date").between(F.lit(window.start.date()), F.lit(window.end.date()))
     if table_exists(spark, raw_path):
         in_window = F.col("timestamp").between(ts_lit(window.start), ts_lit(window.end))
-        kept = spark.read.parquet(raw_path).where(F.col("date").isin(*dates) & ~in_window)
+        kept = spark.read.parquet(raw_path).where(touched & ~in_window)
         merged = fresh.unionByName(kept.select(*fresh.columns))
     # Written once to the shared folder: a Dataset checkpoint would compute the plan twice.
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/raw-stage-{uuid.uuid4().hex}"
-    merged.write.parquet(stage)
-    merged = spark.read.parquet(stage)
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/raw-stage-{hashlib.md5(base.encode()).hexdigest()}"
+    schema = merged.schema
+    merged.write.mode("overwrite").parquet(stage)
+    merged = spark.read.schema(schema).parquet(stage)
+    # Days of the window that any of the tables still holds, though no row is left: at most one row a day.
+    dated = [raw_path] if mode == "append" else [raw_path, daily_path, hourly_path]
+    held = [spark.read.parquet(p).where(touched).select("date") for p in dated if table_exists(spark, p)]
+    gone = []
+    if held:
+        days = reduce(DataFrame.union, held).distinct()
+        gone = [r["date"] for r in days.join(merged.select("date").distinct(), "date", "left_anti").collect()]
     overwrite_partitions(merged, raw_path, ("date",))
+    clear_partitions(spark, raw_path, schema, "date", gone)
 
     if mode == "append":
         hours = merged.where(F.col("timestamp").between(ts_lit(window.start), ts_lit(window.end)))
         append(daily_report(hours), daily_path)
         append(hourly_report(hours), hourly_path)
-        return window
-
-    overwrite_partitions(daily_report(merged), daily_path, ("date",))
-    hourly = hourly_report(merged).withColumn("date", F.to_date("timestamp"))
-    overwrite_partitions(hourly, hourly_path, ("date",))
+    else:
+        daily = daily_report(merged)
+        hourly = hourly_report(merged).withColumn("date", F.to_date("timestamp"))
+        overwrite_partitions(daily, daily_path, ("date",))
+        overwrite_partitions(hourly, hourly_path, ("date",))
+        clear_partitions(spark, daily_path, daily.schema, "date", gone)
+        clear_partitions(spark, hourly_path, hourly.schema, "date", gone)
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(stage)
     return window

@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import warehouse_id_label
-from ..functions.windows import ReportWindow, in_window
+from ..functions.windows import ReportWindow, in_window, of_days
 from ..spec import GRC_ON_HOLD, GRN_NOT_DONE, NOT_ON_HOLD
 
 
 def goods_receipts(
     g: DataFrame, m: DataFrame, i: DataFrame, v: DataFrame, pd: DataFrame, window: ReportWindow
 ) -> DataFrame:
-    g = g.where(in_window("lastmodifieddate", window, "closed")).alias("g")
+    g = of_days(g, window).where(in_window("lastmodifieddate", window, "closed")).alias("g")
     m = m.select("srno", "invreferenceid", "vendorcode").alias("m")
     i = i.select("referenceid").alias("i")
     v = v.select("vendorcode", "name").alias("v")

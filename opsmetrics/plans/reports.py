@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import per_hour
 from ..functions.windows import ReportWindow
-from ..operators.items import branch_distinct, process_items
+from ..operators.items import branch_distinct, one_line_per_id, process_items
 from ..operators.products import product_categories, with_category
 from ..operators.sessions import DEFAULT_BLOCK, session_changes, working_time
 from ..operators.totals import packing_totals, worker_totals
@@ -168,8 +168,13 @@ def report_lines(
     window: ReportWindow,
     extra: Iterable[str] = (),
     warehouses: Iterable[str] | None = None,
+    dedup: bool = False,
 ) -> DataFrame:
-    """Distinct item lines of one process with their product category (fan-out kept)."""
+    """Distinct item lines of one process with their product category (fan-out kept).
+
+    A line in both tiers counts twice, as in the source; with ``dedup``
+    an id counts once, its archive line if there is one.
+    """
     items = roles.items
     if warehouses is not None:
         items = items.where(F.col("warehouse").isin(*list(warehouses)))
@@ -177,6 +182,8 @@ def report_lines(
     # DISTINCT before the category join: DISTINCT(items) JOIN DISTINCT(categories)
     # equals DISTINCT(items JOIN products), with fewer rows through the join.
     lines = branch_distinct(lines, (*LINE_COLS, *extra))
+    if dedup:
+        lines = one_line_per_id(lines)
     return with_category(lines, product_categories(roles.productdetails))
 
 
@@ -212,21 +219,26 @@ def report(
     hours_as: str = "interval",
     order: bool = True,
     block: int = DEFAULT_BLOCK,
+    dedup: bool = False,
+    distinct_single: bool = False,
 ) -> DataFrame:
     """Run report ``key`` (see ``REPORTS``) for a window.
 
     ``warehouses`` restricts the warehouses (all when None);
     ``hours_as`` renders total_working_hrs as an ``interval`` (as the
-    source does), decimal ``hours`` or ``seconds``.
+    source does), decimal ``hours`` or ``seconds``.  Two variants depart
+    from the source: ``dedup`` counts an item that stands in both tiers
+    once, ``distinct_single`` counts distinct single orders in place of
+    their rows, so that the multiple orders cannot become negative.
     """
     d = REPORTS[key]
     whs = list(warehouses) if warehouses is not None else None
-    lines = report_lines(roles, d.spec, window, d.extra, whs)
+    lines = report_lines(roles, d.spec, window, d.extra, whs, dedup)
     needed = _measures_needed(d)
     if d.packing:
         src = packing_totals(lines, roles.ordermaster, KEYS)
     else:
-        src = worker_totals(lines, needed, KEYS)
+        src = worker_totals(lines, needed, KEYS, distinct_single)
     tgt = report_time(roles, d.spec, window, whs, block)
     j = src.join(tgt, list(KEYS), "left")
 

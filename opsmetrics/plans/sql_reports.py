@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.windows import ReportWindow
+from ..functions.windows import ReportWindow, of_days
 from ..operators.sessions import DEFAULT_BLOCK
 from ..sources.roles import Roles
 from .reports import REPORTS
@@ -60,29 +60,24 @@ lg AS (
     AND status IN ('in', 'out') AND array_contains(:modules, modulename)
 ),
 lagged AS (
-  SELECT *, lag(status) OVER (PARTITION BY grp, blk ORDER BY logid NULLS LAST) AS prev_in_block,
-         row_number() OVER (PARTITION BY grp, blk ORDER BY logid NULLS LAST) AS rn
-  FROM lg
+  SELECT *, lag(status) OVER blk_order AS prev, row_number() OVER blk_order AS rn, lead(1) OVER blk_order AS nxt
+  FROM lg WINDOW blk_order AS (PARTITION BY grp, blk ORDER BY logid NULLS LAST, status, actiontime)
 ),
-lasts AS (
-  SELECT grp, blk, blk DIV :block AS blk2, max_by(status, logid) AS last_status FROM lg GROUP BY grp, blk
+edges AS (
+  SELECT *, lag(status) OVER up_order AS prev2, row_number() OVER up_order AS rn2, lead(1) OVER up_order AS nxt2
+  FROM (SELECT *, blk DIV :block AS up FROM lagged WHERE rn = 1 OR nxt IS NULL)
+  WINDOW up_order AS (PARTITION BY grp, up ORDER BY blk, rn)
 ),
-lagged2 AS (
-  SELECT *, lag(last_status) OVER (PARTITION BY grp, blk2 ORDER BY blk) AS prev_in_block2,
-         row_number() OVER (PARTITION BY grp, blk2 ORDER BY blk) AS rn2
-  FROM lasts
+tops AS (
+  SELECT *, lag(status) OVER (PARTITION BY grp ORDER BY up, rn2) AS prev3 FROM edges WHERE rn2 = 1 OR nxt2 IS NULL
 ),
-carry2 AS (
-  SELECT grp, blk2, lag(last2) OVER (PARTITION BY grp ORDER BY blk2) AS carried2
-  FROM (SELECT grp, blk2, max_by(last_status, blk) AS last2 FROM lasts GROUP BY grp, blk2) b2
-),
-carry AS (
-  SELECT l.grp, l.blk, CASE WHEN l.rn2 = 1 THEN c.carried2 ELSE l.prev_in_block2 END AS carried
-  FROM lagged2 l LEFT JOIN carry2 c ON l.grp = c.grp AND l.blk2 = c.blk2
+turns AS (
+  SELECT warehouse, emailaddress, status, actiontime, prev FROM lagged WHERE rn > 1
+  UNION ALL SELECT warehouse, emailaddress, status, actiontime, prev2 FROM edges WHERE rn = 1 AND rn2 > 1
+  UNION ALL SELECT warehouse, emailaddress, status, actiontime, prev3 FROM tops WHERE rn = 1 AND rn2 = 1
 ),
 changes AS (
-  SELECT l.* FROM lagged l LEFT JOIN carry c ON l.grp = c.grp AND l.blk = c.blk
-  WHERE NOT (l.status <=> CASE WHEN l.rn = 1 THEN c.carried ELSE l.prev_in_block END)
+  SELECT * FROM turns WHERE NOT (status <=> prev)
 ),
 wt AS (
   SELECT warehouse, emailaddress,
@@ -128,7 +123,8 @@ def sql_report(
     views = {}
     for role in ("items", "tasks", "productdetails", "worklog"):
         name = f"opsm_{role}_{tag}"
-        getattr(roles, role).createOrReplaceTempView(name)
+        df = getattr(roles, role)
+        (of_days(df, window) if role in ("items", "worklog") else df).createOrReplaceTempView(name)
         views[role] = name
     spec = d.spec
     args = {

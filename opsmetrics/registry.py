@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import catalog, oracle
-from .functions.windows import ReportWindow
+from .functions.windows import DAY, ReportWindow
 from .plans import hourly, incremental, receipts, reports, sql_reports
 from .session import checkpoint_dir
 from .sources import sinks
@@ -77,10 +77,8 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 def q_sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = reports.report(testdata_roles(spark, sf_dir), "report_picking", MONTH, hours_as="hours", order=False)
-    path = _scratch(spark, "csv")
-    sinks.write_csv(df, path)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "warehouse")
-    return sinks.read_csv(spark, path, schema)
+    path = sinks.write_report(df, _scratch(spark, "csv"), "report_picking", MONTH.start)
+    return sinks.read_csv(spark, path, df.schema).select(*df.columns)
 
 
 def q_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +89,26 @@ def q_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# (application, folder) -> the hourly results table that this application has loaded
+_LOADED: dict[tuple[str, str], str] = {}
+
+
+def _hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly results table of one loaded run over the month, written when it is first asked for."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LOADED:
+        target = _scratch(spark, "loaded")
+        incremental.run_window(spark, testdata_roles(spark, sf_dir), target, MONTH)
+        _LOADED[key] = f"{target}/hourly"
+    return spark.read.parquet(_LOADED[key])
+
+
 def q_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.high_watermark(hourly.hourly_report(_raw(spark, sf_dir)))
+    return sinks.high_watermark(_hourly_table(spark, sf_dir))
 
 
 def q_next_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incremental.next_window_frame(hourly.hourly_report(_raw(spark, sf_dir)), AFTER_MONTH)
+    return incremental.next_window_frame(_hourly_table(spark, sf_dir), AFTER_MONTH)
 
 
 def q_incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +133,7 @@ def q_stream_hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log-driven streaming form: new log files trigger recomputation of the days they touch."""
     roles = testdata_roles(spark, sf_dir)
     base = _scratch(spark, "hourly-job")
-    sinks.append(roles.worklog, f"{base}/landing")  # the log as it lands
+    sinks.append(roles.worklog.drop(DAY), f"{base}/landing")  # the log as it lands
     q = hourly_job.start_hourly_job(spark, roles, f"{base}/landing", f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out/daily")

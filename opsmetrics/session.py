@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,15 +38,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (shared storage every executor can
-    reach).  Only when it is unset, as in local tests, a scratch folder is
-    created and registered.
+    Tables written there must be reachable from every executor, so on a
+    cluster the setting is required.  Only on a local master, as in tests,
+    is a scratch folder created where it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()  # a folder of its own inside the one that was set
+    if not d and current:
+        d = current
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         d = tempfile.mkdtemp(prefix="opsmetrics-ckpt-", dir=os.environ.get("OPSMETRICS_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not current:
+        spark.sparkContext.setCheckpointDir(d)
     return d

@@ -14,8 +14,12 @@ mapping in ``sources.testdata``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.windows import DAY
 
 ROLE_NAMES = (
     "items",
@@ -81,6 +85,10 @@ class Roles:
             self._cache[name] = self._loaders[name]()
         return self._cache[name]
 
+    def fresh(self) -> "Roles":
+        """The same roles, resolved anew: a loader that reads files lists them again."""
+        return Roles(self.spark, self._loaders)
+
     def with_role(self, name: str, df: DataFrame) -> "Roles":
         loaders = dict(self._loaders)
         loaders[name] = lambda: df
@@ -91,12 +99,14 @@ def parquet_roles(spark: SparkSession, base: str) -> Roles:
     """Roles stored as ``{base}/{role}`` Parquet directories (any partitioning).
 
     Read with the role schema, so partition columns keep their declared
-    types and column order is the contract's.
+    types and column order is the contract's; a role that is laid out by
+    day has the partition column ``DAY`` after them.
     """
 
     def loader(name: str) -> Callable[[], DataFrame]:
-        cols = [f.strip().split(" ")[0] for f in ROLE_SCHEMAS[name].split(",")]
-        return lambda: spark.read.schema(ROLE_SCHEMAS[name]).parquet(f"{base.rstrip('/')}/{name}").select(*cols)
+        schema = ROLE_SCHEMAS[name] + (f", {DAY} date" if DAY in ROLE_LAYOUT[name][0] else "")
+        cols = [f.strip().split(" ")[0] for f in schema.split(",")]
+        return lambda: spark.read.schema(schema).parquet(f"{base.rstrip('/')}/{name}").select(*cols)
 
     return Roles(spark, {n: loader(n) for n in ROLE_NAMES})
 
@@ -105,12 +115,12 @@ def parquet_roles(spark: SparkSession, base: str) -> Roles:
 # reports' process / tier / type filters) and the sort inside each file
 # (so min/max statistics let the window filters skip row groups).
 ROLE_LAYOUT = {
-    "items": (("item_table", "tier"), ("lastmodifieddate",)),
+    "items": (("item_table", "tier", DAY), ("lastmodifieddate",)),
     "tasks": (("tier", "tasktype"), ("startdate",)),
-    "worklog": ((), ("actiontime",)),
+    "worklog": ((DAY,), ("actiontime",)),
     "productdetails": ((), ("productid",)),
     "ordermaster": ((), ("poid",)),
-    "grc_g": ((), ("lastmodifieddate",)),
+    "grc_g": ((DAY,), ("lastmodifieddate",)),
     "grc_m": ((), ("srno",)),
     "grc_i": ((), ("referenceid",)),
     "grc_v": ((), ("vendorcode",)),
@@ -121,7 +131,9 @@ ROLE_LAYOUT = {
 def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite") -> None:
     """Write a role table in its layout (``ROLE_LAYOUT``)."""
     parts, order = ROLE_LAYOUT[role]
-    out = df.hint("rebalance", *parts) if parts else df
+    if DAY in parts:
+        df = df.withColumn(DAY, F.to_date(order[0]))
+    out = df.hint("rebalance", *parts)
     out = out.sortWithinPartitions(*parts, *order)
     w = out.write.mode(mode)
     if parts:
@@ -129,14 +141,46 @@ def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite") ->
     w.parquet(path)
 
 
-def jdbc_roles(spark: SparkSession, url: str, tables: dict[str, str], properties: dict[str, str]) -> Roles:
-    """Roles read over JDBC, one ``dbtable`` (or ``(subquery) alias``) per role.
+@dataclass(frozen=True)
+class JdbcSplit:
+    """How a role's table is read by several connections: a number, date or timestamp column cut at even steps."""
+
+    column: str
+    lower: str
+    upper: str
+    partitions: int
+
+
+def jdbc_options(url: str, table: str, split: JdbcSplit | None = None, fetch: int = 10_000) -> dict[str, str]:
+    """Options of one role's JDBC read; rows outside the split's bounds go to its first and last part."""
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetch), "pushDownPredicate": "true"}
+    if split is not None:
+        options |= {"partitionColumn": split.column, "lowerBound": split.lower, "upperBound": split.upper, "numPartitions": str(split.partitions)}
+    return options
+
+
+def as_role(df: DataFrame, role: str) -> DataFrame:
+    """A loaded table with the role's columns and types (databases have their own number and time types)."""
+    fields = [f.strip().split(" ") for f in ROLE_SCHEMAS[role].split(",")]
+    return df.select(*[df[name].cast(kind).alias(name) for name, kind in fields])
+
+
+def jdbc_roles(
+    spark: SparkSession,
+    url: str,
+    tables: dict[str, str],
+    properties: dict[str, str],
+    splits: dict[str, JdbcSplit] | None = None,
+) -> Roles:
+    """Roles read over JDBC, one ``dbtable`` (or ``(subquery) alias``) per role, cast to the role schema.
 
     Filters and column selections of the reports are pushed into the
-    database query by Spark's JDBC source.
+    database query by Spark's JDBC source.  A role named in ``splits`` is
+    read in that many parts at once; without, by one connection.
     """
 
-    def loader(table: str) -> Callable[[], DataFrame]:
-        return lambda: spark.read.jdbc(url, table, properties=properties)
+    def loader(role: str) -> Callable[[], DataFrame]:
+        options = jdbc_options(url, tables[role], (splits or {}).get(role))
+        return lambda: as_role(spark.read.format("jdbc").options(**options, **properties).load(), role)
 
-    return Roles(spark, {n: loader(t) for n, t in tables.items()})
+    return Roles(spark, {role: loader(role) for role in tables})

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,15 +31,36 @@ def report_dir(base: str, report: str, start: dt.datetime, run: dt.datetime | No
     return f"{base.rstrip('/')}/{report}/start={start:%Y-%m-%d}/run={run:%Y%m%d%H%M%S}"
 
 
-def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("warehouse",), mode: str = "overwrite") -> None:
-    """Header CSV, one sub-directory per warehouse (the source wrote one file per warehouse)."""
+def write_csv(
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = ("warehouse",),
+    order: tuple[str, ...] = ("emailaddress",),
+    mode: str = "overwrite",
+) -> None:
+    """Header CSV, one sub-directory ``for_warehouse=...`` each (the source wrote one file per warehouse).
+
+    The warehouse is also a column of the files, and the rows of a file
+    are in the report's worker order.
+    """
     cols = [c for c in partition_by if c in df.columns]
-    w = rebalanced(_printable(df), tuple(cols)).write.mode(mode).option("header", True)
-    if cols:
-        w = w.partitionBy(*cols)
+    out = _printable(df).withColumns({f"for_{c}": F.col(c) for c in cols})
+    parts = tuple(f"for_{c}" for c in cols)
+    keys = [F.col(c).asc_nulls_last() for c in (*parts, *(c for c in order if c in df.columns))]
+    out = rebalanced(out, parts)
+    w = (out.sortWithinPartitions(*keys) if keys else out).write.mode(mode).option("header", True)
+    if parts:
+        w = w.partitionBy(*parts)
     w.csv(path)
 
 
+def write_report(df: DataFrame, base: str, report: str, start: dt.datetime, run: dt.datetime | None = None) -> str:
+    """Write a report's CSV under its stamped name (``report_dir``); returns the folder."""
+    path = report_dir(base, report, start, run)
+    write_csv(df, path)
+    return path
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
@@ -76,12 +98,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]
     )
 
 
+def clear_partitions(spark: SparkSession, path: str, schema: T.StructType, partition: str, values) -> None:
+    """Empty the given values' partition folders of a table partitioned by one column."""
+    inner = T.StructType([f for f in schema.fields if f.name != partition])
+    for v in values:
+        spark.createDataFrame([], inner).write.mode("overwrite").parquet(f"{path}/{partition}={v}")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """False for a path that is not there or holds no data files; any other failure rises."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing path or empty table
-        return False
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def high_watermark(results: DataFrame, col: str = "timestamp") -> DataFrame:

@@ -17,9 +17,12 @@ the DuckDB versions.
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from ..spec import WAREHOUSE_IDS
 from .roles import Roles, parquet_roles, store_role
 
@@ -44,7 +47,9 @@ def _warehouse(col: str) -> str:
     return f"CASE ({col} % 40) % 6 {arms} END"
 
 
-ITEM_STAMP = _plus(f"{_day('l_shipdate')} * 86400 + (l_partkey * 37 + l_linenumber * 3607) % 86400")
+# Some lines stand exactly on the first or the last second of their day.
+ITEM_STAMP = _plus(f"{_day('l_shipdate')} * 86400 + (CASE l_partkey % 50 WHEN 0 THEN 0 WHEN 1 THEN 86399 "
+                   "ELSE (l_partkey * 37 + l_linenumber * 3607) % 86400 END)")
 GRC_WAREHOUSE_IDS = (*WAREHOUSE_IDS, 5)  # the seventh id has no label
 
 ITEMS = [
@@ -102,7 +107,8 @@ WORKLOG = [
     "WHEN event_type = 'view' THEN 'b2c_pick_completed_orders' WHEN event_type = 'signup' THEN 'b2c_consolidate_orders' "
     "WHEN event_type = 'purchase' THEN 'bin/box_packing' WHEN event_type = 'error' THEN 'qc_shipping' END AS modulename",
     f"CASE WHEN {_K} % 10 = 0 THEN 'break' WHEN {_K} % 2 = 1 THEN 'in' ELSE 'out' END AS status",
-    "ts AS actiontime",
+    "CASE event_id % 97 WHEN 0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) "
+    "WHEN 1 THEN timestampadd(SECOND, 86399, CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ)) ELSE ts END AS actiontime",
 ]
 
 ORDERMASTER = [
@@ -180,79 +186,48 @@ _BUILDERS = {
 }
 
 
-SPREAD_MIN_BYTES = 1 << 20  # smaller single files are read by one task anyway
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread a single-file input over the cluster's cores.
-
-    The provided tables are one Parquet file with one row group each, so a
-    plain scan is one task and everything up to the first shuffle runs on
-    one core.  A round-robin repartition right after the scan (filters and
-    column pruning still reach the scan) gives the per-row work to every
-    core.  Inputs made of many files, the normal case at scale, are left
-    as they are.
-    """
-    files = df.inputFiles()
-    if len(files) != 1:
-        return df
-    spark = df.sparkSession
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(files[0])
-    size = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(jpath).getLen()
-    if size < SPREAD_MIN_BYTES:  # small enough for one task
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism)
-
-
 def role_frame(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     table, fn = _BUILDERS[role]
-    return fn(_spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")))
+    return fn(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
 
 
-_CACHE: dict[tuple[int, str], Roles] = {}
-_STAGED: dict[tuple[int, str], Roles] = {}
+# (application, folder, role) -> (state of the source table, stored role)
+_STAGED: dict[tuple[str, str, str], tuple[tuple, DataFrame]] = {}
 _LOCK = threading.RLock()
 
 
 def mapped_roles(spark: SparkSession, sf_dir: str) -> Roles:
     """Roles computed on the fly over ``{sf_dir}/{table}.parquet`` (plans only, nothing written)."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-    with _LOCK:
-        roles = _CACHE.get(key)
-        if roles is None:
-            loaders = {name: (lambda n=name: role_frame(spark, sf_dir, n)) for name in _BUILDERS}
-            roles = _CACHE[key] = Roles(spark, loaders)
-        return roles
+    return Roles(spark, {name: (lambda n=name: role_frame(spark, sf_dir, n)) for name in _BUILDERS})
+
+
+def _state(spark: SparkSession, sf_dir: str, table: str) -> tuple:
+    """Rows and newest modification of a source table, asked of Spark, whatever store it lies in."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return tuple(df.agg(F.count(F.lit(1)), F.max("_metadata.file_modification_time")).first())
 
 
 def testdata_roles(spark: SparkSession, sf_dir: str) -> Roles:
-    """Roles over the test tables, stored once per session as partitioned Parquet.
-
-    The first call maps every role from the provided tables and writes it
-    in its storage layout (``ROLE_LAYOUT``: items by process table and
-    tier, tasks by tier and type, files sorted by their time column) into
-    the shared checkpoint folder; later calls read those tables, so the
-    reports get the partition pruning and pushed-down window filters they
-    get on a real deployment.  The source files' modification times are
-    part of the key, so changed inputs are staged again.
+    """Roles over the test tables, each stored as Parquet when it is first asked for.
+
+    A role is mapped from its provided table and written in its storage
+    layout (``ROLE_LAYOUT``) into the shared checkpoint folder; later
+    calls of the same application read that table, so the reports get the
+    partition pruning and pushed-down window filters they get on a real
+    deployment.  A source table that has changed since is staged again.
     """
-    import os
-    import uuid
-
-    from ..session import checkpoint_dir
-
-    base_dir = sf_dir.rstrip("/")
-    stamp = tuple(
-        os.path.getmtime(f"{base_dir}/{t}.parquet") if os.path.exists(f"{base_dir}/{t}.parquet") else 0 for t in TABLES
-    )
-    key = (id(spark._jsparkSession), base_dir, stamp)
-    with _LOCK:
-        roles = _STAGED.get(key)
-        if roles is not None:
-            return roles
-        mapped = mapped_roles(spark, sf_dir)
-        target = f"{checkpoint_dir(spark).rstrip('/')}/roles-{uuid.uuid4().hex}"
-        for name in _BUILDERS:
-            store_role(getattr(mapped, name), f"{target}/{name}", name)
-        roles = _STAGED[key] = parquet_roles(spark, target)
-        return roles
+    base = sf_dir.rstrip("/")
+
+    def stored(role: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, base, role)
+        with _LOCK:
+            state = _state(spark, base, _BUILDERS[role][0])
+            known = _STAGED.get(key)
+            if known and known[0] == state:
+                return known[1]
+            target = f"{checkpoint_dir(spark).rstrip('/')}/roles-{uuid.uuid4().hex}"
+            store_role(role_frame(spark, base, role), f"{target}/{role}", role)
+            _STAGED[key] = (state, getattr(parquet_roles(spark, target), role))
+            return _STAGED[key][1]
+
+    return Roles(spark, {name: (lambda n=name: stored(n)) for name in _BUILDERS})

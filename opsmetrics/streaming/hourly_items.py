@@ -2,16 +2,17 @@
 
 The hourly job reloads complete hours; the streaming form reads item
 detail rows as they land in a directory, assigns them to one-hour
-tumbling windows and emits a window once the event-time watermark has
-passed its end (append mode), so every hour is written once, final.
+tumbling windows and emits the totals of every hour that a micro-batch
+changed, the hour still open included (update mode); the sink keeps each
+batch's changes apart and the newest totals of an hour are the valid ones.
 Rows arriving later than the watermark allows are dropped by Spark;
 the watermark delay is that explicit bound.
 
 Only sums are streamed: exact distinct counts are not supported on
 streams, and the working-time side needs ``lag`` over each worker's log,
 which streams do not support either; those stay in the batch job.
-The category lookup is a stream-static left join to the deduplicated
-product table.
+The category lookup is a NULL-safe stream-static left join to the
+deduplicated product table, as in the batch job.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.windows import instant_to_ntz, ntz_to_instant
-from ..operators.products import dedup_products
+from ..operators.products import dedup_products, with_category
 from ..spec import CATEGORY_CONSUMABLE
 
 DETAIL_SCHEMA = T.StructType(
@@ -47,14 +48,9 @@ def hourly_item_totals(detail_stream: DataFrame, products: DataFrame, delay: str
     fall on whole wall-clock hours in any session zone) and mapped back on
     output.
     """
-    cats = dedup_products(products).select("productid", "productcatid")
     pq = F.col("processquantity")
-    s = (
-        detail_stream.where(F.col("emailaddress").isNotNull())
-        .withColumn("event_time", ntz_to_instant("lastmodifieddate"))
-        .join(cats, "productid", "left")
-        .withWatermark("event_time", delay)
-    )
+    s = detail_stream.where(F.col("emailaddress").isNotNull()).withColumn("event_time", ntz_to_instant("lastmodifieddate"))
+    s = with_category(s, dedup_products(products), null_safe=True).withWatermark("event_time", delay)
     g = s.groupBy(F.window("event_time", "1 hour").alias("w"), "warehouse", "process").agg(
         F.coalesce(F.sum(pq), F.lit(0.0)).alias("Quantity"),
         F.coalesce(F.sum("notfoundquantity"), F.lit(0.0)).alias("totalnotfound"),
@@ -73,6 +69,19 @@ def hourly_item_totals(detail_stream: DataFrame, products: DataFrame, delay: str
     )
 
 
+TOTALS = ("warehouse string, process string, timestamp timestamp_ntz, Quantity double, totalnotfound double, "
+          "Consumable_Qty double, QTY double")
+KEYS = ("warehouse", "process", "timestamp")
+
+
+def current_totals(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The newest totals of every hour: each batch's folder holds the hours it changed."""
+    rows = spark.read.schema(TOTALS + ", batch long").parquet(sink_dir)
+    values = [c for c in rows.columns if c not in KEYS]
+    newest = rows.groupBy(*KEYS).agg(F.max_by(F.struct(*values), "batch").alias("v"))
+    return newest.select(*KEYS, "v.*").drop("batch")
+
+
 def run_available(
     spark: SparkSession,
     source_dir: str,
@@ -84,23 +93,26 @@ def run_available(
 ) -> DataFrame:
     """Process everything currently in ``source_dir`` (trigger availableNow) into a Parquet sink.
 
-    The query's checkpoint makes reruns continue where the last run
-    stopped; the sink is read back and returned.
+    Update mode: every micro-batch writes the hours it changed, the open
+    one included, into a folder of its own number; a batch that is
+    repeated after a failure replaces its own folder, so nothing counts
+    twice.  The query's checkpoint makes reruns continue where the last
+    run stopped; the newest totals are returned.
     """
+
+    def load(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
+
     reader = spark.readStream.schema(DETAIL_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
     q = (
-        hourly_item_totals(stream, products, delay)
-        .writeStream.outputMode("append")
-        .format("parquet")
+        hourly_item_totals(reader.parquet(source_dir), products, delay)
+        .writeStream.outputMode("update")
+        .foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(sink_dir)
+        .start()
     )
     q.awaitTermination()
-    return spark.read.schema(
-        "warehouse string, process string, timestamp timestamp_ntz, Quantity double, totalnotfound double, "
-        "Consumable_Qty double, QTY double"
-    ).parquet(sink_dir)
+    return current_totals(spark, sink_dir)

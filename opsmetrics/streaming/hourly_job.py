@@ -23,14 +23,16 @@ from ..plans.incremental import run_window
 from ..sources.roles import ROLE_SCHEMAS
 
 
-def touched_days(batch: DataFrame, col: str = "actiontime") -> ReportWindow | None:
-    """Whole days from the first to the last row of a batch (two scalars to the driver)."""
-    lo, hi = batch.agg(F.min(col), F.max(col)).first()
-    if lo is None:
-        return None
-    start = dt.datetime.combine(lo.date(), dt.time())
-    end = dt.datetime.combine(hi.date(), dt.time(23, 59, 59))
-    return ReportWindow(start, end)
+def touched_days(batch: DataFrame, col: str = "actiontime") -> list[ReportWindow]:
+    """The days that received rows, neighbouring days as one window (one date per day to the driver)."""
+    rows = batch.select(F.to_date(col).alias("day")).where("day is not null").distinct().collect()
+    runs: list[list[dt.date]] = []
+    for day in sorted(r["day"] for r in rows):
+        if runs and day - runs[-1][1] == dt.timedelta(days=1):
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    return [ReportWindow(dt.datetime.combine(a, dt.time()), dt.datetime.combine(b, dt.time(23, 59, 59))) for a, b in runs]
 
 
 def start_hourly_job(
@@ -45,9 +47,9 @@ def start_hourly_job(
     """Watch ``landing`` (work-log rows in the role schema) and keep ``target`` up to date."""
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        w = touched_days(batch)
-        if w is not None:
-            run_window(spark, roles, target, w, mode="upsert")
+        for w in touched_days(batch):
+            # Resolved for each batch: a frame kept from before would read the files of that time.
+            run_window(spark, roles.fresh(), target, w, mode="upsert")
 
     reader = spark.readStream.schema(ROLE_SCHEMAS["worklog"])
     if max_files_per_trigger:

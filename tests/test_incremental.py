@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import uuid
 
+import pytest
 from conftest import T, make_roles
 from pyspark.sql import functions as F
 
@@ -84,11 +85,76 @@ def test_csv_round_trip_with_interval(spark):
     sinks.write_csv(df, path)
     back = spark.read.option("header", True).csv(path)
     assert back.count() == df.count()
-    assert set(back.columns) == set(df.columns)
-    assert os.path.isdir(os.path.join(path, "warehouse=whracks10"))
+    assert back.drop("for_warehouse").columns == df.columns
+    assert os.path.isdir(os.path.join(path, "for_warehouse=whracks10"))
 
 
-def test_stream_emits_closed_hours(spark):
+def test_csv_files_hold_the_warehouse_and_the_worker_order(spark):
+    df = spark.createDataFrame([("w%02d" % (i * 7 % 20), "whracks2", i) for i in range(20)], "emailaddress string, warehouse string, n int")
+    path = sinks.write_report(df.repartition(4), target(spark), "report_x", dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 9, 1, 2, 3))
+    assert path.endswith("/report_x/start=2024-01-08/run=20240109010203")
+    folder = os.path.join(path, "for_warehouse=whracks2")
+    for name in (n for n in os.listdir(folder) if n.endswith(".csv")):
+        head, *rows = open(os.path.join(folder, name)).read().split()
+        assert head == "emailaddress,warehouse,n" and rows == sorted(rows) and all(",whracks2," in r for r in rows)
+
+
+def test_a_read_error_is_not_a_missing_table(spark):
+    assert not sinks.table_exists(spark, target(spark))
+    with pytest.raises(Exception):  # noqa: B017, PT011 - whatever the file system says
+        sinks.table_exists(spark, "nosuchscheme://x/y")
+
+
+def test_dates_without_rows_are_emptied_and_staging_is_cleared(spark):
+    from opsmetrics.plans.incremental import run_window
+
+    r, tgt = roles(spark), target(spark)
+    w = ReportWindow.of(DAY + "00:00:00", DAY + "23:59:59")
+    run_window(spark, r, tgt, w)
+    before = set(os.listdir(checkpoint_dir(spark)))
+    assert spark.read.parquet(f"{tgt}/daily").count() == 1
+    run_window(spark, r.with_role("items", r.items.where("false")), tgt, w)
+    for table in ("raw", "daily", "hourly"):
+        assert spark.read.parquet(f"{tgt}/{table}").count() == 0, table
+    run_window(spark, r, tgt, w)
+    assert spark.read.parquet(f"{tgt}/daily").count() == 1
+    assert set(os.listdir(checkpoint_dir(spark))) == before
+    stages = [s for s in before if s.startswith("raw-stage-")]
+    assert all(spark.read.parquet(os.path.join(checkpoint_dir(spark), s)).count() == 0 for s in stages)
+
+
+def test_touched_days_are_distinct(spark):
+    from opsmetrics.streaming.hourly_job import touched_days
+
+    rows = [(T("2023-01-08 10:00"),), (T(DAY + "10:00"),), (T("2024-01-09 01:00"),), (T("2024-01-09 02:00"),), (None,)]
+    got = [(w.start_text, w.end_text) for w in touched_days(spark.createDataFrame(rows, "actiontime timestamp_ntz"))]
+    assert got == [("2023-01-08 00:00:00", "2023-01-08 23:59:59"), ("2024-01-08 00:00:00", "2024-01-09 23:59:59")]
+
+
+def test_hourly_job_sees_later_files(spark):
+    from opsmetrics.sources.roles import Roles
+    from opsmetrics.streaming.hourly_job import start_hourly_job
+
+    r, base = roles(spark), target(spark)
+    log = r.worklog
+    schema = log.schema
+    landing = f"{base}/landing"
+    loaders = {n: (lambda n=n: getattr(r, n)) for n in ("items", "tasks", "productdetails")}
+    live = Roles(spark, loaders | {"worklog": lambda: spark.read.schema(schema).parquet(landing)})
+
+    def land(part):
+        part.coalesce(1).write.mode("append").parquet(landing)
+        start_hourly_job(spark, live, landing, f"{base}/out", f"{base}/ck").awaitTermination()
+
+    land(log.where("logid <= 1"))
+    land(log.where("logid > 1"))
+    got = {(x.emailaddress, x.timestamp.hour): x.working_sec for x in spark.read.parquet(f"{base}/out/raw").collect()}
+    fresh = {(x.emailaddress, x.timestamp.hour): x.working_sec
+             for x in hourly_pipeline(r, ReportWindow.of(DAY + "00:00:00", DAY + "23:59:59")).collect()}
+    assert got == fresh and got[("a", 10)] == 1800.0
+
+
+def test_stream_emits_every_hour(spark):
     r = roles(spark)
     w = ReportWindow.of(DAY + "09:00:00", DAY + "12:59:59")
     base = target(spark)
@@ -98,6 +164,17 @@ def test_stream_emits_closed_hours(spark):
     sinks.append(detail.withColumn("day", F.to_date("lastmodifieddate")), f"{base}/in", ("day",))
     out = run_available(spark, f"{base}/in", r.productdetails, f"{base}/out", f"{base}/ck", delay="0 seconds")
     got = {x.timestamp.hour: x.QTY for x in out.collect()}
-    assert got == {9: 4.0, 10: 2.0, 11: 2.0}  # 12:00 is still open (latest event 12:30)
+    assert got == {9: 4.0, 10: 2.0, 11: 2.0, 12: 2.0}  # 12:00 is still open (latest event 12:30)
     batch = hourly_report(hourly_pipeline(r, w)).collect()
-    assert {x.timestamp.hour: x.QTY for x in batch if x.timestamp.hour < 12} == got
+    assert {x.timestamp.hour: x.QTY for x in batch} == got
+
+
+def test_stream_of_several_batches_counts_once(spark):
+    from opsmetrics.plans.hourly import pick_detail
+
+    r, base = roles(spark), target(spark)
+    detail = pick_detail(r.items, r.tasks, ReportWindow.of(DAY + "09:00:00", DAY + "12:59:59"))
+    for h in ("lastmodifieddate < '2024-01-08 09:30:00'", "lastmodifieddate >= '2024-01-08 09:30:00'"):
+        detail.where(h).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        out = run_available(spark, f"{base}/in", r.productdetails, f"{base}/out", f"{base}/ck", delay="1 hour")
+    assert {x.timestamp.hour: x.QTY for x in out.collect()} == {9: 4.0, 10: 2.0, 11: 2.0, 12: 2.0}

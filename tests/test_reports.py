@@ -155,3 +155,18 @@ def test_results_do_not_depend_on_session_time_zone(spark):
             assert run() == base, tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_variants_count_items_and_single_orders_once(spark):
+    its = [item(id=1, item_table="qc", whordertype="Single", whpoid=5), item(id=1, item_table="qc", tier="live", whordertype="Single", whpoid=5),
+           item(id=2, item_table="qc", whordertype="Single", whpoid=5)]
+    tks = [task(tasktype="QCShipping"), task(tier="live", tasktype="QCShipping")]
+    roles = make_roles(spark, items=its, tasks=tks, worklog=LOG)
+    plain = report(roles, "report_qc_v2", W).first()
+    assert (plain.single_whpo, plain.multiple_whpo) == (3, -2)
+    fixed = report(roles, "report_qc_v2", W, dedup=True, distinct_single=True).first()
+    assert (fixed.single_whpo, fixed.multiple_whpo, fixed.total_qty) == (1, 0, 2 * its[0]["processquantity"])
+    from opsmetrics.plans.hourly import pick_detail
+
+    assert pick_detail(roles.items, roles.tasks, W).count() == 4
+    assert sorted(r.process for r in pick_detail(roles.items, roles.tasks, W, dedup=True).collect()) == ["QC", "QC"]
