@@ -143,13 +143,10 @@ def q_stream_hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG_DAYS = ReportWindow.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 
 
-def _run_windows() -> list[ReportWindow]:
-    out, mark = [], None
-    for i, now in enumerate(RUNS):
-        w = incremental.next_window(mark, now, BOOTSTRAP if i == 0 else None)
-        out.append(w)
-        mark = w.end.replace(minute=0, second=0)
-    return out
+def _run_bounds() -> tuple[ReportWindow, list[dt.datetime]]:
+    """The first run's window and the ends of the later ones."""
+    first, *later = (incremental.next_window(None, now, BOOTSTRAP) for now in RUNS)
+    return first, [w.end for w in later]
 
 
 def q_param_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +193,7 @@ def oracle_sql() -> dict[str, str]:
     out["sink_append"] = oracle.sink_append_sql(MONTH)
     out["high_watermark"] = oracle.high_watermark_sql(MONTH)
     out["next_window"] = oracle.next_window_sql(MONTH, AFTER_MONTH)
-    out["incremental_run"] = oracle.incremental_sql(_run_windows())
+    out["incremental_run"] = oracle.incremental_sql(*_run_bounds())
     out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
-    out["stream_hourly_job"] = oracle.incremental_sql([LOG_DAYS])
+    out["stream_hourly_job"] = oracle.incremental_sql(LOG_DAYS, [])
     return out
