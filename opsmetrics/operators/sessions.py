@@ -28,7 +28,8 @@ from ..spec import HOUR_SECONDS, STATUS_IN, STATUS_OUT, all_modules
 DEFAULT_BLOCK = 1 << 20
 # Block levels: 2 keeps the block-carry step bounded even for sparse order keys.
 DEFAULT_LEVELS = 2
-_LAST_BLOCK = (1 << 63) - 1  # block of rows whose order key is NULL: sorts last
+# Rows whose order key is NULL sort last, in this many blocks: their order among themselves is free.
+_LAST_BLOCK, _LAST_BLOCKS = 1 << 62, 4096
 
 
 def _blocked_lag(d: DataFrame, grp: str, blk: str, order: Sequence[Column], value: str, out: str, block: int, level: int) -> DataFrame:
@@ -70,13 +71,14 @@ def previous_in_order(
     order values no task sorts more than about ``2 * block`` rows per
     level; the top level is a plain window over what is left.  Rows of
     one order value follow each other by their other columns, rows
-    without an order value come last, in one block.
+    without an order value come last, spread over blocks by a hash.
     """
     levels = DEFAULT_LEVELS if levels is None else levels
     ties = [F.col(c).asc_nulls_last() for c in df.columns if c != order and c not in keys]
     # A struct key: NULL keys still make a group.
     d = df.withColumn("_grp", F.struct(*[F.col(k) for k in keys]))
-    d = d.withColumn("_blk", F.coalesce(F.expr(f"`{order}` div {int(block)}"), F.lit(_LAST_BLOCK)))
+    last = F.lit(_LAST_BLOCK) + F.pmod(F.xxhash64(*df.columns), F.lit(_LAST_BLOCKS))
+    d = d.withColumn("_blk", F.coalesce(F.expr(f"`{order}` div {int(block)}"), last))
     made = _blocked_lag(d, "_grp", "_blk", (F.col(order).asc_nulls_last(), *ties), value, out, block, levels)
     return made.drop("_grp", "_blk")
 

@@ -53,7 +53,7 @@ src AS (
 ),
 lg AS (
   SELECT named_struct('warehouse', warehouse, 'emailaddress', emailaddress) AS grp,
-         coalesce(logid DIV :block, 9223372036854775807) AS blk,
+         coalesce(logid DIV :block, 4611686018427387904 + pmod(xxhash64(status, actiontime), 4096)) AS blk,
          warehouse, emailaddress, logid, status, actiontime
   FROM IDENTIFIER(:worklog)
   WHERE actiontime BETWEEN to_timestamp_ntz(:s) AND to_timestamp_ntz(:e)

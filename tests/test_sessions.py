@@ -93,3 +93,16 @@ def test_previous_in_order_levels_with_sparse_ids(spark, levels):
     for block in (2, 16, 1 << 20):
         got = {r.logid: r.prev for r in previous_in_order(df, ["k"], "logid", "status", "prev", block, levels).collect()}
         assert got == ref, (block, levels)
+
+
+def test_rows_without_an_order_value_come_last_once_each(spark):
+    rows = [("k", i if i < 20 else None, f"s{i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, logid bigint, status string")
+    for block in (3, 1 << 20):
+        got = previous_in_order(df, ["k"], "logid", "status", "prev", block).collect()
+        follows = {r.prev: r.status for r in got}
+        seen, at = [], None
+        while at in follows:
+            at = follows[at]
+            seen.append(at)
+        assert seen[:20] == [f"s{i}" for i in range(20)] and sorted(seen) == sorted(f"s{i}" for i in range(60))
