@@ -48,10 +48,12 @@ BOILER_NAMES = (
     "share sharing social newsletter subscribe subscription signup login related recommended popup modal overlay widget pagination pager toolbar "
     "copyright legal disclaimer"
 )
+COMMENT_NAMES = "comment comments reply replies ad ads advert advertisement promo sponsored related"  # of an article that is not the page's
+NEGATIONS = "has with no without is not"  # "has-sidebar" names a page, not a sidebar
 BOILER_ROLES = "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar"
 
-_raw, _boiler, _main, _inline, _void, _auto, _names, _roles = (
-    frozenset(x.split()) for x in (RAW, BOILER, MAIN, INLINE, VOID, AUTO_CLOSED, BOILER_NAMES, BOILER_ROLES)
+_boiler, _main, _inline, _void, _auto, _names, _other, _negated, _roles = (
+    frozenset(x.split()) for x in (BOILER, MAIN, INLINE, VOID, AUTO_CLOSED, BOILER_NAMES, COMMENT_NAMES, NEGATIONS, BOILER_ROLES)
 )
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
@@ -63,18 +65,28 @@ _TAG = re.compile(
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.IGNORECASE)
 
 
-def _is_boiler(name: str, attrs: str) -> bool:
+def _named(value: str, names: frozenset) -> bool:
+    """Whether a class or id attribute has one of the names as a part of a word."""
+    for word in value.split():
+        parts = [p for p in re.split(r"[^a-z0-9]+", word) if p]
+        if parts and parts[0] not in _negated and not names.isdisjoint(parts):
+            return True
+    return False
+
+
+def _is_boiler(name: str, attrs: str, by_name: bool) -> bool:
     if name in _boiler:
         return True
-    if name in ("html", "body") or name in _main or not attrs.strip():
+    if name in ("html", "body") or not by_name or not attrs.strip():
         return False
+    names = _other if name in _main else _names
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
             return True
         if key == "role" and value in _roles:
             return True
-        if key in ("class", "id") and not _names.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        if key in ("class", "id") and _named(value, names):
             return True
     return False
 
@@ -82,7 +94,8 @@ def _is_boiler(name: str, attrs: str) -> bool:
 class Page:
     """A page's tokens: for each its class, text (None: a tag), element and whether boilerplate encloses it."""
 
-    def __init__(self, source: str | None):
+    def __init__(self, source: str | None, by_name: bool = True):
+        self._source, self._by_name = source, by_name
         self.kinds: list[str] = []
         self.texts: list[str | None] = []
         self.sizes: list[int] = []
@@ -144,7 +157,7 @@ class Page:
             self.parent.append(self._stack[-1])
             self.names.append(name)
             self._stack.append(len(self.names) - 1)
-            self._marked.append(self._marked[-1] or _is_boiler(name, attrs))
+            self._marked.append(self._marked[-1] or _is_boiler(name, attrs, self._by_name))
         self._add("t:boiler" if self._marked[-1] else kind, None, 1, breaks)
 
     # -- choosing the content
@@ -173,6 +186,13 @@ class Page:
         return found
 
     def content(self, weights: dict[str, float]) -> str:
+        text = self._content(weights)
+        if not text and self._by_name and any(b and n and t is not None for b, n, t in zip(self.boiler, self.sizes, self.texts)):
+            # A name that stands for boilerplate may also be given to the whole page: go by elements alone.
+            return Page(self._source, by_name=False)._content(weights)
+        return text
+
+    def _content(self, weights: dict[str, float]) -> str:
         found = self.region(weights)
         if not found:
             return ""

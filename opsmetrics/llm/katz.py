@@ -55,10 +55,11 @@ RANKS = 20  # counts of counts kept for the discounts
 PART_KEYS = 1 << 20
 _END, _START = b" ", b"  "  # no word holds a blank
 
-BATCH = "batch long, ids array<long>, held binary, sizes binary, codes binary, vocab binary, n_pairs long"
+# Ids travel as text: a number column with nulls would become floating point on its way through pandas.
+BATCH = "batch long, ids array<string>, held binary, sizes binary, codes binary, vocab binary, n_pairs long"
 ASK = "kind int, part int, batch long, keys binary, counts binary"
 ANSWER = "kind int, part int, batch long, r binary, owner binary, stats array<long>"
-REST = ("kind int, part int, batch long, ids array<long>, held binary, sizes binary, known binary, base binary, score binary, "
+REST = ("kind int, part int, batch long, ids array<string>, held binary, sizes binary, known binary, base binary, score binary, "
         "open_doc binary, open_ctx binary, ctx binary, mass binary, seen binary, total binary")
 ALPHA = "part int, batch long, alpha binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
@@ -130,12 +131,12 @@ def batches(docs: DataFrame, held_out) -> DataFrame:
         for b in parts:
             codes, sizes, vocab = encode(list(b["text"]))
             pairs = len(np.unique(_pairs(vocab, _previous(codes, sizes), codes)))
-            ids = [None if pd.isna(x) else int(x) for x in b["doc_id"]]
+            ids = list(b["doc_id"])
             yield pd.DataFrame({"batch": [(task << 24) + n], "ids": [ids], "held": [_pack(b["held"].to_numpy(dtype=bool))],
                                 "sizes": [_pack(sizes)], "codes": [_pack(codes)], "vocab": [_pack(vocab)], "n_pairs": [pairs]})
             n += 1
 
-    plain = docs.select("doc_id", F.col("text").cast("binary").alias("text"), held_out.alias("held"))
+    plain = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"), held_out.alias("held"))
     return store(plain.mapInPandas(rows, BATCH), "katz-batches", compression="zstd")
 
 
@@ -300,7 +301,8 @@ def _finished(rest: pd.DataFrame, alphas: pd.DataFrame) -> pd.DataFrame:
     doc, ctx = np.frombuffer(row["open_doc"], dtype=np.int32), np.frombuffer(row["open_ctx"], dtype=np.int32)
     sizes = np.frombuffer(row["sizes"], dtype=np.int64)
     score = np.frombuffer(row["score"], dtype=float) + np.bincount(doc, weights=alpha[ctx], minlength=len(sizes))
-    return pd.DataFrame({"doc_id": pd.array(list(row["ids"]), dtype="Int64"), "held_out": np.frombuffer(row["held"], dtype=bool), "n_tokens": sizes,
+    ids = pd.array([None if x is None else int(x) for x in row["ids"]], dtype="Int64")
+    return pd.DataFrame({"doc_id": ids, "held_out": np.frombuffer(row["held"], dtype=bool), "n_tokens": sizes,
                          "n_known": np.frombuffer(row["known"], dtype=np.int64), "base_score": np.frombuffer(row["base"], dtype=float), "score": score})
 
 

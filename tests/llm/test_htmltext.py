@@ -51,3 +51,12 @@ def test_region_is_the_best_of_all():
         found = page.region(weights)
         got = sum(value[found[0] : found[1] + 1]) if found else 0.0
         assert abs(got - max(0.0, best[0])) < 1e-9
+
+
+def test_names_that_are_not_boilerplate(spark):
+    words = " ".join(["word"] * 60)
+    article = f"<article><h1>T</h1><p>{words}</p></article>"
+    comments = "<article class=comment><p>me too and more words than one</p></article>" * 3
+    pages = [f"<body class='x'><div class='page has-sidebar no-ads'>{article}{comments}</div></body>", f"<div class='header'>{article}</div>",
+             f"<main>{article}<div id=comment-list><p>{words}</p></div></main>"]
+    assert _texts(spark, pages, {}) == [f"T {words}"] * 3

@@ -49,7 +49,7 @@ def _texts(rnd, n):
 def test_scores_match_a_plain_model(spark, monkeypatch):
     rnd = random.Random(11)
     texts = _texts(rnd, 120) + [None, "", " \t", "new words only", "a b a b a b"]
-    rows = [(i, t, int(i % 4 == 0), "x") for i, t in enumerate(texts)] + [(None, "a b", 0, "x"), (1, texts[1], 0, "x")]
+    rows = [(i, t, int(i % 4 == 0), "x") for i, t in enumerate(texts)] + [(None, "a b", 0, "x"), (1, texts[1], 0, "x"), (2**62 + 1, "b", 0, "x")]
     for keys in (1 << 20, 8):  # one partition; many
         monkeypatch.setattr(katz, "PART_KEYS", keys)
         docs = spark.createDataFrame(rows, DOC).repartition(5)
