@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -38,6 +39,27 @@ def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def bounded_sample(rows: DataFrame, by: str, key: list[str], limits: dict) -> DataFrame:
+    """At most ``limits[value]`` rows of each value of ``by``, the first in the order of a hash of ``key``; column ``nth`` counts them.
+
+    The hash order is cut at twice the share that is wanted before any
+    row is shuffled, so a frequent value sends about twice its limit to
+    the task that ranks it, however many rows it has.
+    """
+    totals = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
+    order = F.xxhash64(*key)
+    first = F.lit(False)
+    for value, total in totals.items():
+        share = min(1.0, 2 * limits[value] / total)
+        first = F.when(F.col(by) == value, order <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))).otherwise(first)
+    nth = F.row_number().over(W.partitionBy(by).orderBy(order, *key))
+    some = rows.filter(first).withColumn("nth", nth)
+    limit = F.lit(0)
+    for value in totals:
+        limit = F.when(F.col(by) == value, limits[value]).otherwise(limit)
+    return some.filter(F.col("nth") <= limit)
+
+
 def crc_mod(doc_id, mod: int):
     """crc32 of the id as text, modulo ``mod`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod

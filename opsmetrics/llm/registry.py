@@ -61,7 +61,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Field:
     """Learned from the labelled documents that are not held out."""
     docs = table(spark, sf_dir, "documents").filter(crc_mod(F.col("doc_id"), 3) != 1).select("doc_id", "text")
-    return toxicity.fit(docs.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id"))
+    return toxicity.fit(docs, table(spark, sf_dir, "labels"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

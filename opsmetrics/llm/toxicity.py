@@ -40,18 +40,18 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, store
+from .common import bounded_batches, bounded_sample, store
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 6000, 12000
-FIT_TOXIC, FIT_CLEAN = 1200, 1200
-ROUNDS = 60
+FIT_TOXIC, FIT_CLEAN = 600, 600
+ROUNDS = 45
 PENALTY = 0.3
 LEAST_WEIGHT = 0.02
 SPAN = 0.5
 THRESHOLD = 0.7
+CHARS = 4_000_000  # of texts whose chains are evaluated side by side
 CACHE = 300_000  # words whose emission a worker remembers
 
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
@@ -77,35 +77,38 @@ def stems(word: str) -> list[str]:
 # ---- the chain -------------------------------------------------------------------------------------------------------
 
 
-def _scan(m: np.ndarray, rows: int) -> np.ndarray:
-    """For 2x2 steps m[t], the normalised row vectors v[t] = v[t-1] m[t], v[-1] = (1, 1); in blocks of ``rows`` steps."""
-    n = len(m)
+def _scan(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Ratios r[t] = v1 / v0 of v[t] = v[t-1] ((a, b), (c, d))[t], v[-1] = (1, 1).
+
+    The steps are cut into blocks that are worked side by side: first each
+    block's product of steps, then the ratio at each block's start, then
+    the ratios inside.
+    """
+    n = len(a)
+    rows = max(1, int(math.sqrt(n)))
     blocks = -(-n // rows)
-    padded = np.empty((blocks * rows, 2, 2))
-    padded[:n] = m
-    padded[n:] = np.eye(2)
-    padded = padded.reshape(blocks, rows, 2, 2)
-    product = np.broadcast_to(np.eye(2), (blocks, 2, 2))
-    for t in range(rows):
-        product = product @ padded[:, t]
-        product = product / product.sum(axis=(1, 2), keepdims=True)
-    start = np.empty((blocks, 2))
-    v = np.array([0.5, 0.5])
-    for b in range(blocks):
-        start[b] = v
-        v = v @ product[b]
-        v = v / v.sum()
-    out = np.empty((blocks, rows, 2))
-    v = start
-    for t in range(rows):
-        step = padded[:, t]
-        v = np.stack([v[:, 0] * step[:, 0, 0] + v[:, 1] * step[:, 1, 0], v[:, 0] * step[:, 0, 1] + v[:, 1] * step[:, 1, 1]], axis=1)
-        v = v / v.sum(axis=1, keepdims=True)
-        out[:, t] = v
-    return out.reshape(-1, 2)[:n]
-
-
-def marginals(emit: np.ndarray, first: np.ndarray, moves: np.ndarray):
+    # Step t of every block in one contiguous row; identity steps at the end.
+    a, b, c, d = (np.ascontiguousarray(np.append(x, np.full(blocks * rows - n, fill)).reshape(blocks, rows).T) for x, fill in ((a, 1.0), (b, 0.0), (c, 0.0), (d, 1.0)))
+    p, q, s, t = np.ones(blocks), np.zeros(blocks), np.zeros(blocks), np.ones(blocks)
+    for i in range(rows):
+        p, q, s, t = p * a[i] + q * c[i], p * b[i] + q * d[i], s * a[i] + t * c[i], s * b[i] + t * d[i]
+        if i % 8 == 7:
+            scale = 1 / (p + q + s + t)
+            p, q, s, t = p * scale, q * scale, s * scale, t * scale
+    start = np.empty(blocks)
+    r = 1.0
+    for k in range(blocks):
+        start[k] = r
+        r = (q[k] + t[k] * r) / (p[k] + s[k] * r)
+    out = np.empty((rows, blocks))
+    r = start
+    for i in range(rows):
+        r = (b[i] + d[i] * r) / (a[i] + c[i] * r)
+        out[i] = r
+    return out.T.reshape(-1)[:n]
+
+
+def marginals(emit: np.ndarray, first: np.ndarray, moves: np.ndarray, with_moves: bool = True):
     """Probability of the toxic state of each token, and the expected moves (2x2 sums over all pairs of neighbours).
 
     ``emit``: log-odds of the toxic state; ``first``: whether a token
@@ -114,26 +117,25 @@ def marginals(emit: np.ndarray, first: np.ndarray, moves: np.ndarray):
     n = len(emit)
     if not n:
         return np.zeros(0), np.zeros((2, 2))
-    rows = max(1, int(math.sqrt(n)))
     e = np.clip(emit, -40, 40)
     low = np.minimum(e, 0)
-    weight = np.stack([np.exp(low - e), np.exp(low)], axis=1)  # scaled so that the larger is 1
-    step = np.exp(moves)
-    m = step[None] * weight[:, None, :]
-    m[first] = weight[first][:, None, :]
-    forward = _scan(m, rows)
-    # Backward: b[t] = step (w[t+1] b[t+1]); a document's last token forgets what follows.
+    w0, w1 = np.exp(low - e), np.exp(low)  # scaled so that the larger is 1
+    (s00, s01), (s10, s11) = np.exp(moves)
+    # A document's first token takes nothing from the one before it.
+    forward = _scan(np.where(first, w0, s00 * w0), np.where(first, w1, s01 * w1), np.where(first, w0, s10 * w0), np.where(first, w1, s11 * w1))
+    # Backward, from the end: a document's last token forgets what follows.
     last = np.append(first[1:], True)
-    back = np.empty((n, 2, 2))
-    back[:-1] = (step[None] * weight[1:, None, :]).transpose(0, 2, 1)
-    back[last] = 1.0
-    backward = _scan(back[::-1], rows)[::-1]
-    p = forward * backward
-    p = p[:, 1] / p.sum(axis=1)
+    n0, n1 = np.append(w0[1:], 1.0), np.append(w1[1:], 1.0)
+    steps = (np.where(last, 1.0, x)[::-1] for x in (s00 * n0, s10 * n0, s01 * n1, s11 * n1))
+    backward = _scan(*steps)[::-1]
+    odds = forward * backward
+    p = odds / (1 + odds)
+    if not with_moves:
+        return p, None
     pairs = np.flatnonzero(~first)
-    joint = forward[pairs - 1][:, :, None] * step[None] * (weight[pairs] * backward[pairs])[:, None, :]
-    joint = joint / joint.sum(axis=(1, 2), keepdims=True)
-    return p, joint.sum(axis=0)
+    f, g, u0, u1 = forward[pairs - 1], backward[pairs], w0[pairs], w1[pairs]
+    joint = np.stack([s00 * u0, s01 * u1 * g, f * s10 * u0, f * s11 * u1 * g])
+    return p, (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
 
 
 class Field:
@@ -165,7 +167,7 @@ class Field:
         first = np.zeros(len(emit), dtype=bool)
         ends = np.cumsum(sizes)
         first[(ends - sizes)[sizes > 0]] = True
-        p, _ = marginals(emit, first, self.moves)
+        p, _ = marginals(emit, first, self.moves, with_moves=False)
         return np.split(p, ends[:-1])
 
     def scores(self, found: list[np.ndarray]) -> np.ndarray:
@@ -260,17 +262,21 @@ def _fit_field(texts: list[str], toxic: np.ndarray, seeds: set[str]) -> tuple[di
     return {str(names[i]): float(weights[i]) for i in kept}, moves
 
 
-def fit(labelled: DataFrame) -> Field:
-    """Field from rows of (text, toxic 0 or 1)."""
-    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("text"))
-    limit = F.when(F.col("toxic") == 1, SAMPLE_TOXIC).otherwise(SAMPLE_CLEAN)
-    rows = store(rows, "tox-labelled")
+def fit(docs: DataFrame, labels: DataFrame) -> Field:
+    """Field from documents (doc_id, text) and their labels (doc_id, toxic 0 or 1).
+
+    The sample is drawn from the ids alone; only its texts are read, by a
+    join with a table that the sample bounds hold small.
+    """
+    marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1)")
+    rows = store(docs.select("doc_id").join(marks, "doc_id"), "tox-labelled")
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if len(totals) < 2:
         return Field({}, np.zeros((2, 2)), np.zeros(0), share)
-    sample = store(rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= limit), "tox-sample")
+    chosen = store(bounded_sample(rows, "toxic", ["doc_id"], {0: SAMPLE_CLEAN, 1: SAMPLE_TOXIC}), "tox-chosen")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sample = store(texts.join(F.broadcast(chosen), "doc_id"), "tox-sample")
     seeds = _seeds(sample.repartition(16))
     small = F.when(F.col("toxic") == 1, FIT_TOXIC).otherwise(FIT_CLEAN)
     part = sample.filter(F.col("nth") <= small).select("text", "toxic").sort("toxic", "nth").collect()
@@ -295,8 +301,9 @@ def scored(docs: DataFrame, field: Field, out: str = "toxicity", text: str = "te
     def score(texts: pd.Series) -> pd.DataFrame:
         field = held.value
         values, spans = [], []
-        for i in range(0, len(texts), 2000):
-            part = [t for t in texts[i : i + 2000]]
+        piece = np.cumsum([len(t) if t else 0 for t in texts]) // CHARS
+        for _, part in texts.groupby(piece, sort=False):
+            part = list(part)
             found = field.tag(part)
             values.append(field.scores(found))
             spans += [_spans(t, p) for t, p in zip(part, found)]

@@ -49,7 +49,8 @@ def _rows(rnd, n, start=0):
 
 def test_learns_words_and_their_forms(spark):
     rnd = random.Random(3)
-    model = tx.fit(spark.createDataFrame(_rows(rnd, 500) + [(1, None, 0, "x", 1), (2, "", 1, "x", 1), (3, "a", None, "x", 1)], DOC))
+    train = spark.createDataFrame(_rows(rnd, 500) + [(501, None, 0, "x", 1), (502, "", 1, "x", 1), (503, "a", None, "x", 1), (None, "a", 1, "x", 1)], DOC)
+    model = tx.fit(train, train)
     rows = _rows(rnd, 300, 1000)
     odd = [None, "", "...", "mo " * 60_000, "kati SCOUNDRELHOOD, İ blaggardness mo"]
     docs = spark.createDataFrame(rows + [(5000 + i, t, 0, "x", 1) for i, t in enumerate(odd)], DOC)
@@ -62,11 +63,12 @@ def test_learns_words_and_their_forms(spark):
 
 
 def test_without_labels_and_empty(spark):
-    model = tx.fit(spark.createDataFrame([(1, "a b", 0, "x", 1)], DOC))
+    one, none = spark.createDataFrame([(1, "a b", 0, "x", 1)], DOC), spark.createDataFrame([], DOC)
+    model = tx.fit(one, one)
     docs = spark.createDataFrame([(1, "a b", 0, "x", 1), (2, None, 0, "x", 1)], DOC)
     assert [r["t"]["score"] for r in tx.scored(docs, model, "t").collect()] == [0.0, 0.0]
-    assert tx.fit(spark.createDataFrame([], DOC)).share == 0
-    assert tx.scored(spark.createDataFrame([], DOC), model, "t").collect() == []
+    assert tx.fit(none, none).share == 0 and tx.fit(one, none).share == 0
+    assert tx.scored(none, model, "t").collect() == []
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
