@@ -25,6 +25,7 @@ from; labels may be any text, one bit each, in masks of 64.
 from __future__ import annotations
 
 import functools
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, store
+from .common import bounded_batches, bounded_sample, store
 
 SAMPLE_DOCS = 3000  # labelled documents of each language that are learned from, at most
 ORDERS = (2, 3, 4)
@@ -138,10 +139,9 @@ class Filter:
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS) -> Filter:
-    """Filter from rows of (text, lang); at most ``sample`` documents of each language."""
-    order = W.partitionBy("lang").orderBy(F.xxhash64("text"))
-    rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
-    rows = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample).select("text", "lang")
+    """Filter from rows of (doc_id, text, lang); at most ``sample`` documents of each language."""
+    rows = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
+    rows = bounded_sample(rows, "lang", ["doc_id", "text"], defaultdict(lambda: sample)).select("text", "lang")
 
     def count(batches):
         """n-grams of each language, summed over the task."""

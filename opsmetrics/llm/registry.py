@@ -37,7 +37,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_model(spark: SparkSession, sf_dir: str) -> langid.Filter:
     """Learned from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents").filter(crc_mod(F.col("doc_id"), 3) != 1)
-    return langid.fit(docs.select("text", "lang"))
+    return langid.fit(docs.select("doc_id", "text", "lang"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
