@@ -225,6 +225,7 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
 
 def index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
     """(graphs of all shards as a table, number of shards)."""
+    bounded_batches(rows.sparkSession)
     n_shards = max(1, -(-rows.count() // shard_rows))
     dealt = rows.withColumns({"dim": F.size("v"), "shard": F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)).cast("int")})
     return store(dealt.groupBy("dim", "shard").applyInPandas(_indexed, INDEX), "ann-index"), n_shards

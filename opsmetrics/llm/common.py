@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -20,8 +23,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SENT: set[str] = set()  # applications whose executors have this package
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package's source files to the executors, once for each application.
+
+    Functions and models are pickled by reference, so the Python workers
+    must find the package, wherever they are started.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SENT:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="opsmetrics-src-")) / "opsmetrics.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))  # Spark's file server hands it to each executor
+    _SENT.add(app)
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches by bytes; the row bound of the session stays."""
+    """What every operator with Python tasks needs first: the package at the workers, and Arrow batches bounded by bytes."""
+    send_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 

@@ -140,6 +140,7 @@ class Filter:
 
 def fit(labelled: DataFrame, sample: int = SAMPLE_DOCS) -> Filter:
     """Filter from rows of (doc_id, text, lang); at most ``sample`` documents of each language."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
     rows = bounded_sample(rows, "lang", ["doc_id", "text"], defaultdict(lambda: sample)).select("text", "lang")
 

@@ -194,7 +194,7 @@ def _rotate(values: np.ndarray, turn: int) -> np.ndarray:
 
 def links(fps: DataFrame, distance: int = DISTANCE, node_rows: int = NODE_ROWS, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """(a, b): links whose components are those of all pairs of the distinct longs ``fps`` within ``distance`` bits."""
-    spark = fps.sparkSession
+    bounded_batches(fps.sparkSession)
     (name,) = fps.columns
     n = fps.count()
     bits = min(MAX_BITS, max(2, math.ceil(math.log2(max(1, n / node_rows)))))

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import bounded_batches, store
 
 # The contract's rules.
 RULES = (
@@ -177,6 +177,7 @@ def _taken(keys: DataFrame, bloom: Bloom) -> DataFrame:
 
 def cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
     """Cascade of the ``listed`` keys, exact over the ``universe`` (both: distinct, column ``key``)."""
+    bounded_batches(listed.sparkSession)
     inside = store(_hash_rows(listed), "cascade")
     outside = store(_hash_rows(universe.join(listed, "key", "left_anti")), "cascade")
     n_in, n_out = inside.count(), outside.count()

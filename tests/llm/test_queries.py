@@ -42,3 +42,21 @@ def test_query_columns_and_rows(spark, key):
     n = df.count()
     table = {"op1_html_text": "pages", "op3_nearest": None, "op4_token_counts": None}.get(key, "documents")
     assert n == spark.read.parquet(f"{SF}/{table}.parquet").count() if table else n > 0
+
+
+def test_workers_find_the_package_wherever_spark_is_started(tmp_path):
+    """In a process of its own, outside the repository and without its path in the environment."""
+    import subprocess
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from opsmetrics.session import build_session
+import __spark_entry__ as se
+spark = build_session("local[2]", 2, extra={{"spark.checkpoint.dir": {str(tmp_path / "ckpt")!r}}})
+print("rows", se.queries()["op6_language_id"](spark, {SF!r}).count(), se.queries()["op5_url_filter"](spark, {SF!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 200" in done.stdout, done.stderr[-2000:]
