@@ -2,7 +2,9 @@
 
 Every round is two aggregations with a map-side minimum and two joins on
 the node; neighbour lists are never collected, so a hub costs no more than
-its links.  Each round's links are written to the shared folder; the
+its links.  The minima are stored before the join: a join of two stored
+tables is one whose partitions Spark splits where a hub holds many links.
+Each round's links are written to the shared folder; the
 driver reads only their count and checksum.  The number of rounds grows
 with the logarithm of the longest chain.
 """
@@ -17,12 +19,12 @@ from .common import store
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("v", "u")).toDF("x", "y")
-    least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+    least = store(both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")), "cc-least")
     return both.filter("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = store(links.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
     moved = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
