@@ -4,7 +4,9 @@ Training labels are per document, so token labels are made first: over a
 bounded sample of labelled documents, a word or word beginning whose
 documents are toxic far more often than chance allows (binomial
 log-likelihood ratio against the number of candidates) marks its tokens
-in toxic documents; all other tokens are clean.  The field has two states;
+in toxic documents; all other tokens are clean.  Of copies and
+near copies (texts whose four smallest word hashes agree) one is counted,
+so that the words of a text that stands often are no sign.  The field has two states;
 a token's features are its word, its beginnings and ends, its length and a
 bias, so unseen forms of a marked stem are recognised.  It is fitted by
 gradient ascent on the sample's exact conditional likelihood.
@@ -39,7 +41,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, bounded_sample, store
@@ -189,6 +191,12 @@ def _signs(found: list[np.ndarray]) -> np.ndarray:
 # ---- fitting ---------------------------------------------------------------------------------------------------------
 
 
+def _sketch(text: Column) -> Column:
+    """The four smallest hashes of a text's words: the same for copies and for most near copies."""
+    words = F.split(F.lower(text), r"\s+")
+    return F.slice(F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))), 1, 4)
+
+
 def _seeds(sample: DataFrame) -> set[str]:
     """Words and beginnings whose documents are toxic far beyond chance; counted by Spark over the sample."""
 
@@ -277,10 +285,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
         return Field({}, np.zeros((2, 2)), np.zeros(0), share)
     chosen = store(bounded_sample(rows, "toxic", ["doc_id"], {0: SAMPLE_CLEAN, 1: SAMPLE_TOXIC}), "tox-chosen")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = store(texts.join(F.broadcast(chosen), "doc_id"), "tox-sample")
+    sample = texts.join(F.broadcast(chosen), "doc_id")
+    sample = store(sample.withColumn("sketch", _sketch(F.col("text"))).dropDuplicates(["toxic", "sketch"]).drop("sketch"), "tox-sample")
     seeds = _seeds(sample.repartition(16))
-    small = F.when(F.col("toxic") == 1, FIT_TOXIC).otherwise(FIT_CLEAN)
-    part = sample.filter(F.col("nth") <= small).select("text", "toxic").sort("toxic", "nth").collect()
+    part = []
+    for mark, size in ((0, FIT_CLEAN), (1, FIT_TOXIC)):
+        part += sample.filter(F.col("toxic") == mark).orderBy("nth", "text").limit(size).select("text", "toxic").collect()
     texts, toxic = [r["text"] for r in part], np.array([r["toxic"] for r in part])
     del part
     weights, moves = _fit_field(texts, toxic, seeds)
