@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, bounded_sample
 
 SAMPLE_PAGES = 2000
 WORD_WEIGHT, TAG_WEIGHT, BOILER_WEIGHT = 0.5, -0.6, -1.5  # of what labelled pages do not show
@@ -237,8 +237,8 @@ class Page:
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES) -> dict[str, float]:
     """Weights of token classes from at most ``sample`` pages that mark their content, in the order of a hash."""
     bounded_batches(pages.sparkSession)
-    marked = pages.select(F.col("html").alias("html")).filter(F.lower("html").rlike(r"<(article|main)[\s>]"))
-    some = marked.orderBy(F.xxhash64("html")).limit(sample)
+    marked = pages.select("html", F.lit(1).alias("all")).filter(F.lower("html").rlike(r"<(article|main)[\s>]"))
+    some = bounded_sample(marked, "all", ["html"], {1: sample})
 
     def count(batches):
         seen = Counter()
