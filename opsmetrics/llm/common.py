@@ -16,7 +16,7 @@ from ..session import checkpoint_dir
 # Word characters as the contracts state them: everything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 # Bytes of one Arrow batch handed to a Python worker, so that long texts cannot pile up in its memory.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

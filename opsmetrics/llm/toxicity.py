@@ -47,14 +47,14 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, bounded_sample, store
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 6000, 12000
-FIT_TOXIC, FIT_CLEAN = 600, 600
+FIT_TOXIC, FIT_CLEAN = 500, 500
 ROUNDS = 45
 PENALTY = 0.3
 LEAST_WEIGHT = 0.02
 SPAN = 0.5
 THRESHOLD = 0.7
-CHARS = 4_000_000  # of texts whose chains are evaluated side by side
-CACHE = 300_000  # words whose emission a worker remembers
+CHARS = 1_000_000  # of texts whose chains are evaluated side by side
+CACHE = 100_000  # words whose emission a worker remembers
 
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _BEGIN, _END = (3, 4, 5, 6), (3, 4)
@@ -287,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id")
     sample = store(sample.withColumn("sketch", _sketch(F.col("text"))).dropDuplicates(["toxic", "sketch"]).drop("sketch"), "tox-sample")
-    seeds = _seeds(sample.repartition(16))
+    seeds = _seeds(sample.repartition(64))
     part = []
     for mark, size in ((0, FIT_CLEAN), (1, FIT_TOXIC)):
         part += sample.filter(F.col("toxic") == mark).orderBy("nth", "text").limit(size).select("text", "toxic").collect()
