@@ -16,6 +16,12 @@ fill of its slice to the power of ``HASHES``): (count - n f) / (1 - f).
 The highest count decides, ties go to the smaller name; the score is that
 count's share of all n-grams.
 
+Floors: labelled texts that the filter was not learned from are scored, at
+most ``SAMPLE_DOCS`` of each language; a language's floor is ``MARGIN`` of
+the score that all but ``LOW`` of its texts reach.  Texts of a language
+that was not learned, and random letters, stay below it.  A language
+without such texts has the lowest floor of the others.
+
 Edge cases: a null text, or one without a letter, is ``und`` with score 0;
 without any labelled text all are ``und``; letters whose n-grams are all
 unknown give the first language with score 0; null labels are not learned
@@ -41,6 +47,8 @@ HASHES = 2
 CELLS = 12  # of the filter, for each n-gram
 RATIO = 0.4
 LEAST = 3  # times an n-gram must occur in a language
+LOW = 0.001  # share of a language's held-out texts that its floor does not look at
+MARGIN = 0.8  # of the score that the others reach, so that clean texts stay
 UNKNOWN = "und"
 PIECE = 1 << 20  # characters handled at once
 
@@ -213,3 +221,20 @@ def predicted(text: Column, model: Filter, spark) -> Column:
 def identify(docs: DataFrame, model: Filter, out: str = "language") -> DataFrame:
     """``docs`` with the struct column ``out``: lang_pred, score."""
     return docs.withColumn(out, predicted(F.col("text"), model, docs.sparkSession))
+
+
+def floors(held_out: DataFrame, model: Filter, sample: int = SAMPLE_DOCS) -> dict[str, float]:
+    """Lowest score of a text in each language, from labelled rows of (doc_id, text, lang) that ``model`` was not learned from."""
+    rows = held_out.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
+    rows = identify(bounded_sample(rows, "lang", ["doc_id", "text"], defaultdict(lambda: sample)), model)
+    reached = rows.filter("language.lang_pred = lang").groupBy("lang").agg(F.percentile("language.score", F.lit(LOW)).alias("low"))
+    found = {r["lang"]: MARGIN * r["low"] for r in reached.collect()}
+    return {lang: found.get(lang, min(found.values())) for lang in model.langs} if found else {}
+
+
+def floor_of(lang: Column, found: dict[str, float]) -> Column:
+    """The floor of a language column, 0 where there is none."""
+    if not found:
+        return F.lit(0.0)
+    pairs = F.create_map(*[x for k, v in found.items() for x in (F.lit(k), F.lit(v))])
+    return F.coalesce(F.try_element_at(pairs, lang), F.lit(0.0))

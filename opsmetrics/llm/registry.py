@@ -40,6 +40,12 @@ def language_model(spark: SparkSession, sf_dir: str) -> langid.Filter:
     return langid.fit(docs.select("doc_id", "text", "lang"))
 
 
+def language_floors(spark: SparkSession, sf_dir: str, model: langid.Filter) -> dict[str, float]:
+    """From the documents that are held out."""
+    docs = table(spark, sf_dir, "documents").filter(crc_mod(F.col("doc_id"), 3) == 1)
+    return langid.floors(docs.select("doc_id", "text", "lang"), model)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"))
     return langid.identify(docs, language_model(spark, sf_dir)).select("doc_id", "held_out", "language.lang_pred", "language.score")

@@ -71,6 +71,19 @@ def test_pieces_see_the_same_grams(monkeypatch):
     assert len(langid.grams("x" * 300_000)) > 0
 
 
+def test_floors_come_from_held_out_texts(spark):
+    rnd = random.Random(7)
+    model = langid.fit(spark.createDataFrame(_rows(rnd, 300), DOC))
+    held = _rows(rnd, 200)
+    low = langid.floors(spark.createDataFrame([r for r in held if r[2] != "cc"] + [(999, None, "aa", 0, 0), (998, "x", None, 0, 0)], DOC), model)
+    for lang in ("aa", "bb"):
+        scores = [model.predict(t) for _, t, was, _, _ in held if was == lang]
+        least = min(s for got, s in scores if got == lang)
+        assert langid.MARGIN * least <= low[lang] < least
+    assert low["cc"] == min(low["aa"], low["bb"])
+    assert langid.floors(spark.createDataFrame([], DOC), model) == {}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 def test_held_out_accuracy(spark):
     got = {r["doc_id"]: r for r in registry.op6_language_id(spark, SF).collect()}

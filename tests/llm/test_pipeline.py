@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -82,3 +83,22 @@ def test_mixing_stage(spark, steps):
 def test_run_gives_the_last_stage(spark, steps):
     got = [r.asDict() for r in cp.run(spark, SF).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, steps[-1][1]))
+
+
+def test_unlearned_languages_and_random_letters_go(spark):
+    rnd = random.Random(6)
+    noise = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(150))
+    odd = [
+        noise,
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza.",
+        "Todos os seres humanos nascem livres e iguais em dignidade e em direitos. Dotados de razão e de consciência.",
+    ]
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    n = docs.count()
+    extra = spark.createDataFrame([(-1 - i, t, "en", "x", len(t)) for i, t in enumerate(odd)], docs.schema)
+    kept = [r.doc_id for r in cp.language(spark, docs.unionByName(extra), sf).select("doc_id").collect()]
+    assert not [i for i in kept if i < 0]
+    assert len(kept) >= 0.995 * n
