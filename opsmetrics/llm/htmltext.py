@@ -11,6 +11,11 @@ innermost common element (the enclosing article or main element, where
 there is one) is then given out as a whole, so that short paragraphs at
 its edges are not lost, without the boilerplate elements inside.
 
+A mark that an element has from a name or as a form is weaker than one
+from its kind or role: it does not stand where it covers nearly all words
+of the page, and the page's largest article or main element ends the mark
+of a wrapper around it.
+
 Text: character references are decoded; white space becomes one blank,
 also at the borders of blocks and at line breaks; inline tags join.
 
@@ -33,6 +38,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, bounded_sample
 
 SAMPLE_PAGES = 2000
+NEARLY = 0.9  # share of the page's words that no name and no form marks as boilerplate
 WORD_WEIGHT, TAG_WEIGHT, BOILER_WEIGHT = 0.5, -0.6, -1.5  # of what labelled pages do not show
 
 # Element names of HTML by their part in a page.
@@ -50,14 +56,15 @@ BOILER_NAMES = (
 )
 COMMENT_NAMES = "comment comments reply replies ad ads advert advertisement promo sponsored related"  # of an article that is not the page's
 NEGATIONS = "has with no without is not"  # "has-sidebar" names a page, not a sidebar
+CLASSES_OF = "category tag topic"  # "category-comment" tells what an article is about
 BOILER_ROLES = "navigation banner contentinfo complementary search form dialog alert menu menubar toolbar"
 
-_boiler, _main, _inline, _void, _auto, _names, _other, _negated, _roles = (
-    frozenset(x.split()) for x in (BOILER, MAIN, INLINE, VOID, AUTO_CLOSED, BOILER_NAMES, COMMENT_NAMES, NEGATIONS, BOILER_ROLES)
+_boiler, _main, _inline, _void, _auto, _names, _other, _negated, _about, _roles = (
+    frozenset(x.split()) for x in (BOILER, MAIN, INLINE, VOID, AUTO_CLOSED, BOILER_NAMES, COMMENT_NAMES, NEGATIONS, CLASSES_OF, BOILER_ROLES)
 )
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(?P<raw>" + RAW.replace(" ", "|") + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + RAW.replace(" ", "|") + r")(?:/>|(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:(?<=[\s\"']/)>|>.*?(?:</(?P=raw)\s*>|\Z)))"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z][^<>]*>",
     re.DOTALL | re.IGNORECASE,
@@ -69,26 +76,36 @@ def _named(value: str, names: frozenset) -> bool:
     """Whether a class or id attribute has one of the names as a part of a word."""
     for word in value.split():
         parts = [p for p in re.split(r"[^a-z0-9]+", word) if p]
-        if parts and parts[0] not in _negated and not names.isdisjoint(parts):
-            return True
+        if parts and parts[0] in _about:
+            continue
+        for part in parts:
+            if part in _negated:
+                break
+            if part in names:
+                return True
     return False
 
 
-def _is_boiler(name: str, attrs: str, by_name: bool) -> bool:
-    if name in _boiler:
-        return True
-    if name in ("html", "body") or not by_name or not attrs.strip():
-        return False
+HARD, NAMED, COMMENT = 1, 2, 3  # kinds of marks: by an element's kind, role or hiding; by a name or as a form; by a name of COMMENT_NAMES
+
+
+def _mark(name: str, attrs: str, by_name: bool) -> int:
+    """The mark that an element has of itself, 0 for none."""
+    if name in _boiler and name != "form":
+        return HARD
+    if name in ("html", "body") or not by_name:
+        return 0
+    mark = NAMED if name == "form" else 0
     names = _other if name in _main else _names
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return HARD
         if key == "role" and value in _roles:
-            return True
+            return HARD
         if key in ("class", "id") and _named(value, names):
-            return True
-    return False
+            mark = COMMENT if mark == COMMENT or _named(value, _other) else NAMED
+    return mark
 
 
 class Page:
@@ -102,9 +119,10 @@ class Page:
         self.element: list[int] = []
         self.boiler: list[bool] = []
         self.breaks: list[bool] = []
+        self.opens: list[bool] = []
         self.parent, self.names = [-1], [""]
+        self._own = [0]  # mark of each element
         self._stack = [0]  # of elements
-        self._marked = [False]
         source = source or ""
         at = 0
         for m in _TAG.finditer(source):
@@ -115,22 +133,55 @@ class Page:
                 self._tag(m["name"].lower(), bool(m["end"]), m["attrs"])
         if at < len(source):
             self._text(source[at:])
-
-    def _add(self, kind: str, text: str | None, size: int, breaks: bool) -> None:
+        marks = self._marks()
+        for i, e in enumerate(self.element):
+            self.boiler[i] = marks[e]
+            if marks[e] and (self.texts[i] is not None or self.opens[i]):
+                self.kinds[i] = "t:boiler" if self.texts[i] is None else "w:boiler"
+
+    def _marks(self) -> list[bool]:
+        """Whether each element is boilerplate, by its own mark or one above it."""
+        n = len(self.names)
+        hard, words = [False] * n, [0] * n
+        for e in range(n):  # parents stand before their children
+            hard[e] = self._own[e] == HARD or e > 0 and hard[self.parent[e]]
+        for text, e, size in zip(self.texts, self.element, self.sizes):
+            if text is not None and not hard[e]:
+                words[e] += size
+        for e in range(n - 1, 0, -1):
+            words[self.parent[e]] += words[e]
+        mains = [e for e in range(n) if self.names[e] in _main and not hard[e] and words[e]]
+        plain = [e for e in mains if self._own[e] == 0]
+        own = list(self._own)
+        for e in range(n):
+            if own[e] > HARD and words[e] and words[e] >= NEARLY * words[0]:
+                if own[e] == NAMED or all(e in self._above(x) for x in plain):  # comments beside an article stay, however long
+                    own[e] = 0
+        marked = [0] * n
+        for e in range(n):
+            marked[e] = own[e] or (marked[self.parent[e]] if e else 0)
+        pick = [e for e in plain if marked[e] != COMMENT] or plain
+        ends = max(pick, key=lambda e: words[e], default=None)
+        for e in range(n):
+            marked[e] = own[e] or (marked[self.parent[e]] if e and e != ends else 0)
+        return [hard[e] or marked[e] > 0 for e in range(n)]
+
+    def _add(self, kind: str, text: str | None, size: int, breaks: bool, opens: bool = False) -> None:
         self.kinds.append(kind)
         self.texts.append(text)
         self.sizes.append(size)
         self.element.append(self._stack[-1])
-        self.boiler.append(self._marked[-1])
+        self.boiler.append(False)
         self.breaks.append(breaks)
+        self.opens.append(opens)
 
     def _text(self, text: str) -> None:
         text = entities.unescape(text)
         size = len(text.split())
-        self._add("w:boiler" if self._marked[-1] else f"w:{self.names[self._stack[-1]]}", text, size, False)
+        self._add(f"w:{self.names[self._stack[-1]]}", text, size, False)
 
     def _pop(self, to: int) -> None:
-        del self._stack[to:], self._marked[to:]
+        del self._stack[to:]
 
     def _tag(self, name: str, end: bool, attrs: str) -> None:
         breaks = name not in _inline
@@ -157,8 +208,8 @@ class Page:
             self.parent.append(self._stack[-1])
             self.names.append(name)
             self._stack.append(len(self.names) - 1)
-            self._marked.append(self._marked[-1] or _is_boiler(name, attrs, self._by_name))
-        self._add("t:boiler" if self._marked[-1] else kind, None, 1, breaks)
+            self._own.append(_mark(name, attrs, self._by_name))
+        self._add(kind, None, 1, breaks, opens=True)
 
     # -- choosing the content
 

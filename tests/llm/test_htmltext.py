@@ -60,3 +60,34 @@ def test_names_that_are_not_boilerplate(spark):
     pages = [f"<body class='x'><div class='page has-sidebar no-ads'>{article}{comments}</div></body>", f"<div class='header'>{article}</div>",
              f"<main>{article}<div id=comment-list><p>{words}</p></div></main>"]
     assert _texts(spark, pages, {}) == [f"T {words}"] * 3
+
+
+def test_names_and_forms_do_not_take_the_article(spark):
+    words = " ".join(["word"] * 60)
+    skip, article = "<a href=#c>Skip to content</a>", f"<article><h1>T</h1><p>{words}</p></article>"
+    side, talk = "<div class=sidebar><p>Other text beside</p></div>", "<section><p>" + "some more talk " * 15 + "</p></section>"
+    pages = [
+        f"<body>{skip}<div class='content-sidebar-wrap'>{article}{side}</div>{talk}</body>",
+        f"<body>{skip}<div class='content-sidebar-wrap'><div class=post><h1>T</h1><p>{words}</p></div>{side}</div></body>",
+        f"<body>{skip}<article class='post category-comment'><h1>T</h1><p>{words}</p></article></body>",
+        f"<body><form action=x><nav>Home</nav>{article}{side}</form></body>",
+        f"<body><div class='page-has-sidebar'>{article}{side}</div></body>",
+    ]
+    got = _texts(spark, pages, {"t:section": -30.0})
+    assert got == [f"T {words}"] * 5
+
+
+def test_comments_and_small_forms_stay_out(spark):
+    words = " ".join(["word"] * 60)
+    talk = "<div id=comments><article><p>" + "a very long comment " * 200 + "</p></article></div>"
+    form = "<form><p>Give your mail here</p></form>"
+    page = f"<body><article><h1>T</h1><p>{words}</p>{form}</article>{talk}</body>"
+    teaser = f"<body><article><h1>T</h1><p>{words}</p></article><div class=sidebar><article><p>A teaser text</p></article></div></body>"
+    assert _texts(spark, [page, teaser], {}) == [f"T {words}"] * 2
+
+
+def test_self_closed_raw_tags_end_at_once(spark):
+    words = " ".join(["word"] * 30)
+    pages = [f"<body>{tag}<article><p>{words}</p></article></body>" for tag in ("<svg/>", '<object data="x"/>', "<svg class='a' />")]
+    pages += [f"<body><iframe src=http://a/>fallback</iframe><svg><title>No</title></svg><article><p>{words}</p></article></body>"]
+    assert _texts(spark, pages, {}) == [words] * 4
