@@ -20,7 +20,7 @@ from .plans import hourly, incremental, receipts, reports, sql_reports
 from .session import checkpoint_dir
 from .sources import sinks
 from .streaming import hourly_items, hourly_job
-from .sources.testdata import testdata_roles
+from .sources.testdata import source_state, testdata_roles
 
 # Whole month of the test data (every item, task and log row lies inside).
 MONTH = ReportWindow.of("2024-01-01 00:00:00", "2024-01-31 23:59:59")
@@ -89,18 +89,19 @@ def q_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# (application, folder) -> the hourly results table that this application has loaded
-_LOADED: dict[tuple[str, str], str] = {}
+# (application, folder) -> (state of the source tables, the hourly results table loaded from them)
+_LOADED: dict[tuple[str, str], tuple[tuple, str]] = {}
 
 
 def _hourly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hourly results table of one loaded run over the month, written when it is first asked for."""
+    """The hourly results table of one loaded run over the month, written when it is first asked for and when its sources have changed."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _LOADED:
+    state = source_state(spark, sf_dir, ("items", "tasks", "worklog", "productdetails"))
+    if key not in _LOADED or _LOADED[key][0] != state:
         target = _scratch(spark, "loaded")
         incremental.run_window(spark, testdata_roles(spark, sf_dir), target, MONTH)
-        _LOADED[key] = f"{target}/hourly"
-    return spark.read.parquet(_LOADED[key])
+        _LOADED[key] = (state, f"{target}/hourly")
+    return spark.read.parquet(_LOADED[key][1])
 
 
 def q_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:

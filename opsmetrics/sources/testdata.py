@@ -207,6 +207,11 @@ def _state(spark: SparkSession, sf_dir: str, table: str) -> tuple:
     return tuple(df.agg(F.count(F.lit(1)), F.max("_metadata.file_modification_time")).first())
 
 
+def source_state(spark: SparkSession, sf_dir: str, roles: tuple[str, ...]) -> tuple:
+    """State of each source table of the roles."""
+    return tuple(_state(spark, sf_dir.rstrip("/"), _BUILDERS[role][0]) for role in roles)
+
+
 def testdata_roles(spark: SparkSession, sf_dir: str) -> Roles:
     """Roles over the test tables, each stored as Parquet when it is first asked for.
 

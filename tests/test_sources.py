@@ -3,7 +3,7 @@ import os
 import pytest
 from conftest import T, role_df
 
-from opsmetrics import session
+from opsmetrics import registry, session
 from opsmetrics.sources import roles as R
 from opsmetrics.sources import testdata as mapping
 
@@ -42,6 +42,18 @@ def test_roles_are_staged_one_by_one(spark):
     assert mapping.testdata_roles(spark, SF).grc_v.inputFiles() == r.grc_v.inputFiles()  # not staged again
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_the_loaded_hourly_table_follows_its_sources(spark, tmp_path):
+    early_rows = {"events": "ts < TIMESTAMP_NTZ'2024-01-10 00:00:00'", "lineitem": "datediff(CAST(l_shipdate AS DATE), DATE'1995-01-01') % 30 < 9"}
+    for name in mapping.TABLES:
+        spark.read.parquet(f"{SF}/{name}.parquet").filter(early_rows.get(name, "true")).write.parquet(f"{tmp_path}/{name}.parquet")
+    early = registry.q_high_watermark(spark, str(tmp_path)).collect()
+    assert registry.q_high_watermark(spark, str(tmp_path)).collect() == early and early[0][0] is not None
+    for name, early_part in early_rows.items():
+        spark.read.parquet(f"{SF}/{name}.parquet").filter(f"NOT ({early_part})").write.mode("append").parquet(f"{tmp_path}/{name}.parquet")
+    assert registry.q_high_watermark(spark, str(tmp_path)).collect()[0][0] > early[0][0]
+
+
 def test_jdbc_options_and_role_types(spark):
     split = R.JdbcSplit("lastmodifieddate", "2024-01-01", "2024-02-01", 31)
     got = R.jdbc_options("jdbc:postgresql://db/x", "(SELECT 1) t", split)
