@@ -48,6 +48,7 @@ from .common import bounded_batches, bounded_sample, store
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 6000, 12000
 FIT_TOXIC, FIT_CLEAN = 500, 500
+PART_DOCS = 256  # sampled documents whose words one task counts
 ROUNDS = 45
 PENALTY = 0.3
 LEAST_WEIGHT = 0.02
@@ -206,6 +207,8 @@ def _seeds(sample: DataFrame) -> set[str]:
             for text, toxic in zip(b["text"], b["toxic"]):
                 seen[toxic].update({s for w in set(tokens(text)) for s in stems(w)})
         keys = list(seen[0].keys() | seen[1].keys())
+        if not keys:  # an empty partition has nothing to say, and empty columns no type
+            return
         yield pd.DataFrame({"stem": keys, "clean": [seen[0][k] for k in keys], "toxic": [seen[1][k] for k in keys]})
 
     counts = sample.mapInPandas(count, "stem string, clean long, toxic long").groupBy("stem")
@@ -286,8 +289,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Field:
     chosen = store(bounded_sample(rows, "toxic", ["doc_id"], {0: SAMPLE_CLEAN, 1: SAMPLE_TOXIC}), "tox-chosen")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sample = texts.join(F.broadcast(chosen), "doc_id")
-    sample = store(sample.withColumn("sketch", _sketch(F.col("text"))).dropDuplicates(["toxic", "sketch"]).drop("sketch"), "tox-sample")
-    seeds = _seeds(sample.repartition(64))
+    first = [F.min_by(c, "nth").alias(c) for c in ("doc_id", "text")]  # of copies, the first in the sample's order
+    sample = sample.groupBy("toxic", _sketch(F.col("text")).alias("sketch")).agg(*first, F.min("nth").alias("nth"))
+    sample = store(sample.drop("sketch"), "tox-sample")
+    seeds = _seeds(sample.repartition(-(-max(1, sample.count()) // PART_DOCS)))
     part = []
     for mark, size in ((0, FIT_CLEAN), (1, FIT_TOXIC)):
         part += sample.filter(F.col("toxic") == mark).orderBy("nth", "text").limit(size).select("text", "toxic").collect()

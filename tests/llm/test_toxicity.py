@@ -79,3 +79,20 @@ def test_held_out_accuracy(spark):
     clean, bad = [s for t, s in held if t == 0], [s for t, s in held if t == 1]
     assert sum(s >= tx.THRESHOLD for s in clean) <= 0.01 * len(clean)
     assert sum(s >= tx.THRESHOLD for s in bad) >= 0.8 * len(bad)
+
+
+@pytest.mark.parametrize("n", [1, 2, 10, 70])
+def test_few_labelled_rows(spark, n):
+    """Parts without a document, one label only, emptied texts: every text still gets a score."""
+    rows = [(i, ["kati mo", "scoundrel su", None, ""][i % 4], i % 2, "x", 1) for i in range(n)]
+    train = spark.createDataFrame(rows, DOC).repartition(16)
+    docs = spark.createDataFrame([(100, "scoundrel", 0, "x", 1), (101, None, 0, "x", 1)], DOC).drop("toxicity")
+    got = tx.scored(docs, tx.fit(train, train)).collect()
+    assert len(got) == 2 and all(0 <= r["toxicity"]["score"] <= 1 for r in got)
+
+
+def test_fits_are_repeatable(spark):
+    rows = _rows(random.Random(7), 60) * 2  # copies: the first in the sample's order stands for all
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    one, two = (tx.fit(d, d) for d in (spark.createDataFrame(rows, DOC).repartition(k) for k in (3, 11)))
+    assert one.weights == two.weights and np.array_equal(one.moves, two.moves)
