@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, htmltext, katz, langid, mixing, simhash, tokencount, toxicity, urlfilter
-from .common import crc_mod, table
+from . import ann, decontam, htmltext, katz, langid, mixing, simhash, tokencount, toxicity, urlfilter, vectorcodes
+from .common import crc_mod, store, table
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,12 +78,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    books = vectorcodes.fit(vectors)
+    coded = vectorcodes.with_label_error(store(vectorcodes.encode(vectors, books), "vector-codes"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vectorcodes.books_sha256(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_text, op2_mixing, op3_nearest, op4_token_counts, op5_url_filter,
         op6_language_id, op7_language_model, op8_decontamination, op9_simhash, op10_toxicity,
+        op11_vector_codes,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.ORACLE, "op5_url_filter": urlfilter.ORACLE, "op8_decontamination": decontam.ORACLE}
+    return {"op2_mixing": mixing.ORACLE, "op5_url_filter": urlfilter.ORACLE, "op8_decontamination": decontam.ORACLE,
+            "op11_vector_codes": vectorcodes.ORACLE}
