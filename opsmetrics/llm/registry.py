@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, htmltext, katz, langid, mixing, simhash, tokencount, toxicity, urlfilter, vectorcodes
+from . import ann, decontam, hardneg, htmltext, katz, langid, mixing, simhash, tokencount, toxicity, urlfilter, vectorcodes
 from .common import crc_mod, store, table
 
 
@@ -85,14 +85,20 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(vectorcodes.books_sha256(books)).alias("codebooks_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_text, op2_mixing, op3_nearest, op4_token_counts, op5_url_filter,
         op6_language_id, op7_language_model, op8_decontamination, op9_simhash, op10_toxicity,
-        op11_vector_codes,
+        op11_vector_codes, op12_hard_negatives,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing": mixing.ORACLE, "op5_url_filter": urlfilter.ORACLE, "op8_decontamination": decontam.ORACLE,
-            "op11_vector_codes": vectorcodes.ORACLE}
+            "op11_vector_codes": vectorcodes.ORACLE, "op12_hard_negatives": hardneg.ORACLE}
