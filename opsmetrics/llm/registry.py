@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, hardneg, htmltext, katz, langid, mixing, simhash, tokencount, toxicity, urlfilter, vectorcodes
+from . import ann, decontam, hardneg, htmltext, katz, langid, mixing, repeats, simhash, tokencount, toxicity, urlfilter, vectorcodes
 from .common import crc_mod, store, table
 
 
@@ -91,11 +91,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hardneg.mine(vectors.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_text, op2_mixing, op3_nearest, op4_token_counts, op5_url_filter,
         op6_language_id, op7_language_model, op8_decontamination, op9_simhash, op10_toxicity,
-        op11_vector_codes, op12_hard_negatives,
+        op11_vector_codes, op12_hard_negatives, op13_suffix_dedup,
     )}
 
 

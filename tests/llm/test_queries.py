@@ -22,6 +22,7 @@ COLUMNS = {
     "op7_language_model": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op13_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
 }
 
 
