@@ -2,12 +2,12 @@
 
 ``Transform`` holds one shard's strings: the rows are the strings'
 suffixes in sorted order (as far as ``depth`` bytes; a string's end sorts
-before every byte), and a row's symbol is what stands before its suffix, here the ``STEP`` bytes before it.
+before every byte), and a row's symbol is what stands before its suffix.
 
 ``merge`` interleaves the rows of several transforms and never compares
 suffixes.  At first all rows are one block.  A refinement deals the rows in their present order by
-their symbols: the row of suffix p then stands for suffix p - STEP, and
-rows fall into one block where the symbols are equal and the rows came from one block.
+their symbols, here the ``STEP`` bytes before the suffix: the row of suffix p then
+stands for suffix p - STEP, and rows fall into one block where the symbols are equal and the rows came from one block.
 After h bytes of refinement two rows are in one block exactly if their suffixes
 share a prefix of h bytes, so the blocks left after ``length`` bytes are
 the repeated intervals: all places of one string of that length.  A row that is alone in its block
@@ -19,7 +19,21 @@ from __future__ import annotations
 
 import numpy as np
 
-STEP = 8  # bytes of one refinement
+STEP = 40  # bytes of one refinement
+
+
+def _ranked(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``key`` (numbers below 2**bits), ties by place, and each place's rank, equal for equal keys."""
+    n = len(key)
+    if bits + n.bit_length() <= 63:  # keys and places fit one number, and sorting numbers is fast
+        both = np.sort((key << n.bit_length()) | np.arange(n))
+        order, ordered = both & ((1 << n.bit_length()) - 1), both >> n.bit_length()
+    else:
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
+    return order, rank
 
 
 class Transform:
@@ -34,78 +48,66 @@ class Transform:
         self.offset = np.arange(n) - self.base[self.string]
         left = sizes[self.string] - self.offset  # bytes of each suffix
         self.weights = np.asarray(weights, dtype=np.int64)
-        # Seven bytes of nine bits each; 0 stands for the end.
+        # Four bytes of nine bits each; 0 stands for the end.
         key = np.zeros(n, dtype=np.int64)
-        for i in range(7):
+        for i in range(4):
             key <<= 9
-            inside = left > i
-            key[: n - i] |= np.where(inside[: n - i], data[i:].astype(np.int64) + 1, 0)
-        self.order = np.argsort(key, kind="stable")
-        rank = self._ranks(key)
-        h = 7
+            if i >= n:
+                continue
+            key[: n - i] |= np.where(left[: n - i] > i, data[i:].astype(np.int64) + 1, 0)
+        self.order, rank = _ranked(key, 36)
+        bits = n.bit_length()
+        h = 4
         while h < depth and rank[self.order[-1]] < n - 1:
             after = np.zeros(n, dtype=np.int64)
             far = np.flatnonzero(left >= h)
             after[far] = rank[far + h] + 1
-            key = (rank << 32) | after
-            self.order = np.argsort(key, kind="stable")
-            rank = self._ranks(key)
+            self.order, rank = _ranked((rank << bits) | after, 2 * bits)
             h *= 2
         self.row_of = np.empty(n, dtype=np.int64)
         self.row_of[self.order] = np.arange(n)
         before = np.zeros(n, dtype=np.uint64)
-        for i in range(1, STEP + 1):
+        for i in range(1, min(8, n) + 1):
             before[i:] |= data[: n - i].astype(np.uint64) << np.uint64(8 * (i - 1))
-        self.symbols = before[self.order]  # of rows whose offset is STEP or more
-
-    def _ranks(self, key: np.ndarray) -> np.ndarray:
-        ordered = key[self.order]
-        rank = np.empty(len(key), dtype=np.int64)
-        rank[self.order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-        return rank
+        self.symbols = before[self.order]  # the eight bytes before, of rows whose offset is eight or more
 
     def rows_from(self, offset: int) -> np.ndarray:
         """Rows whose suffix starts at ``offset`` or later in its string, in order."""
         return np.flatnonzero(self.offset[self.order] >= offset)
 
-    def back(self, rows: np.ndarray, by: int) -> np.ndarray:
-        """The rows of the suffixes that start ``by`` bytes earlier."""
-        return self.row_of[self.order[rows] - by]
 
 
-def merge(shards: list[Transform], length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def merge(shards: list[Transform], length: int, step: int | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each shard (string, offset, interval) of the ``length``-byte strings that occur at least twice over all shards."""
-    ids, symbol_of = np.unique(np.concatenate([t.symbols for t in shards]), return_inverse=True)
+    raw = np.concatenate([t.symbols for t in shards])
     first = np.concatenate(([0], np.cumsum([len(t.order) for t in shards])))  # a shard's first row among all
-    back, weight = np.empty(first[-1], dtype=np.int64), np.empty(first[-1], dtype=np.int64)
-    for t, a, b in zip(shards, first, first[1:]):
-        weight[a:b] = t.weights[t.string[t.order]]
 
-    def step(by: int) -> None:
-        for t, a, b in zip(shards, first, first[1:]):
-            back[a:b] = a + t.row_of[np.maximum(t.order - by, 0)]
+    def go_back(by: int) -> np.ndarray:
+        """Each row's row of the suffix that starts ``by`` bytes earlier."""
+        return np.concatenate([a + t.row_of[np.maximum(t.order - by, 0)] for t, a in zip(shards, first)]).astype(np.int32)
 
+    step = step or STEP
     rows = np.concatenate([a + t.rows_from(length) for t, a in zip(shards, first)])
-    block = np.zeros(len(rows), dtype=np.int64)
+    weight = np.concatenate([np.minimum(t.weights, 2)[t.string[t.order[t.rows_from(length)]]] for t in shards]).astype(np.int32)
+    block = np.zeros(len(rows), dtype=np.int32)
     by = 0
-    for width in [STEP] * (length // STEP) + [length % STEP] * (length % STEP > 0):
+    for width in [step] * (length // step) + [length % step] * (length % step > 0):
         if not len(rows):
             break
         if width != by:
-            step(width)
-            by = width
-            if width < STEP:
-                _, symbol_of = np.unique((ids & np.uint64((1 << 8 * width) - 1))[symbol_of], return_inverse=True)
+            back, symbol_of, by = go_back(width), _symbols(raw, go_back, width), width
         dealt = np.sort((symbol_of[rows].astype(np.int64) << 32) | np.arange(len(rows)))
         came = dealt & 0xFFFFFFFF
         symbol, was = dealt >> 32, block[came]
-        rows = back[rows[came]]
-        heads = np.flatnonzero(np.concatenate(([True], (symbol[1:] != symbol[:-1]) | (was[1:] != was[:-1]))))
-        size = np.diff(np.append(heads, len(rows)))
-        block = np.repeat(np.arange(len(heads)), size)
-        stays = np.add.reduceat(weight[rows], heads) >= 2
-        kept = stays[block]
-        rows, block = rows[kept], block[kept]
+        new = np.empty(len(rows), dtype=bool)
+        new[0] = True
+        np.not_equal(symbol[1:], symbol[:-1], out=new[1:])
+        new[1:] |= was[1:] != was[:-1]
+        heads, weight = np.flatnonzero(new), weight[came]
+        stays = np.add.reduceat(weight, heads) >= 2
+        block = np.cumsum(new, dtype=np.int32) - 1
+        kept = np.flatnonzero(stays[block])
+        rows, block, weight = back[rows[came[kept]]], block[kept], weight[kept]
     out = []
     shard = np.searchsorted(first, rows, side="right") - 1
     for i, t in enumerate(shards):
@@ -113,3 +115,30 @@ def merge(shards: list[Transform], length: int) -> list[tuple[np.ndarray, np.nda
         at = t.order[rows[mine] - first[i]]
         out.append((t.string[at], t.offset[at], block[mine]))
     return out
+
+
+def _symbols(raw: np.ndarray, go_back, width: int) -> np.ndarray:
+    """Numbers for the ``width`` bytes before each row, equal for equal bytes; ``raw`` holds eight of them."""
+    got, done = (_dense(raw, width % 8), width % 8) if width % 8 else (None, 0)
+    eights, size = width // 8, 8
+    unit = _dense(raw, 8) if eights else None
+    while eights:
+        if eights & 1:
+            got, done = unit if got is None else _pairs(unit[go_back(done)], got), done + size
+        eights >>= 1
+        if eights:
+            unit, size = _pairs(unit[go_back(size)], unit), 2 * size
+    return got
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    bits = len(a).bit_length()
+    return _ranked((a.astype(np.int64) << bits) | b, 2 * bits)[1].astype(np.int32)
+
+
+def _dense(raw: np.ndarray, width: int) -> np.ndarray:
+    """Numbers for the last ``width`` bytes, at most eight, equal for equal ones."""
+    raw = raw if width == 8 else raw & np.uint64((1 << 8 * width) - 1)
+    low, high = ((raw & np.uint64(0xFFFFFFFF)).astype(np.int64), (raw >> np.uint64(32)).astype(np.int64))
+    rank = _ranked(low, 32)[1]
+    return _pairs(_ranked(high, 32)[1], rank) if width > 4 else rank.astype(np.int32)

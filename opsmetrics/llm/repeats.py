@@ -42,9 +42,9 @@ from .common import bounded_batches, store
 LENGTH = 200
 SEGMENT = 1 << 20  # bytes whose hashes are worked out at once
 RUN = 4096  # windows in a run at most; longer ones (periodic texts) are cut
-HOT_BYTES = 1 << 20
-BUCKET_BYTES = 1 << 21
-SHARD_BYTES = 1 << 19
+HOT_BYTES = 1 << 19
+BUCKET_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 LEAST_BYTES = 1 << 18  # of pieces that are worth a task
 SEEN = 1 << 18  # pieces whose bytes a task remembers to have given out
 OUT_BYTES = 1 << 22
@@ -188,7 +188,8 @@ def _pieces(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         kinds = [pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["sid", "start", "key", "pid", "copies", "piece"])
 
-    met = texts.join(wanted, "sid").select("sid", "text", "copies", "runs")
+    once = texts.groupBy("sid").agg(F.any_value("text").alias("text"), F.sum("copies").alias("copies"))  # copies meet before the shuffle
+    met = once.join(wanted, "sid").select("sid", "text", "copies", "runs")
     return met.mapInArrow(cut, "sid binary, start int, key long, pid binary, copies long, piece binary")
 
 

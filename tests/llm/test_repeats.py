@@ -48,7 +48,7 @@ def _got(spark, texts, length):
     return [tuple(r)[1:] for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
-@pytest.mark.parametrize("length", [13, 16, 40])
+@pytest.mark.parametrize("length", [13, 40, 100])
 def test_matches_counting(spark, length):
     texts = _texts(length, 60, length)
     assert _got(spark, texts, length) == _plain(texts, length)
@@ -67,10 +67,10 @@ def test_hot_keys_small_buckets_and_segments(spark, monkeypatch):
 
 def test_merge_of_transforms_finds_intervals():
     rnd = random.Random(1)
-    for length in (5, 8, 11, 16):
-        strings = [bytes(rnd.choice(b"ab\x00") for _ in range(rnd.randint(0, 60))) for _ in range(30)]
+    for length, step in ((5, 2), (8, 3), (11, 8), (16, 5), (27, 9), (60, 13), (30, 40)):
+        strings = [bytes(rnd.choice(b"ab\x00") for _ in range(rnd.randint(0, 60))) * rnd.choice([1, 1, 3]) for _ in range(30)]
         cut = [strings[:11], strings[11:12], strings[12:]]
-        found = merge([Transform(c, [1] * len(c), length) for c in cut], length)
+        found = merge([Transform(c, [1] * len(c), length) for c in cut], length, step)
         blocks = {}
         for c, (string, offset, block) in zip(cut, found):
             for s, o, b in zip(string, offset, block):
