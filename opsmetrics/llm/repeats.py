@@ -42,7 +42,7 @@ from .common import bounded_batches, store
 LENGTH = 200
 SEGMENT = 1 << 20  # bytes whose hashes are worked out at once
 RUN = 4096  # windows in a run at most; longer ones (periodic texts) are cut
-HOT_BYTES = 1 << 19
+HOT_BYTES = 1 << 21
 BUCKET_BYTES = 1 << 20
 SHARD_BYTES = 1 << 18
 LEAST_BYTES = 1 << 18  # of pieces that are worth a task
@@ -55,8 +55,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def key_bytes(length: int) -> list[int]:
-    """Bytes under the key's hash: a third of a window, two thirds, all of it."""
-    return sorted({max(1, length * 8 // 25), max(1, length * 16 // 25), length})
+    """Bytes under the key's hash: a third of a window at first, all of it in the end."""
+    return sorted({max(1, length * part // 25) for part in (8, 16, 22, 25)})
 
 
 # ---- keys of windows -------------------------------------------------------------------------------------------------
@@ -268,8 +268,17 @@ def _spans(texts: DataFrame, length: int, keys: list[int]) -> DataFrame:
         again = distinct.join(hot, "key", "left_semi").select(F.col("pid").alias("sid"), F.col("piece").alias("text"), "copies")
         found = found.unionByName(_spans(store(again, "repeats-again"), length, longer))
     shifted = F.transform("spans", lambda s: F.struct((s["at"] + F.col("start")).alias("at"), s["n"].alias("n")))
-    placed = pieces.select("sid", "start", "pid").join(found.withColumnRenamed("sid", "pid"), "pid").select("sid", F.explode(shifted).alias("s"))
-    return store(placed.groupBy("sid").agg(F.collect_set("s").alias("spans")), "repeats-spans")
+    placed = pieces.select("sid", "start", "pid").join(found.withColumnRenamed("sid", "pid"), "pid").select("sid", shifted.alias("spans"))
+    return store(placed.groupBy("sid").agg(_joined(F.flatten(F.collect_list("spans"))).alias("spans")), "repeats-spans")
+
+
+def _joined(spans: Column) -> Column:
+    """Spans in order, neighbours as one."""
+    end = lambda s: s["at"] + s["n"]
+    last = lambda a: F.element_at(a, -1)
+    longer = lambda a, s: F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last(a)["at"].alias("at"), (last(a)["n"] + s["n"]).alias("n"))))
+    step = lambda a, s: F.when((F.size(a) > 0) & (end(F.get(a, F.size(a) - 1)) == s["at"]), longer(a, s)).otherwise(F.concat(a, F.array(s)))
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), step)
 
 
 def _cover(spans, length: int) -> list[tuple[int, int]]:
