@@ -152,9 +152,14 @@ def hourly_working_time(changes: DataFrame) -> DataFrame:
         .groupBy("warehouse", "process", "timestamp", "emailaddress")
         .agg((exact_sum(_signed(STATUS_OUT, us, True)) - exact_sum(_signed(STATUS_IN, us, True))).alias("_us"))
     )
+    return corrected_hours(g)
+
+
+def corrected_hours(sums: DataFrame) -> DataFrame:
+    """Signed microseconds ``_us`` of each hour and worker as working time: a negative sum gets one hour added."""
     hour_us = HOUR_SECONDS * 1_000_000
     total = F.when(F.col("_us") < 0, F.col("_us") + F.lit(hour_us)).otherwise(F.col("_us"))
-    return g.select(
+    return sums.select(
         "warehouse",
         "process",
         "timestamp",

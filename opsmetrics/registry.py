@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from . import catalog, oracle
 from .functions.windows import DAY, ReportWindow
-from .plans import hourly, incremental, receipts, reports, sql_reports
+from .plans import committed, hourly, incremental, receipts, reports, sql_reports
 from .session import checkpoint_dir
 from .sources import sinks
-from .streaming import hourly_items, hourly_job
+from .sources.snapshots import Snapshots
+from .streaming import hourly_items, hourly_job, hourly_time
 from .sources.testdata import source_state, testdata_roles
 
 # Whole month of the test data (every item, task and log row lies inside).
@@ -120,6 +121,15 @@ def q_incremental_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{target}/daily")
 
 
+def q_incremental_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same runs with raw, daily and hourly rows in one commit each."""
+    roles = testdata_roles(spark, sf_dir)
+    target = _scratch(spark, "committed")
+    for now in RUNS:
+        committed.run_committed(spark, roles, target, now, bootstrap=BOOTSTRAP)
+    return Snapshots(spark, target).read("daily")
+
+
 def q_stream_hourly_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     roles = testdata_roles(spark, sf_dir)
     base = _scratch(spark, "stream")
@@ -140,6 +150,21 @@ def q_stream_hourly_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out/daily")
 
 
+# The log lands in slices of eight days; a tenth of each comes with the next one, so rows wait out of order.
+SLICE_DAYS, LATER, SLICE_DELAY = 8, 10, dt.timedelta(days=17)
+
+
+def q_stream_hourly_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Working time with each worker's last status carried between micro-batches; the query is started anew for each slice."""
+    log = testdata_roles(spark, sf_dir).worklog.drop(DAY)
+    base = _scratch(spark, "stream-time")
+    nth = F.floor((F.dayofmonth("actiontime") - 1) / SLICE_DAYS) + F.when(F.col("logid") % LATER == 0, 1).otherwise(0)
+    for i in range(31 // SLICE_DAYS + 2):
+        sinks.append(log.where(nth == i), f"{base}/landing")
+        found = hourly_time.run_available(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", MONTH, SLICE_DELAY)
+    return found.drop("working_us")
+
+
 # Days the test log covers: the streaming job recomputes exactly these.
 LOG_DAYS = ReportWindow.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 
@@ -172,7 +197,9 @@ def queries() -> dict[str, QueryFn]:
     out["high_watermark"] = q_high_watermark
     out["next_window"] = q_next_window
     out["incremental_run"] = q_incremental_run
+    out["incremental_committed"] = q_incremental_committed
     out["stream_hourly_items"] = q_stream_hourly_items
+    out["stream_hourly_time"] = q_stream_hourly_time
     out["stream_hourly_job"] = q_stream_hourly_job
     return out
 
@@ -195,6 +222,8 @@ def oracle_sql() -> dict[str, str]:
     out["high_watermark"] = oracle.high_watermark_sql(MONTH)
     out["next_window"] = oracle.next_window_sql(MONTH, AFTER_MONTH)
     out["incremental_run"] = oracle.incremental_sql(*_run_bounds())
+    out["incremental_committed"] = oracle.incremental_sql(*_run_bounds())
     out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
+    out["stream_hourly_time"] = oracle.hourly_time_sql(MONTH)
     out["stream_hourly_job"] = oracle.incremental_sql(LOG_DAYS, [])
     return out
