@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from . import catalog, oracle
 from .functions.windows import DAY, ReportWindow
-from .plans import committed, hourly, incremental, receipts, reports, sql_reports
+from .operators import segments
+from .plans import committed, distinct, hourly, incremental, late_hours, receipts, reports, sql_reports
 from .session import checkpoint_dir
 from .sources import sinks
 from .sources.snapshots import Snapshots
-from .streaming import hourly_items, hourly_job, hourly_time
+from .sources.roles import Roles
+from .streaming import hourly_items, hourly_job, hourly_time, hourly_users
 from .sources.testdata import source_state, testdata_roles
+from .spec import PICKING
 
 # Whole month of the test data (every item, task and log row lies inside).
 MONTH = ReportWindow.of("2024-01-01 00:00:00", "2024-01-31 23:59:59")
@@ -165,6 +168,54 @@ def q_stream_hourly_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("working_us")
 
 
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = _scratch(spark, name)
+    sinks.append(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def q_daily_from_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table from stored hours with bitmaps of their workers; no worker-hour is read again."""
+    raw = _stored(spark, _raw(spark, sf_dir), "raw")
+    ids = _stored(spark, distinct.worker_ids(raw), "worker-ids")
+    return distinct.daily_from_parts(_stored(spark, distinct.hourly_parts(raw, ids), "hourly-parts"))
+
+
+def q_stream_hourly_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct workers of every hour from a stream of item rows that lands in three slices."""
+    roles = testdata_roles(spark, sf_dir)
+    base = _scratch(spark, "stream-users")
+    detail = _stored(spark, hourly.pick_detail(roles.items, roles.tasks, MONTH), "detail")
+    for first in (1, 11, 21):
+        sinks.append(detail.where(F.dayofmonth("lastmodifieddate").between(first, first + (9 if first < 21 else 10))), f"{base}/in")
+        found = hourly_users.run_available(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint")
+    return found
+
+
+# A window that starts and ends within a day.
+PART_DAYS = ReportWindow.of("2024-01-08 09:30:00", "2024-01-14 17:15:00")
+
+
+def q_working_seconds_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Working time of a week from stored day segments; only the two edge days are read from the log."""
+    log = testdata_roles(spark, sf_dir).worklog
+    stored = _stored(spark, segments.day_segments(log, PICKING.modules), "segments")
+    time = segments.window_time(stored, log, PICKING.modules, PART_DAYS)
+    return time.select("warehouse", "emailaddress", "total_working_seconds")
+
+
+# The warehouse whose rows come late.
+LATE_WAREHOUSE = "whracks12"
+
+
+def q_late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours to load again after one warehouse's rows have come late, by the digests of what was loaded."""
+    roles = testdata_roles(spark, sf_dir)
+    early = Roles(spark, {n: (lambda n=n: getattr(roles, n).where(~F.col("warehouse").eqNullSafe(LATE_WAREHOUSE))) for n in late_hours.SOURCES})
+    loaded = _stored(spark, late_hours.hour_digests(early, MONTH), "digests")
+    return late_hours.late_hours(loaded, late_hours.hour_digests(roles, MONTH))
+
+
 # Days the test log covers: the streaming job recomputes exactly these.
 LOG_DAYS = ReportWindow.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 
@@ -198,6 +249,10 @@ def queries() -> dict[str, QueryFn]:
     out["next_window"] = q_next_window
     out["incremental_run"] = q_incremental_run
     out["incremental_committed"] = q_incremental_committed
+    out["daily_from_hourly"] = q_daily_from_hourly
+    out["working_seconds_segments"] = q_working_seconds_segments
+    out["late_hours"] = q_late_hours
+    out["stream_hourly_users"] = q_stream_hourly_users
     out["stream_hourly_items"] = q_stream_hourly_items
     out["stream_hourly_time"] = q_stream_hourly_time
     out["stream_hourly_job"] = q_stream_hourly_job
@@ -223,6 +278,10 @@ def oracle_sql() -> dict[str, str]:
     out["next_window"] = oracle.next_window_sql(MONTH, AFTER_MONTH)
     out["incremental_run"] = oracle.incremental_sql(*_run_bounds())
     out["incremental_committed"] = oracle.incremental_sql(*_run_bounds())
+    out["daily_from_hourly"] = oracle.daily_report_sql(MONTH)
+    out["working_seconds_segments"] = oracle.window_seconds_sql(PICKING.modules, PART_DAYS)
+    out["late_hours"] = oracle.late_hours_sql(MONTH, LATE_WAREHOUSE)
+    out["stream_hourly_users"] = oracle.stream_users_sql(MONTH)
     out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
     out["stream_hourly_time"] = oracle.hourly_time_sql(MONTH)
     out["stream_hourly_job"] = oracle.incremental_sql(LOG_DAYS, [])
