@@ -5,7 +5,9 @@ always about ``SHARD_ROWS`` vectors, their number follows the table.
 Within a shard equal vectors are one node, so a vector that a third of all
 rows share costs one node in each shard.  Nodes are lifted by one
 coordinate to equal length, which makes the largest inner product the
-smallest distance.  They are inserted in growing batches: a greedy beam
+smallest distance; the ``LISTED`` longest nodes of a shard stand in a list beside the graph that every
+query is compared with, so a few very long vectors do not drown the others' distances.  Nodes are scaled
+by the graph's longest before single precision.  They are inserted in growing batches: a greedy beam
 search over the graph so far proposes neighbours; robust pruning keeps the
 nearest proposal, drops those that lie nearer to it (by the factor
 ``ALPHA``) than to the node, and goes on; reverse links are pruned alike.
@@ -40,15 +42,23 @@ BLOCK_ROWS = 2048
 DEGREE = 28
 SPARE = 4
 BUILD_BEAM = 64
-SEARCH_BEAM = 128
+SEARCH_BEAM = 320
+LISTED = 32
 ALPHA = 1.2
 STEP = 512  # searches made side by side
 
 INDEX = "dim int, shard int, ids binary, starts binary, vectors binary, graph binary, entry int"
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors in proportion, the longest of length 1."""
+    x = x / max(float(np.abs(x).max(initial=0.0)), np.finfo(float).tiny)
+    return x / max(float(np.sqrt((x * x).sum(axis=1).max(initial=0.0))), np.finfo(float).tiny)
+
+
 def lifted(x: np.ndarray) -> np.ndarray:
     """Vectors with one more coordinate, all of the same length."""
+    x = scaled(x)
     square = (x * x).sum(axis=1)
     return np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], axis=1).astype(np.float32)
 
@@ -209,9 +219,14 @@ def _arrays(group: pd.DataFrame):
 def _indexed(group: pd.DataFrame) -> pd.DataFrame:
     ids, vectors = _arrays(group)
     node, of = np.unique(vectors, axis=0, return_inverse=True)
-    order = np.lexsort((ids, of.ravel()))
-    starts = np.searchsorted(of.ravel()[order], np.arange(len(node) + 1))
-    graph, entry = build(node)
+    by_length = np.argsort((scaled(node) ** 2).sum(axis=1), kind="stable")
+    place = np.empty(len(node), dtype=np.int64)
+    place[by_length] = np.arange(len(node))
+    node, of = node[by_length], place[of.ravel()]
+    order = np.lexsort((ids, of))
+    starts = np.searchsorted(of[order], np.arange(len(node) + 1))
+    within = max(0, len(node) - LISTED)  # the longest come last and are listed
+    graph, entry = build(node[:within]) if within else (np.zeros((0, DEGREE + SPARE), dtype=np.int32), -1)
     return pd.DataFrame({"dim": [node.shape[1]], "shard": [int(group["shard"].iloc[0])], "ids": [ids[order].tobytes()], "starts": [starts.astype(np.int64).tobytes()],
                          "vectors": [node.tobytes()], "graph": [graph.tobytes()], "entry": [entry]})
 
@@ -236,14 +251,18 @@ def _best(row, k: int):
     dim = row["dim"]
     ids, starts = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["starts"], dtype=np.int64)
     vectors = np.frombuffer(row["vectors"]).reshape(-1, dim)
-    graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(len(vectors), -1)
+    graph = np.frombuffer(row["graph"], dtype=np.int32).reshape(-1, DEGREE + SPARE)
+    listed = np.arange(len(graph), len(vectors))
     query_ids, queries = np.frombuffer(row["q_ids"], dtype=np.int64), np.frombuffer(row["q_vectors"]).reshape(-1, dim)
-    x = vectors.astype(np.float32)
+    x = scaled(vectors[: len(graph)]).astype(np.float32)
     for i in range(0, len(queries), STEP):
         q = queries[i : i + STEP]
-        found, _ = beam_search(x, graph, row["entry"], q.astype(np.float32), max(SEARCH_BEAM, 2 * k))
+        found = np.full((len(q), 0), -1)
+        if len(graph):
+            unit = q / np.abs(q).max(axis=1, keepdims=True)  # a query's own length does not change its order
+            found, _ = beam_search(x, graph, row["entry"], unit.astype(np.float32), max(SEARCH_BEAM, 2 * k))
         for query_id, vector, nodes in zip(query_ids[i : i + STEP], q, found):
-            nodes = nodes[nodes >= 0]
+            nodes = np.concatenate([nodes[nodes >= 0], listed])
             score = (vectors[nodes] * vector).sum(axis=1)
             size = np.minimum(starts[nodes + 1] - starts[nodes], k + 1)  # the smallest ids of a node are enough
             who = ids[np.repeat(starts[nodes] - np.cumsum(size) + size, size) + np.arange(size.sum())]

@@ -58,25 +58,24 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)], dtype=bool)
 
 
-def _pieces(text: str):
-    """Code points of the lower-cased text, one 0 for each run of other characters and at both ends, in overlapping pieces."""
-    low = text.lower()
-    for i in range(0, len(low), PIECE):
-        points = np.frombuffer(low[max(0, i - 3) : i + PIECE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        points = np.where(_letters()[points], points, 0)
-        points = np.concatenate(([0], points, [0])).astype(np.uint64)
-        keep = np.ones(len(points), dtype=bool)
-        keep[1:] = (points[1:] != 0) | (points[:-1] != 0)
-        yield points[keep]
+def _points(text: str) -> np.ndarray:
+    """Code points of the lower-cased text, one 0 for each run of other characters and at both ends."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    out = np.zeros(len(points) + 2, dtype=np.uint32)
+    out[1:-1] = np.where(_letters()[points], points, 0)
+    keep = np.ones(len(out), dtype=bool)
+    keep[1:] = (out[1:] != 0) | (out[:-1] != 0)
+    return out[keep]
 
 
 def grams(text: str | None) -> np.ndarray:
-    """64-bit hashes of all n-grams of a text."""
-    found = []
-    for p in _pieces(text or ""):
-        for n in ORDERS:
-            if len(p) < n:
-                continue
+    """64-bit hashes of all n-grams of a text, each at its start once; ``PIECE`` starts are worked out at a time."""
+    points, found = _points(text or ""), []
+    if not text:
+        return np.zeros(0, dtype=np.uint64)
+    for n in ORDERS:
+        for first in range(0, len(points) - n + 1, PIECE):
+            p = points[first : first + PIECE + n - 1].astype(np.uint64)
             size = len(p) - n + 1
             h = np.full(size, n, dtype=np.uint64)
             inner = np.ones(size, dtype=bool)

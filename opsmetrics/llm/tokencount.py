@@ -8,8 +8,10 @@ or above a limit, the total after truncation, and quantiles follow without
 another look at the texts.  The suffix sums run in two levels (blocks of
 ``BLOCK`` lengths, then the blocks), so no window holds all lengths.
 
-The tokenizer's file is a parameter and must be found under the same path
-on every executor; each Python worker loads it once.
+The tokenizer's file is a parameter; Spark's file server hands it from the
+driver to each executor, and each Python worker loads it once.  Its pattern goes
+back step by step in white space, so a run of ``RUN`` or more white-space characters is cut out of
+the text first, at the points where the pattern splits anyway, and merged as one piece.
 
 Edge cases: null and empty texts have length 0 and are counted; special
 token strings inside a text are ordinary text; repeated rows count as
@@ -21,9 +23,11 @@ from __future__ import annotations
 import base64
 import functools
 import os
+import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,22 +37,41 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public pattern that splits text before the merges of these rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLOCK = 256
+RUN = 10_000
+# Fixed value: Unicode's white space, which the pattern's ``\\s`` means.
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 @functools.cache
-def encoding(path: str):
+def encoding(path: str, pattern: str = PATTERN):
     import tiktoken
 
     with open(path) as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-    return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(os.path.basename(path), pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def encoded_length(text: Column, path: str = RANKS) -> Column:
+def n_tokens(text: str, path: str, run: int = RUN) -> int:
+    """Encoded length of a text, long white-space runs as pieces of their own."""
+    encode, total, at = encoding(path).encode_ordinary, 0, 0
+    if len(text) >= run:
+        piece = encoding(path, r"[\s\S]+").encode_ordinary  # all of it is one piece
+        for found in re.finditer(f"{SPACE}{{{run},}}", text):
+            # The last one before other text belongs to what follows, or is a piece alone.
+            end = found.end() - (found.end() < len(text))
+            total += len(encode(text[at : found.start()])) + len(piece(text[found.start() : end]))
+            at = end
+    return total + len(encode(text[at:]))
+
+
+def encoded_length(spark: SparkSession, text: Column, path: str = RANKS) -> Column:
+    spark.sparkContext.addFile(path)
+    name = os.path.basename(path)
+
     @F.pandas_udf("long")
     def length(texts: pd.Series) -> pd.Series:
-        encode = encoding(path).encode_ordinary
-        return pd.Series([len(encode(t)) if t else 0 for t in texts], dtype="int64")
+        held = SparkFiles.get(name)
+        return pd.Series([n_tokens(t, held) if t else 0 for t in texts], dtype="int64")
 
     return length(text)
 
@@ -56,7 +79,7 @@ def encoded_length(text: Column, path: str = RANKS) -> Column:
 def histogram(docs: DataFrame, path: str = RANKS, text: str = "text") -> DataFrame:
     """(n_tokens, n_docs): documents of each encoded length."""
     bounded_batches(docs.sparkSession)
-    return docs.select(encoded_length(F.col(text), path).alias("n_tokens")).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    return docs.select(encoded_length(docs.sparkSession, F.col(text), path).alias("n_tokens")).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
 
 
 def every_limit(lengths: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 
 from opsmetrics.llm import ann
 
@@ -44,6 +45,29 @@ def test_recall_over_several_shards(spark):
         assert all(abs(exact[q, i] - s) < 1e-9 for i, s in pairs if (q, i) in exact)
 
 
+def test_recall_on_uneven_gaussian_and_huge_vectors():
+    """One shard each, without Spark: lengths of all sizes, no clusters at all, components near the end of single precision."""
+    rng = np.random.default_rng(5)
+    plain = rng.normal(size=(3000, 32))
+    uneven = plain * np.exp(rng.normal(size=(3000, 1)))
+    one_long = plain.copy()
+    one_long[7] *= 3000
+    centres = rng.normal(size=(12, 32))
+    clustered = centres[rng.integers(0, 12, 3000)] + rng.normal(size=(3000, 32)) * 0.3
+    for name, x in {"plain": plain, "uneven": uneven, "one long": one_long, "clustered": clustered, "huge": one_long * 1e34}.items():
+        x = x.astype(np.float32).astype(float)
+        group = pd.DataFrame({"shard": 0, "vec_id": np.arange(len(x)), "v": list(x)})
+        row = ann._indexed(group).iloc[0].to_dict()
+        row |= {"q_ids": np.arange(0, 3000, 20).tobytes(), "q_vectors": x[::20].tobytes()}
+        found = 0
+        for query, ids, scores in ann._best(row, 20):
+            score = x @ x[query]
+            want = [i for i in np.lexsort((np.arange(len(x)), -score)) if i != query][:20]
+            found += len({*ids} & {*map(int, want)})
+            assert np.allclose(scores, score[ids], rtol=1e-12)
+        assert found >= 0.95 * 150 * 20, (name, found / 3000)
+
+
 def test_a_vector_shared_by_many_rows(spark):
     rng = np.random.default_rng(2)
     hot = [3.0] * 8

@@ -36,3 +36,24 @@ def test_encoding_round_trip():
 def test_empty(spark):
     table = tc.every_limit(tc.histogram(spark.createDataFrame([], DOC)))
     assert table.collect() == [] and tc.truncated_total(table, 5) == 0 and tc.quantile(table, 0.5) is None
+
+
+def test_long_white_space_is_counted_like_short():
+    import random
+
+    rnd, enc = random.Random(6), tc.encoding(tc.RANKS)
+    blank = [" ", "\n", "\t", "\u00a0", "\u3000", "\r\n", "\x1c"]
+    for _ in range(400):
+        parts = [rnd.choice(["word", "9", "!?", "'s", "é", "", "a b"]) + rnd.choice(blank) * rnd.randint(0, 12) + rnd.choice(blank) * rnd.randint(0, 3) for _ in range(8)]
+        text = "".join(parts)
+        assert tc.n_tokens(text, tc.RANKS, run=3) == len(enc.encode_ordinary(text)), text
+
+
+def test_ten_million_blanks(spark):
+    texts = [" " * 10_000_000, "a" + " " * 3_000_000 + "b", "\n" * 2_000_000 + "x"]
+    df = spark.createDataFrame([(i, 0, "x", "y") for i in range(3)], "doc_id long, k int, n_tokens string, n_docs string")
+    from pyspark.sql import functions as F
+
+    text = F.when(F.col("doc_id") == 0, F.repeat(F.lit(" "), 10_000_000)).when(F.col("doc_id") == 1, F.concat(F.lit("a"), F.repeat(F.lit(" "), 3_000_000), F.lit("b")))
+    rows = tc.histogram(df.withColumn("text", text.otherwise(F.concat(F.repeat(F.lit("\n"), 2_000_000), F.lit("x"))))).collect()
+    assert sorted((r["n_tokens"], r["n_docs"]) for r in rows) == sorted((tc.n_tokens(t, tc.RANKS), 1) for t in texts)
