@@ -5,7 +5,7 @@ always about ``SHARD_ROWS`` vectors, their number follows the table.
 Within a shard equal vectors are one node, so a vector that a third of all
 rows share costs one node in each shard.  Nodes are lifted by one
 coordinate to equal length, which makes the largest inner product the
-smallest distance; the ``LISTED`` longest nodes of a shard stand in a list beside the graph that every
+smallest distance; the longest nodes of a shard (``LISTED`` and all beyond ``LONG`` times its median) stand in a list beside the graph that every
 query is compared with, so a few very long vectors do not drown the others' distances.  Nodes are scaled
 by the graph's longest before single precision.  They are inserted in growing batches: a greedy beam
 search over the graph so far proposes neighbours; robust pruning keeps the
@@ -44,6 +44,7 @@ SPARE = 4
 BUILD_BEAM = 64
 SEARCH_BEAM = 320
 LISTED = 32
+LONG = 2.0  # times the shard's median length: longer nodes are listed, too
 ALPHA = 1.2
 STEP = 512  # searches made side by side
 
@@ -219,13 +220,14 @@ def _arrays(group: pd.DataFrame):
 def _indexed(group: pd.DataFrame) -> pd.DataFrame:
     ids, vectors = _arrays(group)
     node, of = np.unique(vectors, axis=0, return_inverse=True)
-    by_length = np.argsort((scaled(node) ** 2).sum(axis=1), kind="stable")
+    length = np.sqrt((scaled(node) ** 2).sum(axis=1))
+    by_length = np.argsort(length, kind="stable")
     place = np.empty(len(node), dtype=np.int64)
     place[by_length] = np.arange(len(node))
     node, of = node[by_length], place[of.ravel()]
     order = np.lexsort((ids, of))
     starts = np.searchsorted(of[order], np.arange(len(node) + 1))
-    within = max(0, len(node) - LISTED)  # the longest come last and are listed
+    within = max(0, len(node) - max(LISTED, int((length > LONG * np.median(length)).sum())))  # the longest come last and are listed
     graph, entry = build(node[:within]) if within else (np.zeros((0, DEGREE + SPARE), dtype=np.int32), -1)
     return pd.DataFrame({"dim": [node.shape[1]], "shard": [int(group["shard"].iloc[0])], "ids": [ids[order].tobytes()], "starts": [starts.astype(np.int64).tobytes()],
                          "vectors": [node.tobytes()], "graph": [graph.tobytes()], "entry": [entry]})
