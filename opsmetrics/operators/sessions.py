@@ -137,8 +137,8 @@ def working_time(changes: DataFrame, window: ReportWindow, keys: Sequence[str] =
     )
 
 
-def hourly_working_time(changes: DataFrame) -> DataFrame:
-    """Working time per warehouse, process, hour bucket and worker.
+def hourly_working_time(changes: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Working time per warehouse, process, hour bucket and worker (and the ``more`` keys, such as a window's).
 
     Offsets are measured from the start of each row's hour; a side with no
     rows counts as 0, and a negative result gets one hour added.  Rows of
@@ -149,17 +149,18 @@ def hourly_working_time(changes: DataFrame) -> DataFrame:
     g = (
         changes.where(F.col("emailaddress").isNotNull())
         .withColumn("timestamp", bucket)
-        .groupBy("warehouse", "process", "timestamp", "emailaddress")
+        .groupBy(*more, "warehouse", "process", "timestamp", "emailaddress")
         .agg((exact_sum(_signed(STATUS_OUT, us, True)) - exact_sum(_signed(STATUS_IN, us, True))).alias("_us"))
     )
-    return corrected_hours(g)
+    return corrected_hours(g, more)
 
 
-def corrected_hours(sums: DataFrame) -> DataFrame:
+def corrected_hours(sums: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Signed microseconds ``_us`` of each hour and worker as working time: a negative sum gets one hour added."""
     hour_us = HOUR_SECONDS * 1_000_000
     total = F.when(F.col("_us") < 0, F.col("_us") + F.lit(hour_us)).otherwise(F.col("_us"))
     return sums.select(
+        *more,
         "warehouse",
         "process",
         "timestamp",

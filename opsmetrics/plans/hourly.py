@@ -19,6 +19,7 @@ two processes).
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,42 +91,52 @@ def pick_detail(
         & in_window("lastmodifieddate", window, "half_open")
     ).drop("tier")
 
-    task_cond = None
-    for s in specs:
-        task_cond = task_predicate(s) if task_cond is None else task_cond | task_predicate(s)
     keys = [k for k in ("warehouse", "taskid") if k in tasks.columns]
-    flags = (
-        tasks.where(task_cond & overlaps("startdate", "enddate", window))
-        .groupBy(*keys, "tasktype")
-        .agg(
-            F.max(F.col("tier") == "archive").alias("_in_archive"),
-            F.max(F.col("tier") == "live").alias("_in_live"),
-        )
+    flags = tier_flags(tasks.where(any_process(specs) & overlaps("startdate", "enddate", window)), keys)
+    if dedup:  # an item that several copies of the table hold counts once
+        it = it.dropDuplicates(["warehouse", "item_table", "id"])
+    rows = it.join(flags, keys, "inner").withColumn("process", process_rows(specs, fix_labels, dedup))
+    return rows.select(*DETAIL_COLS)
+
+
+def any_process(specs: Sequence[ProcessSpec]) -> Column:
+    """Tasks of one of the processes."""
+    return reduce(lambda a, b: a | b, [task_predicate(s) for s in specs])
+
+
+def tier_flags(tasks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """For each key and task type, which of the two masters hold such a task."""
+    return tasks.groupBy(*keys, "tasktype").agg(
+        F.max(F.col("tier") == "archive").alias("_in_archive"),
+        F.max(F.col("tier") == "live").alias("_in_live"),
     )
-    # The process follows from (item table, task type) and is given after the join, so no item is
-    # doubled before the shuffle; one output row per process and master holding the task.
+
+
+def process_rows(specs: Sequence[ProcessSpec], fix_labels: bool, dedup: bool = False) -> Column:
+    """The process labels of an item that has met its task's flags: a row for each process and master.
+
+    The process follows from (item table, task type) and is given after
+    the join, so no item is doubled before the shuffle.
+    """
     labels = []
     for s in specs:
         own = (F.col("item_table") == s.item_table) & (F.col("tasktype") == s.tasktype)
         labels.append(F.when(own & F.col("_in_archive"), F.lit(s.process)))
         second = own & F.col("_in_live") & ~F.col("_in_archive") if dedup else own & F.col("_in_live")
         labels.append(F.when(second, F.lit(s.process if fix_labels else SECOND_BRANCH_LABEL)))
-    if dedup:  # an item that several copies of the table hold counts once
-        it = it.dropDuplicates(["warehouse", "item_table", "id"])
-    rows = it.join(flags, keys, "inner").withColumn("process", F.explode(F.array_compact(F.array(*labels))))
-    return rows.select(*DETAIL_COLS)
+    return F.explode(F.array_compact(F.array(*labels)))
 
 
 def _zero_sum(cond: Column, v: Column) -> Column:
     return F.coalesce(F.sum(F.when(cond, v).otherwise(F.lit(0.0))), F.lit(0.0))
 
 
-def item_totals(detail: DataFrame, products: DataFrame) -> DataFrame:
-    """Item totals per warehouse, process, hour and worker; rows of a NULL worker are dropped, all-missing sums are 0."""
+def item_totals(detail: DataFrame, products: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Item totals per warehouse, process, hour and worker (and the ``more`` keys); rows of a NULL worker are dropped, all-missing sums are 0."""
     pq = F.col("processquantity")
     d = detail.where(F.col("emailaddress").isNotNull()).withColumn("timestamp", hour_bucket("lastmodifieddate"))
     d = with_category(d, dedup_products(products), null_safe=True)
-    return d.groupBy(*RAW_KEYS).agg(
+    return d.groupBy(*more, *RAW_KEYS).agg(
         F.coalesce(F.sum(pq), F.lit(0.0)).alias("Quantity"),
         F.coalesce(F.sum("notfoundquantity"), F.lit(0.0)).alias("totalnotfound"),
         _zero_sum(F.col("businesstype") == BUSINESS_B2B, pq).alias("B2B_Qty"),
@@ -135,12 +146,12 @@ def item_totals(detail: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def with_time(totals: DataFrame, time: DataFrame) -> DataFrame:
+def with_time(totals: DataFrame, time: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Item totals left join working time (``working_us``, NULL where the worker has none in that hour)."""
-    return totals.join(time.select(*RAW_KEYS, "working_us"), list(RAW_KEYS), "left")
+    return totals.join(time.select(*more, *RAW_KEYS, "working_us"), [*more, *RAW_KEYS], "left")
 
 
-def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame) -> DataFrame:
+def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Worker-hour rows: item totals joined to working time.
 
     Rows of a NULL worker are dropped (a dataframe group-by drops missing
@@ -149,7 +160,7 @@ def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame) ->
     their short labels; QTY = Quantity - Consumable_Qty.  ``working_us``
     (exact microseconds) is kept for the roll-ups.
     """
-    j = with_time(item_totals(detail, products), time)
+    j = with_time(item_totals(detail, products, more), time, more)
     ws = F.col("working_us")
     filled = (
         F.when(ws.isNull(), F.lit(HOUR_US))
@@ -158,6 +169,7 @@ def productivity_raw(detail: DataFrame, products: DataFrame, time: DataFrame) ->
         .cast("decimal(38,0)")
     )
     return j.select(
+        *more,
         warehouse_label("warehouse").alias("warehouse"),
         "process",
         "timestamp",

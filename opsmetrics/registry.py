@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from . import catalog, oracle
 from .functions.windows import DAY, ReportWindow
-from .operators import segments
-from .plans import committed, distinct, hourly, incremental, late_hours, receipts, reports, sql_reports
+from .operators import intervals, segments
+from .operators.items import overlapping_tasks
+from .plans import catch_up, committed, distinct, hourly, incremental, late_hours, receipts, reports, sql_reports
 from .session import checkpoint_dir
-from .sources import sinks
+from .sources import bucketed, report_files, sinks
 from .sources.snapshots import Snapshots
 from .sources.roles import Roles
 from .streaming import hourly_items, hourly_job, hourly_time, hourly_users
@@ -216,6 +217,45 @@ def q_late_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_hours.late_hours(loaded, late_hours.hour_digests(roles, MONTH))
 
 
+def q_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hour of the month as a window of its own, in one plan."""
+    rows = catch_up.catch_up(testdata_roles(spark, sf_dir), intervals.hour_windows(spark, MONTH))
+    return rows.drop("window_end", "working_us")
+
+
+# Each day of the month and, across them, shifts of twelve hours from six in the evening and whole weeks.
+TASK_WINDOWS = [ReportWindow(MONTH.start + dt.timedelta(hours=at), MONTH.start + dt.timedelta(hours=at + hours, seconds=-1))
+                for hours, step, first in ((24, 24, 0), (12, 24, 18), (168, 168, 0)) for at in range(first, 31 * 24, step)]
+
+
+def q_overlap_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks that overlap each window of a table, by master and type."""
+    texts = [(w.start_text, w.end_text) for w in TASK_WINDOWS]
+    windows = spark.createDataFrame(texts, "s string, e string")
+    windows = windows.select(F.col("s").cast("timestamp_ntz").alias(intervals.START), F.col("e").cast("timestamp_ntz").alias(intervals.END))
+    pairs = intervals.overlapping_windows(testdata_roles(spark, sf_dir).tasks, windows)
+    return pairs.groupBy(*intervals.WINDOW_KEYS, "tier", "tasktype").agg(F.count(F.lit(1)).alias("n_tasks"))
+
+
+BUCKETS = 16  # of the test tables
+
+
+def q_semi_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of overlapping picking tasks from tables stored in matching buckets; no item is shuffled."""
+    roles = testdata_roles(spark, sf_dir)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    items, tasks = bucketed.store_bucketed(roles.items, roles.tasks, _scratch(spark, "bucketed"), name, BUCKETS).read(spark)
+    return bucketed.bucketed_semi_join(items, overlapping_tasks(tasks, PICKING, MONTH)).select(*catalog.ITEM_COLS)
+
+
+def q_sink_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The picking report as one stamped CSV file for each warehouse, read back."""
+    df = reports.report(testdata_roles(spark, sf_dir), "report_picking", MONTH, hours_as="hours", order=False)
+    base = _scratch(spark, "report-files")
+    names = report_files.write_files(df, base, "report_picking", MONTH.start)
+    return sinks.read_csv(spark, f"{base}/{names}", df.schema)
+
+
 # Days the test log covers: the streaming job recomputes exactly these.
 LOG_DAYS = ReportWindow.of("2024-01-01 00:00:00", "2024-01-30 23:59:59")
 
@@ -252,6 +292,10 @@ def queries() -> dict[str, QueryFn]:
     out["daily_from_hourly"] = q_daily_from_hourly
     out["working_seconds_segments"] = q_working_seconds_segments
     out["late_hours"] = q_late_hours
+    out["catch_up"] = q_catch_up
+    out["overlap_windows"] = q_overlap_windows
+    out["semi_join_bucketed"] = q_semi_join_bucketed
+    out["sink_report_files"] = q_sink_report_files
     out["stream_hourly_users"] = q_stream_hourly_users
     out["stream_hourly_items"] = q_stream_hourly_items
     out["stream_hourly_time"] = q_stream_hourly_time
@@ -281,6 +325,10 @@ def oracle_sql() -> dict[str, str]:
     out["daily_from_hourly"] = oracle.daily_report_sql(MONTH)
     out["working_seconds_segments"] = oracle.window_seconds_sql(PICKING.modules, PART_DAYS)
     out["late_hours"] = oracle.late_hours_sql(MONTH, LATE_WAREHOUSE)
+    out["catch_up"] = oracle.catch_up_sql(MONTH)
+    out["overlap_windows"] = oracle.overlap_windows_sql(TASK_WINDOWS)
+    out["semi_join_bucketed"] = catalog.build(MONTH)["task_semi_join"][1]
+    out["sink_report_files"] = oracle.report_sql("report_picking", MONTH)
     out["stream_hourly_users"] = oracle.stream_users_sql(MONTH)
     out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
     out["stream_hourly_time"] = oracle.hourly_time_sql(MONTH)

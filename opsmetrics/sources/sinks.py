@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _printable(df: DataFrame) -> DataFrame:
+def printable(df: DataFrame) -> DataFrame:
     """CSV has no interval type: intervals are written as their SQL text."""
     cols = []
     for f in df.schema.fields:
@@ -44,7 +44,7 @@ def write_csv(
     are in the report's worker order.
     """
     cols = [c for c in partition_by if c in df.columns]
-    out = _printable(df).withColumns({f"for_{c}": F.col(c) for c in cols})
+    out = printable(df).withColumns({f"for_{c}": F.col(c) for c in cols})
     parts = tuple(f"for_{c}" for c in cols)
     keys = [F.col(c).asc_nulls_last() for c in (*parts, *(c for c in order if c in df.columns))]
     out = rebalanced(out, parts)

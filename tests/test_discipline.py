@@ -23,9 +23,9 @@ def test_no_python_udfs_or_rdds():
 
 
 def test_driver_collects_are_scalars():
-    # .first() is used only for single-row aggregates (high-water mark, newest stamp, state of a source table),
+    # .first() is used only for single-row aggregates (high-water mark, newest stamp, span of a window table, state of a source table),
     # .collect() only for distinct days or hours of one window or micro-batch.
-    first = {"plans/incremental.py": 1, "plans/committed.py": 1, "sources/testdata.py": 1, "streaming/hourly_time.py": 1}
+    first = {"operators/intervals.py": 1, "plans/incremental.py": 1, "plans/committed.py": 1, "sources/testdata.py": 1, "streaming/hourly_time.py": 1}
     collect = {"plans/incremental.py": 1, "plans/late_hours.py": 1, "streaming/hourly_job.py": 1}
     for f, s in sources().items():
         assert ".toPandas()" not in s, f
