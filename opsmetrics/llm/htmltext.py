@@ -123,6 +123,9 @@ class Page:
         self.parent, self.names = [-1], [""]
         self._own = [0]  # mark of each element
         self._stack = [0]  # of elements
+        self._places: dict[str, list[int]] = {}  # name -> its places in the stack
+        self._blocks: list[int] = []  # places of elements that are not inline
+        self._firm: list[int] = []  # places of those that no inline end tag closes
         source = source or ""
         at = 0
         for m in _TAG.finditer(source):
@@ -133,6 +136,9 @@ class Page:
                 self._tag(m["name"].lower(), bool(m["end"]), m["attrs"])
         if at < len(source):
             self._text(source[at:])
+        self.last = list(range(len(self.names)))  # the last element inside each: elements stand in page order
+        for e in range(len(self.names) - 1, 0, -1):
+            self.last[self.parent[e]] = max(self.last[self.parent[e]], self.last[e])
         marks = self._marks()
         for i, e in enumerate(self.element):
             self.boiler[i] = marks[e]
@@ -155,7 +161,7 @@ class Page:
         own = list(self._own)
         for e in range(n):
             if own[e] > HARD and words[e] and words[e] >= NEARLY * words[0]:
-                if own[e] == NAMED or all(e in self._above(x) for x in plain):  # comments beside an article stay, however long
+                if own[e] == NAMED or all(self._holds(e, x) for x in (plain[:1] + plain[-1:])):  # comments beside an article stay, however long
                     own[e] = 0
         marked = [0] * n
         for e in range(n):
@@ -180,39 +186,50 @@ class Page:
         size = len(text.split())
         self._add(f"w:{self.names[self._stack[-1]]}", text, size, False)
 
+    def _push(self, name: str) -> None:
+        place = len(self._stack)
+        self._places.setdefault(name, []).append(place)
+        if name not in _inline:
+            self._blocks.append(place)
+            if name not in _auto:
+                self._firm.append(place)
+        self.parent.append(self._stack[-1])
+        self.names.append(name)
+        self._stack.append(len(self.names) - 1)
+
     def _pop(self, to: int) -> None:
+        """Close the elements from the place ``to`` on; each is closed once, so all this is linear in the page."""
+        for e in self._stack[to:]:
+            self._places[self.names[e]].pop()
         del self._stack[to:]
+        for places in (self._blocks, self._firm):
+            while places and places[-1] >= to:
+                places.pop()
 
     def _tag(self, name: str, end: bool, attrs: str) -> None:
         breaks = name not in _inline
         kind = f"t:{name}"
         if end:
-            open_ = [self.names[e] for e in self._stack]
-            if name in open_[1:]:
-                to = len(open_) - 1 - open_[::-1].index(name)
-                if name not in _inline or all(x in _inline or x in _auto for x in open_[to:]):
-                    self._add(kind, None, 1, breaks)
-                    self._pop(to)
-                    return
             self._add(kind, None, 1, breaks)
+            places = self._places.get(name)
+            if places and (breaks or not self._firm or self._firm[-1] < places[-1]):
+                self._pop(places[-1])
             return
-        if name in _auto or breaks and name not in _void:  # a block closes an open paragraph, an item its elder
-            open_ = [self.names[e] for e in self._stack]
-            for to in range(len(open_) - 1, 0, -1):
-                if open_[to] == name and name in _auto or open_[to] == "p":
-                    self._pop(to)
-                    break
-                if open_[to] not in _inline:
-                    break
+        if self._blocks and (name in _auto or breaks and name not in _void):  # a block closes an open paragraph, an item its elder
+            top = self.names[self._stack[self._blocks[-1]]]
+            if top == name and name in _auto or top == "p":
+                self._pop(self._blocks[-1])
         if name not in _void and not attrs.endswith("/"):
-            self.parent.append(self._stack[-1])
-            self.names.append(name)
-            self._stack.append(len(self.names) - 1)
+            self._push(name)
             self._own.append(_mark(name, attrs, self._by_name))
         self._add(kind, None, 1, breaks, opens=True)
 
     # -- choosing the content
 
+    def _holds(self, e: int, inner: int) -> bool:
+        """Whether an element is another or stands around it."""
+        return e <= inner <= self.last[e]
+
     def _above(self, e: int) -> list[int]:
         line = []
         while e >= 0:
@@ -250,11 +267,8 @@ class Page:
         worded = [i for i in range(found[0], found[1] + 1) if self.texts[i] is not None and self.sizes[i] and not self.boiler[i]]
         if not worded:
             return ""
-        line = self._above(self.element[worded[0]])
-        for i in worded[1:]:
-            above = set(self._above(self.element[i]))
-            while line and line[0] not in above:
-                line = line[1:]
+        first, last = min(self.element[i] for i in worded), max(self.element[i] for i in worded)
+        line = [e for e in self._above(first) if self._holds(e, last)]
         marked = [e for e in line if self.names[e] in _main]
         whole = marked[-1] if marked else next((e for e in line if self.names[e] in ("div", "td", "body", "html", "")), line[-1])
         inside = [False] * len(self.names)

@@ -91,3 +91,25 @@ def test_self_closed_raw_tags_end_at_once(spark):
     pages = [f"<body>{tag}<article><p>{words}</p></article></body>" for tag in ("<svg/>", '<object data="x"/>', "<svg class='a' />")]
     pages += [f"<body><iframe src=http://a/>fallback</iframe><svg><title>No</title></svg><article><p>{words}</p></article></body>"]
     assert _texts(spark, pages, {}) == [words] * 4
+
+
+def test_deep_nesting_is_read_in_linear_time():
+    import time
+
+    for tag in ("<div>", "<p><b>", "<i>", "<b><div></b>", "<div class=ad>a "):
+        began = time.time()
+        page = ht.Page(tag * 200_000 + "<article><p>two words</p></article>")
+        assert page.content({}).endswith("two words")
+        assert time.time() - began < 60  # seconds; twelve minutes when each end tag read the whole stack
+
+
+def test_common_element_of_the_region_equals_the_ancestors_in_common():
+    import random
+
+    rnd = random.Random(4)
+    for _ in range(300):
+        names = "div p b li ul td section article h1".split()
+        page = ht.Page("".join(rnd.choice([f"<{rnd.choice(names)}>", f"</{rnd.choice(names)}>", "word "]) for _ in range(rnd.randint(1, 80))))
+        n = len(page.names)
+        above = [set(page._above(e)) for e in range(n)]
+        assert all(page._holds(a, b) == (a in above[b]) for a in range(n) for b in range(n))
