@@ -8,9 +8,14 @@ is scanned once; a match is turned into word numbers and, through the
 words' offsets, into spans of the original text.
 
 The automaton is the only thing sent to every task.  It grows with the
-benchmark, not with the corpus.  The items are read in parts of at most
-``part_bytes`` of text; a worker holds the automaton of one part at a
-time, so a large benchmark costs more scans, not more memory.
+benchmark, not with the corpus.  Long items are cut into pieces that
+overlap by a window less one word, and the pieces are dealt into parts whose
+windows have at most about ``part_chars`` characters, which bounds the nodes
+of an automaton.  A benchmark of one part, the usual case, is one scan.  With
+several parts the documents are stored, every part is a scan of its own
+that keeps only the documents it hits, its items leave the driver and the
+executors before the next part is read, and the hits are merged by document.
+So a large benchmark costs more scans, not more memory.
 
 Edge cases: a null or empty text has no words and no hits; a null or empty
 item has no windows; an item with a null id marks words as hit but cannot
@@ -22,23 +27,27 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+import uuid
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, store
 
 WINDOW = 10
-PART_BYTES = 32 << 20  # benchmark text behind one automaton
+PART_CHARS = 6 << 20  # characters of all windows behind one automaton: at most as many nodes, of some 80 bytes
+PIECE_WORDS = 1000  # windows that start in one piece of an item
 
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256)
 )
 _RUN = re.compile(rb"[^ ]+")
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+HITS = "runs array<struct<a:int,b:int>>, items array<string>"
 FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>"
 
 
@@ -46,140 +55,226 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
-def patterns(items: list[tuple[str | None, bytes]], window: int) -> dict[str, tuple[int, set]]:
-    """Pattern text -> (its length in words, the ids of the items that hold it)."""
+def patterns(pieces: list[tuple[str | None, int, bytes]]) -> dict[str, tuple[int, set]]:
+    """Pattern text -> (its length in words, the ids of the items that hold it), of (item id, window size, text) pieces."""
     found: dict[str, tuple[int, set]] = {}
-    for item_id, text in items:
+    for item_id, size, text in pieces:
         words = words_of(text)
-        if not words:
-            continue
-        size = min(window, len(words))
         for i in range(len(words) - size + 1):
             key = (b" " + b" ".join(words[i : i + size]) + b" ").decode()
             found.setdefault(key, (size, set()))[1].add(item_id)
     return found
 
 
-class Scanner:
-    """The automaton of each part, one of them in memory at a time (kept while there is only one)."""
+_HELD: dict = {}  # in a Python worker: the automaton it used last, by its scanner's name
+
 
-    def __init__(self, parts, window: int):
-        self.parts, self.window, self._held = parts, window, (None, None)
+class Scanner:
+    """The automaton of one part; a worker builds it once and holds no other beside it."""
 
-    def __getstate__(self):
-        return {"parts": self.parts, "window": self.window, "_held": (None, None)}
+    def __init__(self, pieces):
+        self.pieces, self.name = pieces, uuid.uuid4().hex
 
-    def automaton(self, part: int):
+    def automaton(self):
         import ahocorasick
 
-        if self._held[0] != part:
-            self._held = (None, None)
+        if self.name not in _HELD:
+            _HELD.clear()
             machine = ahocorasick.Automaton()
-            for key, value in patterns(self.parts[part].value, self.window).items():
+            for key, value in patterns(self.pieces.value).items():
                 machine.add_word(key, value)
             if len(machine):
                 machine.make_automaton()
-            self._held = (part, machine)
-        return self._held[1]
+            _HELD[self.name] = machine
+        return _HELD[self.name]
 
     def scan(self, texts: list[bytes | None]) -> list[tuple]:
         """(words, per-word hit flags or None, item ids) of each text."""
-        split = [words_of(t) for t in texts]
-        hits: list = [None] * len(texts)
-        ids: list[set] = [set() for _ in texts]
-        for part in range(len(self.parts)):
-            machine = self.automaton(part)
-            if not len(machine):
-                continue
-            for k, words in enumerate(split):
-                if not words:
-                    continue
+        machine = self.automaton()
+        out = []
+        for words in map(words_of, texts):
+            hit, ids = None, set()
+            if words and len(machine):
                 norm = (b" " + b" ".join(words) + b" ").decode()
-                ends = None
                 for end, (size, items) in machine.iter(norm):
-                    if ends is None:
+                    if hit is None:
                         ends = np.cumsum([len(w.decode()) + 1 for w in words])
-                        if hits[k] is None:
-                            hits[k] = np.zeros(len(words), dtype=bool)
+                        hit = np.zeros(len(words), dtype=bool)
                     last = int(np.searchsorted(ends, end))
-                    hits[k][last - size + 1 : last + 1] = True
-                    ids[k] |= items
-        return list(zip(split, hits, ids))
+                    hit[last - size + 1 : last + 1] = True
+                    ids |= items
+            out.append((words, hit, ids))
+        return out
+
+
+def runs_of(hit: np.ndarray | None) -> list[tuple[int, int]]:
+    """The runs of hit words, as word numbers."""
+    if hit is None:
+        return []
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
+    return [(int(a), int(b)) for a, b in zip(edge[::2], edge[1::2])]
 
 
 def spans_of(text: bytes, hit: np.ndarray) -> list[tuple[int, int]]:
     """Byte spans of the runs of hit words in the original text."""
     at = np.array([m.span() for m in _RUN.finditer(text.translate(_TABLE))])
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
-    return [(int(at[a, 0]), int(at[b - 1, 1])) for a, b in zip(edge[::2], edge[1::2])]
+    return [(int(at[a, 0]), int(at[b - 1, 1])) for a, b in runs_of(hit)]
+
+
+def _found(text: bytes | None, n_words: int, hit: np.ndarray | None, ids) -> tuple:
+    """A document's row of ``FOUND``."""
+    spans = [] if hit is None else [{"start": len(text[:a].decode()), "stop": len(text[:b].decode())} for a, b in spans_of(text, hit)]
+    return n_words, 0 if hit is None else int(hit.sum()), sorted(i for i in ids if i is not None), spans
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
+
 
+def _pieces(benchmark: DataFrame, window: int, part_chars: int) -> tuple[DataFrame, int]:
+    """item_id, size (words of its windows), text, part of the items' pieces, and the number of parts."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.translate("text", _UPPER, _UPPER.lower()).alias("text"))
+    words = F.filter(F.split("text", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+    items = items.where(F.length("text") > 0).distinct().select("item_id", words.alias("words")).where(F.size("words") > 0)
+    items = items.withColumn("size", F.least(F.lit(window), F.size("words")))
+    starts = F.sequence(F.lit(1), F.size("words") - F.col("size") + 1, F.lit(PIECE_WORDS))
+    pieces = items.withColumn("start", F.explode(starts)).select(
+        "item_id", "size", F.array_join(F.slice("words", F.col("start"), F.lit(PIECE_WORDS - 1) + F.col("size")), " ").alias("text"))
+    pieces = pieces.distinct()
+    # All windows of a piece have at most this many characters, blanks included.
+    chars = (F.col("size") + 1).cast("long") * (F.length("text") + 1)
+    total = pieces.agg(F.coalesce(F.sum(chars), F.lit(0))).first()[0]
+    n_parts = max(1, -(-total // part_chars))
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)))
+    if n_parts > 1:
+        pieces = store(pieces.repartition("part").sortWithinPartitions("part"), "decontam-pieces")
+    return pieces, n_parts
 
-def _scanner(benchmark: DataFrame, window: int, part_bytes: int) -> Scanner:
-    """Collect the items in parts; the automaton's size is bounded by the benchmark, which is read first for its size."""
-    spark = benchmark.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))
-    items = items.filter(F.length("text") > 0).distinct()
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n_parts = max(1, -(-total // part_bytes))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts))
-    parts = []
-    for p in range(n_parts):
-        rows = items.filter(part == p).collect()
-        parts.append(spark.sparkContext.broadcast([(r[0], bytes(r[1])) for r in rows]))
-    return Scanner(parts, window)
+
+def _scanner(pieces: DataFrame, part: int) -> Scanner:
+    """The pieces of one part, which ``part_chars`` bounds, sent to the workers."""
+    rows = pieces.where(F.col("part") == part).select("item_id", "size", F.col("text").cast("binary")).collect()
+    return Scanner(pieces.sparkSession.sparkContext.broadcast([(i, n, bytes(t)) for i, n, t in rows]))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, found: str = "found", text: str = "text",
-         window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+         window: int = WINDOW, part_chars: int = PART_CHARS) -> DataFrame:
     """``docs`` with the struct column ``found``: n_words, n_hit, items (sorted ids), spans (character offsets of hit runs)."""
     bounded_batches(docs.sparkSession)
-    scanner = _scanner(benchmark, window, part_bytes)
+    pieces, n_parts = _pieces(benchmark, window, part_chars)
+    return _scan_parts(docs, pieces, n_parts, found, text) if n_parts > 1 else _scan_once(docs, _scanner(pieces, 0), found, text)
+
 
+def _scan_once(docs: DataFrame, scanner: Scanner, found: str, text: str) -> DataFrame:
     @F.pandas_udf(FOUND)
     def find(texts: pd.Series) -> pd.DataFrame:
-        out = defaultdict(list)
         raw = [None if t is None else bytes(t) for t in texts]
-        for t, (words, hit, ids) in zip(raw, scanner.scan(raw)):
-            out["n_words"].append(len(words))
-            out["n_hit"].append(0 if hit is None else int(hit.sum()))
-            out["items"].append(sorted(i for i in ids if i is not None))
-            spans = [] if hit is None else spans_of(t, hit)
-            out["spans"].append([{"start": len(t[:a].decode()), "stop": len(t[:b].decode())} for a, b in spans])
-        return pd.DataFrame(out, columns=["n_words", "n_hit", "items", "spans"])
+        return _frame([_found(t, len(words), hit, ids) for t, (words, hit, ids) in zip(raw, scanner.scan(raw))])
 
     return docs.withColumn(found, find(F.col(text).cast("binary")))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+def _hits_of(scanner: Scanner):
+    @F.pandas_udf(HITS)
+    def hits(texts: pd.Series) -> pd.DataFrame:
+        rows = scanner.scan([None if t is None else bytes(t) for t in texts])
+        return pd.DataFrame([([{"a": a, "b": b} for a, b in runs_of(hit)], sorted(ids, key=str)) for _, hit, ids in rows], columns=["runs", "items"])
+
+    return hits
+
+
+def _scan_parts(docs: DataFrame, pieces: DataFrame, n_parts: int, found: str, text: str) -> DataFrame:
+    """One pass over the stored documents for each part, then the hits of a document together."""
+    key = "__document"
+    while key in docs.columns:
+        key += "_"
+    keyed = store(docs.withColumn(key, F.monotonically_increasing_id()), "decontam-docs")  # stored: the numbers stay
+    hits = []
+    for part in range(n_parts):
+        scanner = _scanner(pieces, part)
+        some = keyed.select(key, _hits_of(scanner)(F.col(text).cast("binary")).alias("h")).where(F.size("h.runs") > 0)
+        hits.append(store(some.select(key, "h.*"), "decontam-hits"))
+        scanner.pieces.destroy()
+    every = reduce(DataFrame.unionByName, hits).groupBy(key).agg(
+        F.flatten(F.collect_list("runs")).alias("__runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("__items"))
+
+    @F.pandas_udf(FOUND)
+    def merge(texts: pd.Series, runs: pd.Series, items: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, some, ids in zip(texts, runs, items):
+            t = None if t is None else bytes(t)
+            n, hit = len(words_of(t)), None
+            if some is not None:
+                hit = np.zeros(n, dtype=bool)
+                for r in some:
+                    hit[r["a"] : r["b"]] = True
+            rows.append(_found(t, n, hit, () if ids is None else ids))
+        return _frame(rows)
+
+    joined = keyed.withColumnRenamed(key, key + "k").join(every, F.col(key + "k") == F.col(key), "left")
+    out = joined.withColumn(found, merge(F.col(text).cast("binary"), F.col("__runs"), F.col("__items")))
+    return out.select(*[c for c in docs.columns if c != found], found)
+
+
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the spans; a line break stands for each."""
+    kept, at = [], 0
+    for a, b in spans:
+        kept.append(text[at:a].rstrip(b" \t"))
+        at = b
+    return b"\n".join(kept + [text[at:].lstrip(b" \t")])
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, part_chars: int = PART_CHARS) -> DataFrame:
     """``docs`` with the hit runs cut out of the text (a line break stands in their place); other texts stay as they are.
 
     A cut text is scanned again until nothing is hit, so no window is left
     in the result, not even one that a cut has made.
     """
     bounded_batches(docs.sparkSession)
-    scanner = _scanner(benchmark, window, part_bytes)
+    pieces, n_parts = _pieces(benchmark, window, part_chars)
+    if n_parts > 1:
+        return _clean_parts(docs, pieces, n_parts, text)
+    scanner = _scanner(pieces, 0)
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series) -> pd.Series:
         raw = [None if t is None else bytes(t) for t in texts]
         todo = list(range(len(raw)))
         while todo:
-            left = []
-            for k, (_, hit, _) in zip(todo, scanner.scan([raw[k] for k in todo])):
-                if hit is None:
-                    continue
-                kept, at = [], 0
-                for a, b in spans_of(raw[k], hit):
-                    kept.append(raw[k][at:a].rstrip(b" \t"))
-                    at = b
-                raw[k] = b"\n".join(kept + [raw[k][at:].lstrip(b" \t")])
-                left.append(k)
-            todo = left
+            found = [(k, hit) for k, (_, hit, _) in zip(todo, scanner.scan([raw[k] for k in todo])) if hit is not None]
+            for k, hit in found:
+                raw[k] = _without(raw[k], spans_of(raw[k], hit))
+            todo = [k for k, _ in found]
         return pd.Series([None if t is None else t.decode() for t in raw], dtype=object)
 
     return docs.withColumn(text, cut(F.col(text).cast("binary")))
 
 
+def _clean_parts(docs: DataFrame, pieces: DataFrame, n_parts: int, text: str) -> DataFrame:
+    """Rounds of scans over the documents that the round before has cut, until none is hit."""
+    mark = "__found"
+    while mark in docs.columns:
+        mark += "_"
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for t, some in zip(texts, spans):
+            at = [(len(t[: s["start"]].encode()), len(t[: s["stop"]].encode())) for s in some]
+            out.append(_without(t.encode(), at).decode())
+        return pd.Series(out, dtype=object)
+
+    done, left = [], docs
+    while True:
+        seen = store(_scan_parts(left, pieces, n_parts, mark, text), "decontam-round")
+        done.append(seen.where(F.col(mark)["n_hit"] == 0).drop(mark))
+        hit = seen.where(F.col(mark)["n_hit"] > 0)
+        if hit.isEmpty():
+            return reduce(DataFrame.unionByName, done).select(*docs.columns)
+        left = hit.withColumn(text, cut(F.col(text), F.col(mark)["spans"])).drop(mark)
+
+
 def digest(scanned: DataFrame, found: str = "found") -> DataFrame:
     """The contract's columns of a scanned table."""
     f = F.col(found)

@@ -27,7 +27,7 @@ def test_random_texts_match_brute_force(spark):
     texts = [say(rnd.randint(0, 40)) for _ in range(60)] + [None, "", " .. ", "a", "B"]
     want = decontam.brute_force(texts, items, window=4)
     assert _digest(spark, texts, items, window=4) == want
-    assert _digest(spark, texts, items, window=4, part_bytes=9) == want  # several automata
+    assert _digest(spark, texts, items, window=4, part_chars=300) == want  # several automata, each in a pass of its own
 
 
 def test_empty_tables(spark):
@@ -51,6 +51,24 @@ def test_clean_cuts_until_nothing_is_left(spark):
     assert rows[0].found == "x" and rows[0].n_words == 7
 
 
+def test_clean_in_parts_equals_clean_at_once(spark):
+    items = [(1, "p q r s"), (2, "t u v w"), (3, "q q q q"), (None, "x y z z"), (4, "r s t u")]
+    texts = ["keep p q r s this", "p q p q r s r s tail", "t u p q r s v w é", "nothing here", None, "", "t u v w t u v w", "x Y, z z!"]
+    docs = _docs(spark, texts)
+    at_once = sorted(decontam.clean(docs, _items(spark, items), window=4).collect())
+    assert decontam._pieces(_items(spark, items), 4, 60)[1] > 2
+    in_parts = decontam.clean(docs, _items(spark, items), window=4, part_chars=60)
+    assert in_parts.columns == docs.columns and sorted(in_parts.collect()) == at_once
+
+
+def test_long_items_are_cut_into_pieces_without_losing_a_window(spark):
+    words = [f"w{i}" for i in range(decontam.PIECE_WORDS * 3 + 7)]
+    pieces, n = decontam._pieces(_items(spark, [(1, " ".join(words)), (2, "Ab-c"), (3, " ,")]), 10, decontam.PART_CHARS)
+    found = decontam.patterns([(r.item_id, r["size"], r.text.encode()) for r in pieces.collect()])
+    want = {" " + " ".join(words[i : i + 10]) + " ": (10, {"1"}) for i in range(len(words) - 9)} | {" ab c ": (2, {"2"})}
+    assert n == 1 and found == want
+
+
 def test_long_text(spark):
     text = " ".join(f"w{i}" for i in range(60_000))
     got = _digest(spark, [text], [(9, " ".join(f"w{i}" for i in range(59_000, 59_030)))])
