@@ -133,17 +133,22 @@ def _zero_sum(cond: Column, v: Column) -> Column:
 
 def item_totals(detail: DataFrame, products: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     """Item totals per warehouse, process, hour and worker (and the ``more`` keys); rows of a NULL worker are dropped, all-missing sums are 0."""
-    pq = F.col("processquantity")
     d = detail.where(F.col("emailaddress").isNotNull()).withColumn("timestamp", hour_bucket("lastmodifieddate"))
     d = with_category(d, dedup_products(products), null_safe=True)
-    return d.groupBy(*more, *RAW_KEYS).agg(
+    return d.groupBy(*more, *RAW_KEYS).agg(*item_sums())
+
+
+def item_sums() -> list[Column]:
+    """The totals of item rows with their categories, as sums that may also run over a stream."""
+    pq = F.col("processquantity")
+    return [
         F.coalesce(F.sum(pq), F.lit(0.0)).alias("Quantity"),
         F.coalesce(F.sum("notfoundquantity"), F.lit(0.0)).alias("totalnotfound"),
         _zero_sum(F.col("businesstype") == BUSINESS_B2B, pq).alias("B2B_Qty"),
         _zero_sum(F.col("businesstype") == BUSINESS_B2C, pq).alias("B2C_Qty"),
         _zero_sum(F.col("productcatid") == CATEGORY_BABY_GEAR, pq).alias("BabyGear_Qty"),
         _zero_sum(F.col("productcatid") == CATEGORY_CONSUMABLE, pq).alias("Consumable_Qty"),
-    )
+    ]
 
 
 def with_time(totals: DataFrame, time: DataFrame, more: Sequence[str] = ()) -> DataFrame:

@@ -23,7 +23,7 @@ from .session import checkpoint_dir
 from .sources import bucketed, report_files, sinks
 from .sources.snapshots import Snapshots
 from .sources.roles import Roles
-from .streaming import hourly_items, hourly_job, hourly_time, hourly_users
+from .streaming import hourly_items, hourly_job, hourly_time, hourly_users, pick_time
 from .sources.testdata import source_state, testdata_roles
 from .spec import PICKING
 
@@ -193,6 +193,22 @@ def q_stream_hourly_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def q_stream_pick_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Worker-hour totals and working time as two streams that land in slices and are joined when their hours close."""
+    roles = testdata_roles(spark, sf_dir)
+    base = _scratch(spark, "stream-pick-time")
+    detail = _stored(spark, hourly.pick_detail(roles.items, roles.tasks, MONTH), "detail")
+    time = _stored(spark, hourly.hourly_time(roles.worklog, MONTH).select(*hourly.RAW_KEYS, "working_us"), "time")
+    for first, last in ((1, 15), (16, 31)):
+        sinks.append(detail.where(F.dayofmonth("lastmodifieddate").between(first, last)), f"{base}/items")
+        sinks.append(time.where(F.dayofmonth("timestamp").between(first, last)), f"{base}/time")
+        if last == 31:  # the last hours close
+            for mark, name in zip(pick_time.end_mark(spark, AFTER_MONTH + dt.timedelta(days=1)), ("items", "time")):
+                sinks.append(mark, f"{base}/{name}")
+        found = pick_time.run_available(spark, f"{base}/items", f"{base}/time", roles.productdetails, f"{base}/out", f"{base}/checkpoint")
+    return found.select(*hourly.RAW_KEYS, "Quantity", (F.col("working_us").cast("double") / F.lit(1_000_000.0)).alias("working_sec"))
+
+
 # A window that starts and ends within a day.
 PART_DAYS = ReportWindow.of("2024-01-08 09:30:00", "2024-01-14 17:15:00")
 
@@ -299,6 +315,7 @@ def queries() -> dict[str, QueryFn]:
     out["stream_hourly_users"] = q_stream_hourly_users
     out["stream_hourly_items"] = q_stream_hourly_items
     out["stream_hourly_time"] = q_stream_hourly_time
+    out["stream_pick_time"] = q_stream_pick_time
     out["stream_hourly_job"] = q_stream_hourly_job
     return out
 
@@ -332,5 +349,6 @@ def oracle_sql() -> dict[str, str]:
     out["stream_hourly_users"] = oracle.stream_users_sql(MONTH)
     out["stream_hourly_items"] = oracle.stream_items_sql(MONTH)
     out["stream_hourly_time"] = oracle.hourly_time_sql(MONTH)
+    out["stream_pick_time"] = catalog.build(MONTH)["pick_time_join"][1]
     out["stream_hourly_job"] = oracle.incremental_sql(LOG_DAYS, [])
     return out
