@@ -3,8 +3,9 @@
 The hourly job reloads complete hours; the streaming form reads item
 detail rows as they land in a directory, assigns them to one-hour
 tumbling windows and emits the totals of every hour that a micro-batch
-changed, the hour still open included (update mode); the sink keeps each
-batch's changes apart and the newest totals of an hour are the valid ones.
+changed, the hour still open included (update mode); the sink commits each
+batch's changes as a version, unites them from time to time, and the newest
+totals of an hour are the valid ones.
 Rows arriving later than the watermark allows are dropped by Spark;
 the watermark delay is that explicit bound.
 
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.windows import instant_to_ntz, ntz_to_instant
 from ..operators.products import dedup_products, with_category
+from ..sources.snapshots import Snapshot, Snapshots
 from ..spec import CATEGORY_CONSUMABLE
 
 DETAIL_SCHEMA = T.StructType(
@@ -72,14 +74,36 @@ def hourly_item_totals(detail_stream: DataFrame, products: DataFrame, delay: str
 TOTALS = ("warehouse string, process string, timestamp timestamp_ntz, Quantity double, totalnotfound double, "
           "Consumable_Qty double, QTY double")
 KEYS = ("warehouse", "process", "timestamp")
+# So many batches' folders are united into one that holds each hour once.
+COMPACT = 24
 
 
-def current_totals(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """The newest totals of every hour: each batch's folder holds the hours it changed."""
-    rows = spark.read.schema(TOTALS + ", batch long").parquet(sink_dir)
+def newest(rows: DataFrame) -> DataFrame:
+    """Of each hour's rows those of the last batch that changed it."""
     values = [c for c in rows.columns if c not in KEYS]
-    newest = rows.groupBy(*KEYS).agg(F.max_by(F.struct(*values), "batch").alias("v"))
-    return newest.select(*KEYS, "v.*").drop("batch")
+    return rows.groupBy(*KEYS).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(*KEYS, "v.*")
+
+
+def take(store: Snapshots, batch: DataFrame, number: int, compact: int = COMPACT) -> Snapshot:
+    """Commit one micro-batch's changed hours with its number; a batch that was committed before changes nothing."""
+    head = store.head()
+    if head.notes.get("batch", -1) >= number:
+        return head
+    rows = batch.withColumn("batch", F.lit(number).cast("long"))
+    made = store.commit(head, {"totals": store.write(rows, "totals", key=f"{number:012d}")}, notes={"batch": number})
+    if len(made.tables["totals"]) >= compact:
+        united = store.write(newest(store.read("totals", made)), "totals", key=max(made.keys("totals")))
+        made = store.commit(made, {"totals": united}, replace=("totals",))
+    store.vacuum()
+    return made
+
+
+def current_totals(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The newest totals of every hour over all batches taken."""
+    rows = Snapshots(spark, sink_dir).read("totals")
+    if rows is None:
+        return spark.createDataFrame([], TOTALS)
+    return newest(rows).drop("batch")
 
 
 def run_available(
@@ -91,25 +115,23 @@ def run_available(
     delay: str = "1 hour",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Process everything currently in ``source_dir`` (trigger availableNow) into a Parquet sink.
-
-    Update mode: every micro-batch writes the hours it changed, the open
-    one included, into a folder of its own number; a batch that is
-    repeated after a failure replaces its own folder, so nothing counts
-    twice.  The query's checkpoint makes reruns continue where the last
-    run stopped; the newest totals are returned.
+    """Process everything currently in ``source_dir`` (trigger availableNow) into a versioned sink.
+
+    Update mode: every micro-batch commits the hours it changed, the open
+    one included, together with its number, so a batch that is repeated
+    after a failure counts once; ``COMPACT`` batches become one folder.
+    The query's checkpoint makes reruns continue where the last run
+    stopped (sink and checkpoint belong together); the newest totals are
+    returned.
     """
-
-    def load(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
-
+    store = Snapshots(spark, sink_dir)
     reader = spark.readStream.schema(DETAIL_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     q = (
         hourly_item_totals(reader.parquet(source_dir), products, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(load)
+        .foreachBatch(lambda batch, number: take(store, batch, number) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

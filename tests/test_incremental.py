@@ -178,3 +178,28 @@ def test_stream_of_several_batches_counts_once(spark):
         detail.where(h).coalesce(1).write.mode("append").parquet(f"{base}/in")
         out = run_available(spark, f"{base}/in", r.productdetails, f"{base}/out", f"{base}/ck", delay="1 hour")
     assert {x.timestamp.hour: x.QTY for x in out.collect()} == {9: 4.0, 10: 2.0, 11: 2.0, 12: 2.0}
+
+
+def test_stream_sink_is_compacted_and_takes_a_batch_once(spark):
+    from opsmetrics.sources.snapshots import Snapshots
+    from opsmetrics.streaming import hourly_items
+
+    base = target(spark)
+    store = Snapshots(spark, base)
+
+    def totals(*hours):
+        rows = [("w", "Picking", T(f"{DAY}{h:02d}:00"), q, 0.0, 0.0, q) for h, q in hours]
+        return spark.createDataFrame(rows, hourly_items.TOTALS)
+
+    expected = {}
+    for n in range(7):
+        hours = [(n, float(n)), (n + 1, n + 0.5)]  # each hour is open in one batch and changed by the next
+        expected |= dict(hours)
+        made = hourly_items.take(store, totals(*hours), n, compact=3)
+        assert len(made.tables["totals"]) < 3
+        again = hourly_items.take(store, totals((n, 99.0)), n, compact=3)  # replayed
+        assert again.version == made.version
+        got = [(r.timestamp.hour, r.QTY) for r in hourly_items.current_totals(spark, base).collect()]
+        assert len(got) == len(expected) and dict(got) == expected
+    assert len(store._list("totals")) <= 4  # old folders are gone
+    assert hourly_items.current_totals(spark, target(spark)).count() == 0
