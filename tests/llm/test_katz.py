@@ -50,10 +50,17 @@ def test_scores_match_a_plain_model(spark, monkeypatch):
     rnd = random.Random(11)
     texts = _texts(rnd, 120) + [None, "", " \t", "new words only", "a b a b a b"]
     rows = [(i, t, int(i % 4 == 0), "x") for i, t in enumerate(texts)] + [(None, "a b", 0, "x"), (1, texts[1], 0, "x"), (2**62 + 1, "b", 0, "x")]
-    for keys in (1 << 20, 8):  # one partition; many
+    for keys, fan, wide in ((1 << 20, 10, 1 << 10), (8, 10, 1 << 10), (8, 3, 2), (4, 2, 3)):  # one partition; many; dealt in levels
         monkeypatch.setattr(katz, "PART_KEYS", keys)
+        monkeypatch.setattr(katz, "FAN_BITS", fan)
+        monkeypatch.setattr(katz, "WIDE", wide)
         docs = spark.createDataFrame(rows, DOC).repartition(5)
-        got = katz.scores(docs, F.col("held") == 1).collect()
+        levels = []
+        merge = katz._groups
+        with monkeypatch.context() as m:
+            m.setattr(katz, "_groups", lambda asked, n: levels.append(n) or merge(asked, n))
+            got = katz.scores(docs, F.col("held") == 1).collect()
+        assert bool(levels) == (fan < 10) and (fan > 2 or len(levels) > 2)  # the smallest fan takes several levels
         assert len(got) == len(rows)
         p1, p2, c, n = _model([t for _, t, h, _ in rows if not h])
         want = {}
@@ -87,3 +94,13 @@ def test_long_text_and_discounts(spark):
     assert row["n_tokens"] == 80_001 and -50 < row["score"] < 0
     d = katz.Discounts([0] * (katz.RANKS + 1)).of(np.arange(0, 50))
     assert ((d[1:] > 0) & (d[1:] < 1)).all()
+
+
+def test_partitions_of_prefixes():
+    keys = np.sort(np.random.default_rng(5).integers(0, 1 << 64, 500, dtype=np.uint64))
+    whole = katz._cuts(keys, 6)
+    assert [int(k >> np.uint64(58)) for k in keys] == [p for p, a, e in whole for _ in range(a, e)]
+    deep = [(p, keys[b:f][a:e].tolist()) for q, b, f in katz._cuts(keys, 2) for p, a, e in katz._cuts(keys[b:f], 6, q, 2)]
+    assert deep == [(p, keys[a:e].tolist()) for p, a, e in whole]
+    for x in ([], [3, 2**32 - 1], [2**32, 1]):
+        assert katz._of_numbers(katz._numbers(np.array(x, dtype=np.int64))).tolist() == x
