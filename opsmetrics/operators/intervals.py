@@ -5,7 +5,9 @@ A window table has a row for each window: ``window_start`` and
 touch, so the join has an equality key and is planned as a hash or
 sort-merge join, never as a nested loop; the exact test follows.  A stamp lies in one day, so each
 pair is made once.  A task and a window may share many days: the pair
-belongs to the first of them.
+belongs to the first of them.  Only the window side is ever collected for
+a broadcast, and only while it has few rows; the rows that meet it grow
+with the data, and exploded into days they are many times their stored size.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from ..functions.windows import DAY, ReportWindow
 START, END = "window_start", "window_end"
 WINDOW_KEYS = (START, END)
 _DAY, _LO, _HI = "_day", "_lo", "_hi"
+# Window tables of at most so many rows by day are sent to every task; larger ones are merged with the rows.
+SMALL = 100_000
 
 
 def hour_windows(spark: SparkSession, window: ReportWindow) -> DataFrame:
@@ -38,6 +42,12 @@ def by_day(windows: DataFrame) -> DataFrame:
     return windows.select(*WINDOW_KEYS).where(F.col(START) <= F.col(END)).distinct().withColumn(_DAY, F.explode(days))
 
 
+def meet(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """``rows``, which have a day, with the windows that touch it; ``rows`` are never collected, whatever size Spark takes them for."""
+    days = by_day(windows)
+    return rows.join(days.hint("broadcast" if days.count() <= SMALL else "merge"), _DAY)
+
+
 def stamps_in_windows(rows: DataFrame, stamp: str, windows: DataFrame, bounds: str = "closed") -> DataFrame:
     """Rows with each window their stamp lies in; ``bounds`` as in ``functions.windows.in_window``.
 
@@ -49,7 +59,7 @@ def stamps_in_windows(rows: DataFrame, stamp: str, windows: DataFrame, bounds: s
         rows = rows.where(held).drop(DAY)
     t, s, e = F.col(stamp), F.col(START), F.col(END)
     test = {"closed": (t >= s) & (t <= e), "half_open": (t >= s) & (t < e), "open": (t > s) & (t < e)}[bounds]
-    return rows.withColumn(_DAY, F.to_date(stamp)).join(by_day(windows), _DAY).where(test).drop(_DAY)
+    return meet(rows.withColumn(_DAY, F.to_date(stamp)), windows).where(test).drop(_DAY)
 
 
 def in_either(start: str, end: str):
@@ -74,4 +84,4 @@ def overlapping_windows(tasks: DataFrame, windows: DataFrame, start: str = "star
     t = tasks.withColumns({_LO: F.greatest(F.to_date(lo), F.lit(span.start.date())), _HI: F.least(F.to_date(hi), F.lit(span.end.date()))})
     t = t.where(lo.isNotNull() & (F.col(_LO) <= F.col(_HI))).withColumn(_DAY, F.explode(F.sequence(_LO, _HI)))
     owner = F.col(_DAY) == F.greatest(F.col(_LO), F.to_date(START))
-    return t.join(by_day(windows), _DAY).where(owner & in_either(start, end)).drop(_DAY, _LO, _HI)
+    return meet(t, windows).where(owner & in_either(start, end)).drop(_DAY, _LO, _HI)
