@@ -16,9 +16,10 @@ fill of its slice to the power of ``HASHES``): (count - n f) / (1 - f).
 The highest count decides, ties go to the smaller name; the score is that
 count's share of all n-grams.
 
-Floors: labelled texts that the filter was not learned from are scored, at
-most ``SAMPLE_DOCS`` of each language; a language's floor is ``MARGIN`` of
-the score that all but ``LOW`` of its texts reach.  Texts of a language
+Floors: all labelled texts that are held out are scored; a language's floor
+is ``MARGIN`` of the score that all but ``LOW`` of its texts reach.  The
+scores are stored and counted by bins; only those up to the bin where the
+wanted rank lies are ranked, so no task ranks a language's texts whole.  Texts of a language
 that was not learned, and random letters, stay below it.  A language
 without such texts has the lowest floor of the others.
 
@@ -31,6 +32,7 @@ from; labels may be any text, one bit each, in masks of 64.
 from __future__ import annotations
 
 import functools
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -50,6 +52,7 @@ LEAST = 3  # times an n-gram must occur in a language
 LOW = 0.001  # share of a language's held-out texts that its floor does not look at
 MARGIN = 0.8  # of the score that the others reach, so that clean texts stay
 UNKNOWN = "und"
+BINS = 4096  # of the scores, when a rank among them is looked for
 PIECE = 1 << 20  # characters handled at once
 
 
@@ -222,12 +225,39 @@ def identify(docs: DataFrame, model: Filter, out: str = "language") -> DataFrame
     return docs.withColumn(out, predicted(F.col("text"), model, docs.sparkSession))
 
 
-def floors(held_out: DataFrame, model: Filter, sample: int = SAMPLE_DOCS) -> dict[str, float]:
-    """Lowest score of a text in each language, from labelled rows of (doc_id, text, lang) that ``model`` was not learned from."""
-    rows = held_out.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
-    rows = identify(bounded_sample(rows, "lang", ["doc_id", "text"], defaultdict(lambda: sample)), model)
-    reached = rows.filter("language.lang_pred = lang").groupBy("lang").agg(F.percentile("language.score", F.lit(LOW)).alias("low"))
-    found = {r["lang"]: MARGIN * r["low"] for r in reached.collect()}
+def low_scores(scored: DataFrame, share: float = LOW) -> dict[str, float]:
+    """Of rows (lang, score from 0 to 1) each language's ``percentile(score, share)``, interpolated between its two nearest ranks."""
+    bin_of = F.floor(F.col("score") * BINS).cast("int")
+    bins: dict[str, list] = {}
+    for r in scored.groupBy("lang", bin_of.alias("bin")).count().collect():
+        bins.setdefault(r["lang"], []).append((r["bin"], r["count"]))
+    at = {lang: (sum(n for _, n in counts) - 1) * share for lang, counts in bins.items()}
+    cut = {}
+    for lang, counts in bins.items():
+        before = 0
+        for b, n in sorted(counts):
+            cut[lang], before = b, before + n
+            if before > math.ceil(at[lang]):
+                break
+    if not cut:
+        return {}
+    last = F.create_map(*[x for lang, b in cut.items() for x in (F.lit(lang), F.lit(b))])
+    low = scored.filter(bin_of <= F.element_at(last, F.col("lang")))
+    low = low.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("score")) - 1)
+    wanted = F.create_map(*[x for lang, p in at.items() for x in (F.lit(lang), F.array(F.lit(math.floor(p)), F.lit(math.ceil(p))))])
+    ranked = {(r["lang"], r["rank"]): r["score"] for r in low.filter(F.array_contains(F.element_at(wanted, F.col("lang")), F.col("rank"))).collect()}
+    out = {}
+    for lang, p in at.items():
+        a, b = math.floor(p), math.ceil(p)
+        out[lang] = ranked[lang, a] if a == b else (b - p) * ranked[lang, a] + (p - a) * ranked[lang, b]
+    return out
+
+
+def floors(held_out: DataFrame, model: Filter) -> dict[str, float]:
+    """Lowest score of a text in each language, from all labelled rows of (doc_id, text, lang) that ``model`` was not learned from."""
+    rows = held_out.select("text", F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
+    reached = identify(rows, model).filter("language.lang_pred = lang").select("lang", F.col("language.score").alias("score"))
+    found = {lang: MARGIN * low for lang, low in low_scores(store(reached, "langid-scores")).items()}
     return {lang: found.get(lang, min(found.values())) for lang in model.langs} if found else {}
 
 

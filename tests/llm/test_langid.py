@@ -91,3 +91,25 @@ def test_held_out_accuracy(spark):
     assert len(got) == len(docs)
     held = [(got[d.doc_id]["lang_pred"], d.lang) for d in docs if got[d.doc_id]["held_out"] and got[d.doc_id]["lang_pred"] != "und"]
     assert len(held) > 200 and sum(a == b for a, b in held) >= 0.98 * len(held)
+
+
+def test_every_held_out_text_counts(spark):
+    """More texts than the filter's sample has."""
+    rnd = random.Random(11)
+    model = langid.fit(spark.createDataFrame(_rows(rnd, 300), DOC))
+    held = [(i, _say(rnd, rnd.choice(["aa", "aa", "cc"]), rnd.randint(4, 9)) + _say(rnd, "aa", 9), "aa", 0, 0) for i in range(langid.SAMPLE_DOCS + 3000)]
+    got = langid.floors(spark.createDataFrame(held, DOC), model)
+    scores = [s for lang, s in (model.predict(r[1]) for r in held) if lang == "aa"]
+    assert len(scores) > langid.SAMPLE_DOCS and got["aa"] == pytest.approx(langid.MARGIN * np.percentile(scores, 100 * langid.LOW), rel=1e-12)
+
+
+def test_low_scores_equal_percentiles(spark, monkeypatch):
+    rnd = random.Random(12)
+    rows = [(lang, rnd.choice([0.0, 0.25, 1.0, rnd.random(), rnd.random()])) for lang, n in (("aa", 1), ("bb", 2), ("cc", 1000), ("dd", 37)) for _ in range(n)]
+    scored = spark.createDataFrame(rows, "lang string, score double")
+    for bins in (1, 8, 4096):
+        monkeypatch.setattr(langid, "BINS", bins)
+        for share in (0.0, 0.001, 0.3, 0.5, 1.0):
+            got = langid.low_scores(scored, share)
+            assert got == pytest.approx({lang: np.percentile([s for was, s in rows if was == lang], 100 * share) for lang in ("aa", "bb", "cc", "dd")})
+    assert langid.low_scores(scored.limit(0)) == {}
