@@ -253,14 +253,15 @@ def q_overlap_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy(*intervals.WINDOW_KEYS, "tier", "tasktype").agg(F.count(F.lit(1)).alias("n_tasks"))
 
 
-BUCKETS = 16  # of the test tables
+BUCKETS = 16  # at least
 
 
 def q_semi_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items of overlapping picking tasks from tables stored in matching buckets; no item is shuffled."""
     roles = testdata_roles(spark, sf_dir)
     name = f"bucketed_{uuid.uuid4().hex}"
-    items, tasks = bucketed.store_bucketed(roles.items, roles.tasks, _scratch(spark, "bucketed"), name, BUCKETS).read(spark)
+    buckets = bucketed.buckets_for(roles.items, roles.tasks, BUCKETS)
+    items, tasks = bucketed.store_bucketed(roles.items, roles.tasks, _scratch(spark, "bucketed"), name, buckets).read(spark)
     return bucketed.bucketed_semi_join(items, overlapping_tasks(tasks, PICKING, MONTH)).select(*catalog.ITEM_COLS)
 
 

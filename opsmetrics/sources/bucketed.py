@@ -5,13 +5,13 @@ Both tables are stored through Spark's catalog, bucketed and sorted by
 join of a report then reads bucket against bucket, with no exchange on
 either side, however often reports run.  The tier is a bucket key and not
 a folder, as every equality key of the join must be one; it leads the
-sort, so the files' statistics still tell the tiers apart.  The salt spreads the items of one task
-over ``SALTS`` buckets by their id; the tasks, which are far fewer, are
+sort, so the files' statistics still tell the tiers apart.  The salt spreads the items of a task
+that holds many over ``SALTS`` buckets by their id, and such a task is
 stored once for each salt, so a task that holds a third of the items is
-not one bucket's work.
+not one bucket's work; all other tasks, nearly all, are stored once.
 
-``buckets`` is fixed when the tables are stored: choose it so that a
-bucket of the largest process is some hundred MB.
+``buckets`` is fixed when the tables are stored: ``buckets_for`` gives a
+number with which no bucket holds more than about ``BUCKET_ROWS`` rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 from ..functions.windows import DAY
 
 SALT, SALTS = "salt", 8
-KEYS = ("tier", "warehouse", "taskid", SALT)
+TASK = ("tier", "warehouse", "taskid")
+KEYS = (*TASK, SALT)
+BUCKET_ROWS = 1_000_000  # of one bucket, which one task sorts
+# A task is spread over the salts when it holds more than this share of a bucket's items.
+HOT_SHARE = 0.1
 
 
 @dataclass(frozen=True)
@@ -49,13 +53,28 @@ def _store(df: DataFrame, name: str, path: str, by: tuple[str, ...], buckets: in
     out.write.partitionBy(*by).bucketBy(buckets, *KEYS).sortBy(*KEYS).option("path", path).mode("overwrite").saveAsTable(name)
 
 
+def buckets_for(items: DataFrame, tasks: DataFrame, least: int = 1) -> int:
+    """Buckets for tables of this size, ``least`` at least."""
+    return max(least, -(-max(items.count(), tasks.count()) // BUCKET_ROWS))
+
+
 def store_bucketed(items: DataFrame, tasks: DataFrame, base: str, name: str, buckets: int, salts: int = SALTS) -> BucketedTables:
     """Store the item and task roles in matching buckets under ``base`` and name them ``{name}_items`` and ``{name}_tasks``."""
     base = base.rstrip("/")
     tables = BucketedTables(f"{name}_items", f"{name}_tasks")
-    salted = items.drop(DAY).withColumn(SALT, F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    # Tasks with more items than a small part of a bucket; items with a NULL in the task's key meet no task and are spread too.
+    hot = items.groupBy(*TASK).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SHARE * items.count() / buckets)
+    hot = hot.dropna(subset=list(TASK)).select(*TASK, F.lit(True).alias("_hot"))
+    hot.write.mode("overwrite").parquet(f"{base}/hot")  # so that Spark knows its size: a few tasks, joined without a shuffle
+    hot = items.sparkSession.read.schema(hot.schema).parquet(f"{base}/hot")
+    lone = F.lit(False)
+    for k in TASK:
+        lone = lone | F.col(k).isNull()
+    salt = F.when(F.col("_hot") | lone, F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    salted = items.drop(DAY).join(hot, list(TASK), "left").select(*[c for c in items.columns if c != DAY], salt.alias(SALT))
     _store(salted, tables.items, f"{base}/items", ("item_table",), buckets)
-    copies = tasks.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = tasks.join(hot, list(TASK), "left").select(*tasks.columns, F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))).alias(SALT))
     _store(copies, tables.tasks, f"{base}/tasks", ("tasktype",), buckets)
     return tables
 
