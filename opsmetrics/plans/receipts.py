@@ -8,7 +8,10 @@
 
 All joins are left joins and keep their fan-out (two invoice details give
 two rows).  The window filter sits on the scan of ``grc_g``; the join
-strategy per step is left to Spark's size estimates and AQE.
+strategy per step is left to Spark's size estimates and AQE.  All that the
+joins ask of a receipt is its (inwardid, grcno): the chain runs over the
+distinct pairs, and the receipts, which are wide, are shuffled once, to meet
+its rows.
 """
 
 from __future__ import annotations
@@ -25,32 +28,36 @@ def goods_receipts(
     g: DataFrame, m: DataFrame, i: DataFrame, v: DataFrame, pd: DataFrame, window: ReportWindow
 ) -> DataFrame:
     g = of_days(g, window).where(in_window("lastmodifieddate", window, "closed")).alias("g")
+    pairs = g.select("inwardid", "grcno").distinct().alias("k")
     m = m.select("srno", "invreferenceid", "vendorcode").alias("m")
     i = i.select("referenceid").alias("i")
     v = v.select("vendorcode", "name").alias("v")
     pd = pd.select("referenceid", "grcno", "stickername", "createdby", "createddate").alias("pd")
     c = F.col
-    j = (
-        g.join(m, c("m.srno") == c("g.inwardid"), "left")
+    found = (
+        pairs.join(m, c("m.srno") == c("k.inwardid"), "left")
         .join(i, c("i.referenceid") == c("m.invreferenceid"), "left")
         .join(v, c("v.vendorcode") == c("m.vendorcode"), "left")
-        .join(pd, (c("pd.referenceid") == c("i.referenceid")) & (c("g.grcno") == c("pd.grcno")), "left")
+        .join(pd, (c("pd.referenceid") == c("i.referenceid")) & (c("k.grcno") == c("pd.grcno")), "left")
     )
+    found = found.select("k.inwardid", "k.grcno", "i.referenceid", "v.name", "pd.stickername", "pd.createdby", "pd.createddate").alias("d")
+    # Every receipt has its pair, a NULL in it included.
+    j = g.join(found, c("d.inwardid").eqNullSafe(c("g.inwardid")) & c("d.grcno").eqNullSafe(c("g.grcno")))
     on_hold = c("g.grcstatus") == GRC_ON_HOLD
     stored = c("g.storeinquantity") > 0
     return j.select(
-        c("i.referenceid").alias("Reference No"),
+        c("d.referenceid").alias("Reference No"),
         c("g.grcno").alias("GRC No"),
         c("g.pono").alias("PO No"),
         c("g.invoiceno").alias("Invoice No"),
         c("g.productid").alias("Product ID"),
         c("g.grcstatus").alias("GRC Status"),
-        c("v.name").alias("Vendor Name"),
+        c("d.name").alias("Vendor Name"),
         c("g.createddate").alias("GRC Created Date"),
         c("g.createdby").alias("GRC Created By"),
         c("g.lastmodifieddate").alias("Last Modified Date"),
         c("g.lastmodifiedby").alias("Last Modified By"),
-        c("pd.stickername").alias("Product Sticker Name"),
+        c("d.stickername").alias("Product Sticker Name"),
         c("g.mrp").alias("MRP"),
         c("g.basecost").alias("Base Cost"),
         c("g.srno").alias("SR No"),
@@ -66,8 +73,8 @@ def goods_receipts(
         c("g.storeinquantity").alias("Store In Qty"),
         F.when(on_hold, c("g.lastmodifiedby")).otherwise(F.lit(NOT_ON_HOLD)).alias("On Hold By"),
         F.when(on_hold, c("g.lastmodifieddate")).alias("On Hold Date"),
-        F.when(stored, c("pd.createdby")).otherwise(F.lit(GRN_NOT_DONE)).alias("GRN Done By"),
-        F.when(stored, c("pd.createddate")).alias("GRN Date"),
+        F.when(stored, c("d.createdby")).otherwise(F.lit(GRN_NOT_DONE)).alias("GRN Done By"),
+        F.when(stored, c("d.createddate")).alias("GRN Date"),
         warehouse_id_label(c("g.warehouseid")).alias("Warehouse"),
     )
 

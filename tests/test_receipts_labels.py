@@ -44,3 +44,34 @@ def test_labels(spark):
                                "warehouse string, wid int, m string")
     got = [tuple(r) for r in df.select(warehouse_label("warehouse"), warehouse_id_label("wid"), classify_module("m")).collect()]
     assert got == [("CHKN", "CHAKAN", "Picking"), ("whracks3", None, "Others"), ("INDR", "INDORE", "QC")]
+
+
+def test_joins_keep_null_keys_and_copies(spark):
+    at = T("2024-01-10 10:00")
+    g = [dict(grcno=n, inwardid=i, invoiceno=k, lastmodifieddate=at) for k, (n, i) in enumerate([(1, 1), (1, 1), (None, 1), (1, None), (None, None), (2, 1), (9, 9)])]
+    m = [dict(srno=1, invreferenceid=5, vendorcode=3), dict(srno=1, invreferenceid=6, vendorcode=None), dict(srno=None, invreferenceid=5, vendorcode=3)]
+    roles = make_roles(spark, grc_g=g, grc_m=m, grc_i=[dict(referenceid=5), dict(referenceid=5), dict(referenceid=None)], grc_v=[dict(vendorcode=3, name="v"), dict(vendorcode=None, name="n")],
+                       grc_pd=[dict(referenceid=5, grcno=1, stickername="a"), dict(referenceid=5, grcno=1, stickername="b"), dict(referenceid=5, grcno=None, stickername="c")])
+    got = [(r["Invoice No"], r["Reference No"], r["Vendor Name"], r["Product Sticker Name"]) for r in grc_report(roles, W).collect()]
+    want = []
+    for k in (0, 1):  # two invoices of number 5 with two details each, one row of the second master line
+        want += [(k, 5, "v", s) for s in "ab"] * 2 + [(k, None, None, None)]
+    for k in (2, 5):  # no detail has their number
+        want += [(k, 5, "v", None)] * 2 + [(k, None, None, None)]
+    want += [(k, None, None, None) for k in (3, 4, 6)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_receipts_are_shuffled_once(spark):
+    at = T("2024-01-10 10:00")
+    roles = make_roles(spark, grc_g=[dict(grcno=1, inwardid=1, mrp=2.0, lastmodifieddate=at)])
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = grc_report(roles, W)
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        df.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    joins = [x for x in plan.splitlines() if "SortMergeJoin" in x]
+    assert len(joins) == 5 and "Inner" in joins[0] and all("LeftOuter" in x for x in joins[1:]), plan
