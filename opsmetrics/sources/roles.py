@@ -128,12 +128,28 @@ ROLE_LAYOUT = {
 }
 
 
+# Rows that one task of ``store_role`` should sort: up to ``FEW`` parts (so many a shuffle writes without
+# sorting) it is the first number, beyond them the second, so a task's memory does not grow with the table.
+PART_ROWS, FEW, MOST_PART_ROWS = 200_000, 200, 1_000_000
+
+
+def parts_for(rows: int) -> int:
+    """Parts in which a table of so many rows is written."""
+    return max(1, min(FEW, -(-rows // PART_ROWS)), -(-rows // MOST_PART_ROWS))
+
+
 def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite") -> None:
-    """Write a role table in its layout (``ROLE_LAYOUT``)."""
+    """Write a role table in its layout (``ROLE_LAYOUT``).
+
+    Rows are dealt by ranges of the layout's order into parts of even row
+    counts, so a part's sort stays in memory however large the table or one
+    folder of it is.  A hash of the row stands last in the ranges: a stamp
+    that many rows share is split too.
+    """
     parts, order = ROLE_LAYOUT[role]
     if DAY in parts:
         df = df.withColumn(DAY, F.to_date(order[0]))
-    out = df.hint("rebalance", *parts)
+    out = df.repartitionByRange(parts_for(df.count()), *parts, *order, F.xxhash64(*df.columns))
     out = out.sortWithinPartitions(*parts, *order)
     w = out.write.mode(mode)
     if parts:
