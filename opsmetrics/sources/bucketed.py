@@ -27,8 +27,10 @@ SALT, SALTS = "salt", 8
 TASK = ("tier", "warehouse", "taskid")
 KEYS = (*TASK, SALT)
 BUCKET_ROWS = 1_000_000  # of one bucket, which one task sorts
-# A task is spread over the salts when it holds more than this share of a bucket's items.
-HOT_SHARE = 0.1
+# Tasks are counted by hash slots, so many for each bucket: a slot's tasks are spread over the salts
+# when they hold more than this share of a bucket's items together.
+SLOTS, HOT_SHARE = 1000, 0.1
+_SLOT = "_slot"
 
 
 @dataclass(frozen=True)
@@ -62,19 +64,20 @@ def store_bucketed(items: DataFrame, tasks: DataFrame, base: str, name: str, buc
     """Store the item and task roles in matching buckets under ``base`` and name them ``{name}_items`` and ``{name}_tasks``."""
     base = base.rstrip("/")
     tables = BucketedTables(f"{name}_items", f"{name}_tasks")
-    # Tasks with more items than a small part of a bucket; items with a NULL in the task's key meet no task and are spread too.
-    hot = items.groupBy(*TASK).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SHARE * items.count() / buckets)
-    hot = hot.dropna(subset=list(TASK)).select(*TASK, F.lit(True).alias("_hot"))
-    hot.write.mode("overwrite").parquet(f"{base}/hot")  # so that Spark knows its size: a few tasks, joined without a shuffle
-    hot = items.sparkSession.read.schema(hot.schema).parquet(f"{base}/hot")
+    # Items with a NULL in the task's key meet no task and are spread too.
     lone = F.lit(False)
     for k in TASK:
         lone = lone | F.col(k).isNull()
+    slot = F.pmod(F.xxhash64(*TASK), F.lit(SLOTS * buckets)).alias(_SLOT)
+    held = items.where(~lone).groupBy(slot).agg(F.count(F.lit(1)).alias("_n"))
+    hot = held.where(F.col("_n") > HOT_SHARE * items.count() / buckets).select(_SLOT, F.lit(True).alias("_hot"))
+    hot.write.mode("overwrite").parquet(f"{base}/hot")  # so that Spark knows its size: few slots, joined without a shuffle
+    hot = items.sparkSession.read.schema(hot.schema).parquet(f"{base}/hot")
     salt = F.when(F.col("_hot") | lone, F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    salted = items.drop(DAY).join(hot, list(TASK), "left").select(*[c for c in items.columns if c != DAY], salt.alias(SALT))
+    salted = items.drop(DAY).withColumn(_SLOT, slot).join(hot, _SLOT, "left").withColumn(SALT, salt).drop(_SLOT, "_hot")
     _store(salted, tables.items, f"{base}/items", ("item_table",), buckets)
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = tasks.join(hot, list(TASK), "left").select(*tasks.columns, F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))).alias(SALT))
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = tasks.withColumn(_SLOT, slot).join(hot, _SLOT, "left").withColumn(SALT, F.explode(every)).drop(_SLOT, "_hot")
     _store(copies, tables.tasks, f"{base}/tasks", ("tasktype",), buckets)
     return tables
 
