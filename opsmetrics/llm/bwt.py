@@ -20,20 +20,30 @@ from __future__ import annotations
 import numpy as np
 
 STEP = 40  # bytes of one refinement
+UNIT = 5  # bytes before a row that its transform holds; as a number they sort in one pass with the row's place
 
 
-def _ranked(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of ``key`` (numbers below 2**bits), ties by place, and each place's rank, equal for equal keys."""
+def _sorted(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``key`` (numbers below 2**bits), ties by place, and whether each place in it starts another key."""
     n = len(key)
     if bits + n.bit_length() <= 63:  # keys and places fit one number, and sorting numbers is fast
-        both = np.sort((key << n.bit_length()) | np.arange(n))
+        both = (key << n.bit_length()) | np.arange(n)
+        both.sort()
         order, ordered = both & ((1 << n.bit_length()) - 1), both >> n.bit_length()
     else:
         order = np.argsort(key, kind="stable")
         ordered = key[order]
-    rank = np.empty(n, dtype=np.int64)
-    rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-    return order, rank
+    new = np.ones(n, dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return order, new
+
+
+def _ranked(key: np.ndarray, bits: int) -> np.ndarray:
+    """The rank of each of ``key`` (numbers below 2**bits), equal for equal ones."""
+    order, new = _sorted(key, bits)
+    rank = np.empty(len(key), dtype=np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - 1
+    return rank
 
 
 class Transform:
@@ -55,28 +65,36 @@ class Transform:
             if i >= n:
                 continue
             key[: n - i] |= np.where(left[: n - i] > i, data[i:].astype(np.int64) + 1, 0)
-        self.order, rank = _ranked(key, 36)
-        bits = n.bit_length()
-        h = 4
-        while h < depth and rank[self.order[-1]] < n - 1:
-            after = np.zeros(n, dtype=np.int64)
-            far = np.flatnonzero(left >= h)
-            after[far] = rank[far + h] + 1
-            self.order, rank = _ranked((rank << bits) | after, 2 * bits)
+        self.order, new = _sorted(key, 36)
+        rank = np.empty(n, dtype=np.int64)  # the place of the first row with these bytes
+        bits, h = n.bit_length(), 4
+        where, rows = np.arange(n), self.order
+        while True:
+            first = np.flatnonzero(new)
+            size = np.diff(first, append=len(new))
+            rank[rows] = np.repeat(where[first], size)
+            where = where[np.repeat(size > 1, size)]  # a row that shares its bytes with no other has its place
+            if h >= depth or not len(where):
+                break
+            rows = self.order[where]
+            far = left[rows] >= h
+            after = np.where(far, rank[np.where(far, rows + h, 0)] + 1, 0)
+            by, new = _sorted((rank[rows] << bits) | after, 2 * bits)
+            rows = rows[by]
+            self.order[where] = rows
             h *= 2
         self.row_of = np.empty(n, dtype=np.int64)
         self.row_of[self.order] = np.arange(n)
-        before = np.zeros(n, dtype=np.uint64)
-        for i in range(1, min(8, n) + 1):
-            before[i:] |= data[: n - i].astype(np.uint64) << np.uint64(8 * (i - 1))
-        self.symbols = before[self.order]  # the eight bytes before, of rows whose offset is eight or more
+        before = np.zeros(n, dtype=np.int64)
+        for i in range(1, min(UNIT, n) + 1):
+            before[i:] |= data[: n - i].astype(np.int64) << (8 * (i - 1))
+        self.symbols = before[self.order]  # the ``UNIT`` bytes before, of rows whose offset is as large
 
     def rows_from(self, offset: int) -> np.ndarray:
         """Rows whose suffix starts at ``offset`` or later in its string, in order."""
         return np.flatnonzero(self.offset[self.order] >= offset)
 
 
-
 def merge(shards: list[Transform], length: int, step: int | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each shard (string, offset, interval) of the ``length``-byte strings that occur at least twice over all shards."""
     raw = np.concatenate([t.symbols for t in shards])
@@ -118,27 +136,19 @@ def merge(shards: list[Transform], length: int, step: int | None = None) -> list
 
 
 def _symbols(raw: np.ndarray, go_back, width: int) -> np.ndarray:
-    """Numbers for the ``width`` bytes before each row, equal for equal bytes; ``raw`` holds eight of them."""
-    got, done = (_dense(raw, width % 8), width % 8) if width % 8 else (None, 0)
-    eights, size = width // 8, 8
-    unit = _dense(raw, 8) if eights else None
-    while eights:
-        if eights & 1:
+    """Numbers for the ``width`` bytes before each row, equal for equal bytes; ``raw`` holds ``UNIT`` of them."""
+    odd, units, size = width % UNIT, width // UNIT, UNIT
+    got, done = (_ranked(raw & ((1 << 8 * odd) - 1), 8 * odd), odd) if odd else (None, 0)
+    unit = _ranked(raw, 8 * UNIT) if units else None
+    while units:
+        if units & 1:
             got, done = unit if got is None else _pairs(unit[go_back(done)], got), done + size
-        eights >>= 1
-        if eights:
+        units >>= 1
+        if units:
             unit, size = _pairs(unit[go_back(size)], unit), 2 * size
     return got
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     bits = len(a).bit_length()
-    return _ranked((a.astype(np.int64) << bits) | b, 2 * bits)[1].astype(np.int32)
-
-
-def _dense(raw: np.ndarray, width: int) -> np.ndarray:
-    """Numbers for the last ``width`` bytes, at most eight, equal for equal ones."""
-    raw = raw if width == 8 else raw & np.uint64((1 << 8 * width) - 1)
-    low, high = ((raw & np.uint64(0xFFFFFFFF)).astype(np.int64), (raw >> np.uint64(32)).astype(np.int64))
-    rank = _ranked(low, 32)[1]
-    return _pairs(_ranked(high, 32)[1], rank) if width > 4 else rank.astype(np.int32)
+    return _ranked((a.astype(np.int64) << bits) | b, 2 * bits)

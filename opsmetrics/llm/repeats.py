@@ -28,6 +28,7 @@ separate texts, so all their windows repeat.  Rows keep their other columns; an
 
 from __future__ import annotations
 
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -40,11 +41,12 @@ from .bwt import Transform, merge
 from .common import bounded_batches, store
 
 LENGTH = 200
-SEGMENT = 1 << 20  # bytes whose hashes are worked out at once
+SEGMENT = 1 << 17  # bytes whose hashes are worked out at once: few enough for the processor's cache
 RUN = 4096  # windows in a run at most; longer ones (periodic texts) are cut
 HOT_BYTES = 1 << 21
-BUCKET_BYTES = 1 << 20
-SHARD_BYTES = 1 << 18
+TASK_BYTES = 1 << 20
+BUCKET_BYTES = 1 << 18  # merged at once, as are shards transformed: arrays over them stay in the processor's cache
+SHARD_BYTES = 1 << 16
 LEAST_BYTES = 1 << 18  # of pieces that are worth a task
 SEEN = 1 << 18  # pieces whose bytes a task remembers to have given out
 OUT_BYTES = 1 << 22
@@ -62,16 +64,27 @@ def key_bytes(length: int) -> list[int]:
 # ---- keys of windows -------------------------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=64)
+def _powers(base: int, n: int) -> np.ndarray:
+    """base, base**2 and so on."""
+    return np.cumprod(np.full(n, base, dtype=np.uint64))
+
+
 def _hashes(data: np.ndarray, k: int) -> np.ndarray:
     """A hash of each string of ``k`` bytes."""
     n = len(data)
-    power = np.cumprod(np.full(n, _BASE, dtype=np.uint64))
-    back = np.cumprod(np.full(n - k + 1, _INVERSE, dtype=np.uint64))
-    total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)))
-    h = (total[k:] - total[:-k]) * back
+    room = 1 << n.bit_length()  # so that few lengths are worked out
+    total = np.zeros(n + 1, dtype=np.uint64)
+    values = data.astype(np.uint64)
+    values += np.uint64(1)
+    values *= _powers(_BASE, room)[:n]
+    np.cumsum(values, out=total[1:])
+    h = total[k:] - total[:-k]
+    h *= _powers(_INVERSE, room)[: n - k + 1]
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def _slide(best, values: np.ndarray, w: int, worst: int) -> np.ndarray:
@@ -262,7 +275,7 @@ def _spans(texts: DataFrame, length: int, keys: list[int]) -> DataFrame:
     hot = store(sizes.filter(F.col("size") > HOT_BYTES).select("key"), "repeats-hot") if longer else None
     all_bytes, hot_keys = distinct.agg(F.sum(F.length("piece"))).first()[0] or 0, hot.count() if longer else 0
     plain = distinct.join(hot, "key", "left_anti") if hot_keys else distinct
-    tasks = max(-(-all_bytes // BUCKET_BYTES), min(spark.sparkContext.defaultParallelism, -(-all_bytes // LEAST_BYTES)), 1)
+    tasks = max(-(-all_bytes // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-all_bytes // LEAST_BYTES)), 1)
     found = store(_repeated_in(plain, length, tasks), "repeats-found")
     if hot_keys:
         again = distinct.join(hot, "key", "left_semi").select(F.col("pid").alias("sid"), F.col("piece").alias("text"), "copies")

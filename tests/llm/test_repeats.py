@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from opsmetrics.llm import registry, repeats as rp
+from opsmetrics.llm import bwt, registry, repeats as rp
 from opsmetrics.llm.bwt import Transform, merge
 
 DOC = "doc_id long, text string, repeats int, sid string"
@@ -89,6 +89,33 @@ def test_transform_is_sorted():
     assert suffixes == sorted(suffixes)
 
 
+def test_rows_in_place_are_not_sorted_again(monkeypatch):
+    """A text without repeats has its order after a few bytes, and 40 bytes are named in four sorts of all rows."""
+    sizes = []
+    plain = bwt._sorted
+    monkeypatch.setattr(bwt, "_sorted", lambda key, bits: sizes.append(len(key)) or plain(key, bits))
+    text = bytes(np.random.default_rng(4).integers(97, 123, 20_000, dtype=np.uint8))
+    t = Transform([text], [2], 200)
+    assert sum(sizes) < 2 * len(t.order)
+    sizes.clear()
+    ((string, offset, _),) = merge([t], 200)
+    assert len(string) == 20_000 - 199 and sorted(offset) == [*range(20_000 - 199)]
+    assert sizes == [20_001] * 4
+
+
+def test_small_buckets_in_one_task():
+    """Buckets and shards are far smaller than a task's share, so that what a merge sorts stays small."""
+    assert 4 * rp.SHARD_BYTES <= rp.BUCKET_BYTES <= rp.TASK_BYTES // 4
+    rnd = np.random.default_rng(5)
+    say = lambda n: bytes(rnd.integers(97, 123, n, dtype=np.uint8))
+    shared = say(300)
+    strings = [say(int(n)) + (shared if i % 50 == 0 else b"") for i, n in enumerate(rnd.integers(200, 400, 1500))]
+    found = rp.repeated(strings, [1] * len(strings), 200)  # seven shards
+    seen = Counter(s[i : i + 200] for s in strings for i in range(len(s) - 199))
+    assert [{i for a, n in f for i in range(a, a + n)} for f in found] == [{i for i in range(len(s) - 199) if seen[s[i : i + 200]] > 1} for s in strings]
+    assert sum(map(bool, found)) == 30
+
+
 def test_long_periodic_text(spark):
     texts = ["a" * 3_000_000, "xy" * 1_000_000 + "end", "plain " + "a" * 150]
     got = _got(spark, texts, 200)
