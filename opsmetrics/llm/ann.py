@@ -15,7 +15,8 @@ Nodes that no path reaches get a link from the nearest reached node with
 a spare place.
 
 Search: queries are packed into blocks; every block meets every shard's
-graph once, and a beam search returns the shard's best.  They are scored
+graph once, and a beam search returns the shard's best; its beam is
+narrower where many shards share a query's neighbours.  They are scored
 exactly, in double precision on the original vectors, and ranked over all
 shards (Spark keeps only a task's best for each query before it shuffles
 them).
@@ -42,11 +43,15 @@ BLOCK_ROWS = 2048
 DEGREE = 28
 SPARE = 4
 BUILD_BEAM = 64
-SEARCH_BEAM = 320
+SEARCH_BEAM = 320  # of a table's only shard
+LEAST_BEAM = 160  # of one shard of many, which holds few of a query's neighbours
 LISTED = 32
 LONG = 2.0  # times the shard's median length: longer nodes are listed, too
 ALPHA = 1.2
-STEP = 512  # searches made side by side
+STEP = 512  # searches made side by side, fewer
+MET_BYTES = 1 << 22  # where their tables of met nodes would be larger
+EXPAND = 4  # nodes that a search expands before it sorts its beam
+_NONE = (1 << 63) - 1
 
 INDEX = "dim int, shard int, ids binary, starts binary, vectors binary, graph binary, entry int"
 
@@ -64,47 +69,69 @@ def lifted(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]], axis=1).astype(np.float32)
 
 
+def _keys(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Inner products and nodes as one number each, best first; the lowest bit is for nodes that are expanded."""
+    bits = (-near + np.float32(0)).view(np.int32)
+    return ((bits ^ ((bits >> 31) & 0x7FFFFFFF)).astype(np.int64) << 32) | (ids.astype(np.int64) << 1)
+
+
 def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int, trail: bool = False):
-    """Nodes nearest to each query by inner product, best first (-1: none); with ``trail`` also the nodes it went through."""
-    n = len(queries)
-    ids = np.full((n, beam), -1, dtype=np.int32)
-    near = np.full((n, beam), -np.inf, dtype=np.float32)
-    done = np.ones((n, beam), dtype=bool)
-    ids[:, 0], near[:, 0], done[:, 0] = entry, queries @ x[entry], False
+    """Nodes nearest to each query by inner product, best first (-1: none); with ``trail`` also the nodes it went through.
+
+    A beam is a sorted row of ``_keys``, and a query scores a node once; so a
+    step costs the nodes it scores and one sort of the beam for ``EXPAND`` expansions.
+    """
+    n, degree = len(queries), graph.shape[1]
+    state = np.full((n, beam), _NONE)
+    state[:, 0] = _keys(queries @ x[entry], np.full(n, entry))
+    met = np.full(n * len(x), -1, dtype=np.int32)  # the step's place at which a query met a node
+    met[np.arange(n) * len(x) + entry] = 0
     trails = []
     live = np.arange(n)
     while len(live):
-        at = np.argmin(done[live], axis=1)  # the nearest that is not yet expanded: the beam is sorted
-        node = ids[live, at]
-        done[live, at] = True
+        beams = state[live]
+        ready = (beams & 1) == 0
+        nth = np.cumsum(ready, axis=1, dtype=np.int32)
+        row, col = np.nonzero(ready & (nth <= EXPAND))  # the nearest that are not yet expanded
+        slot = nth[row, col] - 1
+        node = (beams[row, col] & 0xFFFFFFFF) >> 1
+        beams[row, col] |= 1
         if trail:
-            went = np.full(n, -1, dtype=np.int32)
-            went[live] = node
+            went = np.full((n, EXPAND), -1, dtype=np.int32)
+            went[live[row], slot] = node
             trails.append(went)
         out = graph[node]
-        fresh = (out >= 0) & ~(out[:, :, None] == ids[live][:, None, :]).any(axis=2)
-        score = np.einsum("brd,bd->br", x[np.maximum(out, 0)], queries[live], optimize=False)
-        score = np.where(fresh, score, -np.inf)
-        all_ids = np.concatenate([ids[live], np.where(fresh, out, -1)], axis=1)
-        all_near = np.concatenate([near[live], score], axis=1)
-        all_done = np.concatenate([done[live], ~fresh], axis=1)
-        order = np.argsort(-all_near, axis=1, kind="stable")[:, :beam]
-        ids[live] = np.take_along_axis(all_ids, order, axis=1)
-        near[live] = np.take_along_axis(all_near, order, axis=1)
-        done[live] = np.take_along_axis(all_done, order, axis=1)
-        live = live[~done[live].all(axis=1)]
+        pair, link = np.nonzero(out >= 0)
+        to = out[pair, link]
+        at = live[row[pair]] * len(x) + to
+        new = np.flatnonzero(met[at] < 0)
+        at = at[new]
+        place = np.arange(len(new), dtype=np.int32)
+        met[at] = place
+        once = met[at] == place  # two expanded nodes may link to one
+        new = new[once]
+        pair, link, to = pair[new], link[new], to[new]
+        fresh = np.full((len(live), EXPAND * degree), _NONE)
+        score = np.einsum("bd,bd->b", x[to], queries[live[row[pair]]], optimize=False)
+        fresh[row[pair], slot[pair] * degree + link] = _keys(score, to)
+        both = np.concatenate([beams, fresh], axis=1)
+        both.sort(axis=1)
+        state[live] = both[:, :beam]
+        live = live[((both[:, :beam] & 1) == 0).any(axis=1)]
+    ids = np.where(state == _NONE, -1, (state & 0xFFFFFFFF) >> 1).astype(np.int32)
     if trail:
-        return ids, np.concatenate([np.stack(trails, axis=1), ids], axis=1)
-    return ids, near
+        return ids, np.concatenate([*trails, ids], axis=1)
+    return ids
 
 
 def robust_prune(x: np.ndarray, nodes: np.ndarray, proposed: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """At most ``degree`` diverse neighbours of each node among its proposals (-1: no proposal)."""
-    n, width = proposed.shape
     order = np.sort(proposed, axis=1)
-    twice = np.zeros_like(order, dtype=bool)
-    twice[:, 1:] = order[:, 1:] == order[:, :-1]
-    valid = (order >= 0) & ~twice & (order != nodes[:, None])
+    order[:, 1:][order[:, 1:] == order[:, :-1]] = -1
+    order[order == nodes[:, None]] = -1
+    n, width = len(order), max(1, int((order >= 0).sum(axis=1).max(initial=0)))
+    order = np.sort(order, axis=1)[:, -width:]  # each proposal once
+    valid = order >= 0
     points = x[np.maximum(order, 0)]
     among = np.matmul(points, points.transpose(0, 2, 1))
     length = np.einsum("bwd,bwd->bw", points, points)
@@ -125,6 +152,11 @@ def robust_prune(x: np.ndarray, nodes: np.ndarray, proposed: np.ndarray, degree:
     return out
 
 
+def _side_by_side(nodes: int) -> int:
+    """Searches over so many nodes that are made at once."""
+    return max(1, min(STEP, MET_BYTES // (4 * max(1, nodes))))
+
+
 def build(vectors: np.ndarray) -> tuple[np.ndarray, int]:
     """(graph, entry node) of distinct vectors."""
     x = lifted(vectors)
@@ -137,8 +169,7 @@ def build(vectors: np.ndarray) -> tuple[np.ndarray, int]:
     at, size = 1, 1
     while at < n:
         batch = order[at : at + size]
-        for i in range(0, len(batch), STEP):
-            part = batch[i : i + STEP]
+        for part in np.split(batch, range(_side_by_side(n), len(batch), _side_by_side(n))):
             _, went = beam_search(x, graph, entry, x[part], BUILD_BEAM, trail=True)
             graph[part, :DEGREE] = robust_prune(x, part, went, DEGREE, ALPHA)
         _link_back(x, graph, batch)
@@ -248,8 +279,13 @@ def index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int
     return store(dealt.groupBy("dim", "shard").applyInPandas(_indexed, INDEX), "ann-index"), n_shards
 
 
-def _best(row, k: int):
-    """Each query's k best of one shard: rows (query id, ids, exact scores)."""
+def search_beam(n_shards: int, k: int) -> int:
+    """The beam of one shard's search: what it needs for any neighbour at all, and its share of what k need beyond that."""
+    return max(LEAST_BEAM + (SEARCH_BEAM - LEAST_BEAM) // n_shards, 2 * k)
+
+
+def _best(row, k: int, n_shards: int = 1):
+    """Each query's k best of one of ``n_shards`` shards: rows (query id, ids, exact scores)."""
     dim = row["dim"]
     ids, starts = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["starts"], dtype=np.int64)
     vectors = np.frombuffer(row["vectors"]).reshape(-1, dim)
@@ -257,13 +293,14 @@ def _best(row, k: int):
     listed = np.arange(len(graph), len(vectors))
     query_ids, queries = np.frombuffer(row["q_ids"], dtype=np.int64), np.frombuffer(row["q_vectors"]).reshape(-1, dim)
     x = scaled(vectors[: len(graph)]).astype(np.float32)
-    for i in range(0, len(queries), STEP):
-        q = queries[i : i + STEP]
+    step = _side_by_side(len(graph))
+    for i in range(0, len(queries), step):
+        q = queries[i : i + step]
         found = np.full((len(q), 0), -1)
         if len(graph):
             unit = q / np.abs(q).max(axis=1, keepdims=True)  # a query's own length does not change its order
-            found, _ = beam_search(x, graph, row["entry"], unit.astype(np.float32), max(SEARCH_BEAM, 2 * k))
-        for query_id, vector, nodes in zip(query_ids[i : i + STEP], q, found):
+            found = beam_search(x, graph, row["entry"], unit.astype(np.float32), search_beam(n_shards, k))
+        for query_id, vector, nodes in zip(query_ids[i : i + step], q, found):
             nodes = np.concatenate([nodes[nodes >= 0], listed])
             score = (vectors[nodes] * vector).sum(axis=1)
             size = np.minimum(starts[nodes + 1] - starts[nodes], k + 1)  # the smallest ids of a node are enough
@@ -286,7 +323,7 @@ def search(graphs: DataFrame, n_shards: int, queries: DataFrame, k: int = 20, bl
     def run(batches):
         for b in batches:
             for _, row in b.iterrows():
-                yield pd.DataFrame(list(_best(row, k)), columns=["query_id", "ids", "scores"])
+                yield pd.DataFrame(list(_best(row, k, n_shards)), columns=["query_id", "ids", "scores"])
 
     blocks = queries.withColumns({"dim": F.size("v"), "block": F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(n_blocks))})
     blocks = blocks.groupBy("dim", "block").applyInPandas(pack, "dim int, q_ids binary, q_vectors binary")

@@ -98,3 +98,42 @@ def test_every_node_is_reached():
                     seen.add(int(j))
                     todo.append(int(j))
         assert len(seen) == len(x)
+
+
+def test_a_search_scores_a_node_once_and_ranks_all(monkeypatch):
+    """A beam as wide as the graph ranks every node; no query scores a node twice, and half of the expansions share a sort."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 8))
+    graph, entry = ann.build(x)
+    scored = []
+    plain = ann._keys
+    monkeypatch.setattr(ann, "_keys", lambda near, ids: scored.append(len(ids)) or plain(near, ids))
+    points, queries = ann.scaled(x).astype(np.float32), rng.normal(size=(40, 8)).astype(np.float32)
+    found = ann.beam_search(points, graph, entry, queries, 600)
+    assert (np.sort(found, axis=1) == np.arange(600)).all()
+    near = np.take_along_axis(queries @ points.T, found, axis=1)
+    assert (np.diff(near, axis=1) <= 1e-6).all()
+    assert sum(scored) == 40 * 600 and len(scored) <= 300
+    few = ann.beam_search(points, graph, entry, queries, 1000)
+    assert (few[:, 600:] == -1).all() and (few[:, :600] == found).all()
+
+
+def test_recall_where_many_shards_have_narrower_beams():
+    """Vectors without clusters in six shards: each is searched for its share of the neighbours only."""
+    beams = [ann.search_beam(n, 20) for n in (1, 2, 6, 1000)]
+    assert beams[0] == ann.SEARCH_BEAM and beams == sorted(beams, reverse=True) and beams[-1] == ann.LEAST_BEAM
+    assert ann.search_beam(1000, 500) == 1000
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 32)).astype(np.float32).astype(float)
+    best = {}
+    for shard in range(6):
+        ids = np.arange(shard, 6000, 6)
+        row = ann._indexed(pd.DataFrame({"shard": shard, "vec_id": ids, "v": list(x[ids])})).iloc[0].to_dict()
+        row |= {"q_ids": np.arange(0, 6000, 60).tobytes(), "q_vectors": x[::60].tobytes()}
+        for query, who, scores in ann._best(row, 20, 6):
+            best.setdefault(query, []).extend(zip(scores, who))
+    found = 0
+    for query, pairs in best.items():
+        want = [i for i in np.lexsort((np.arange(6000), -(x @ x[query]))) if i != query][:20]
+        found += len({i for _, i in sorted(pairs, reverse=True)[:20]} & {*map(int, want)})
+    assert found >= 0.97 * 100 * 20, found / 2000
