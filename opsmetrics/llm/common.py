@@ -50,6 +50,16 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def evaluated_once(udf):
+    """``udf`` for a column that both a filter and what follows it read.
+
+    Spark pushes a filter on a deterministic UDF's column below it, and so
+    works the UDF out twice for each row, with two Python workers in every
+    task, all of which an executor then keeps.  This holds the filter above.
+    """
+    return udf.asNondeterministic()
+
+
 def store(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, store
+from .common import bounded_batches, evaluated_once, store
 
 WINDOW = 10
 PART_CHARS = 6 << 20  # characters of all windows behind one automaton: at most as many nodes, of some 80 bytes
@@ -180,7 +180,7 @@ def _hits_of(scanner: Scanner):
         rows = scanner.scan([None if t is None else bytes(t) for t in texts])
         return pd.DataFrame([([{"a": a, "b": b} for a, b in runs_of(hit)], sorted(ids, key=str)) for _, hit, ids in rows], columns=["runs", "items"])
 
-    return hits
+    return evaluated_once(hits)
 
 
 def _scan_parts(docs: DataFrame, pieces: DataFrame, n_parts: int, found: str, text: str) -> DataFrame:
@@ -248,7 +248,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int
             todo = [k for k, _ in found]
         return pd.Series([None if t is None else t.decode() for t in raw], dtype=object)
 
-    return docs.withColumn(text, cut(F.col(text).cast("binary")))
+    return docs.withColumn(text, evaluated_once(cut)(F.col(text).cast("binary")))
 
 
 def _clean_parts(docs: DataFrame, pieces: DataFrame, n_parts: int, text: str) -> DataFrame:

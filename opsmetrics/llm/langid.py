@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, bounded_sample, store
+from .common import bounded_batches, bounded_sample, evaluated_once, store
 
 SAMPLE_DOCS = 3000  # labelled documents of each language that are learned from, at most
 ORDERS = (2, 3, 4)
@@ -217,7 +217,7 @@ def predicted(text: Column, model: Filter, spark) -> Column:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([held.value.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return predict(text)
+    return evaluated_once(predict)(text)
 
 
 def identify(docs: DataFrame, model: Filter, out: str = "language") -> DataFrame:

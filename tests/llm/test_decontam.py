@@ -73,3 +73,17 @@ def test_long_text(spark):
     text = " ".join(f"w{i}" for i in range(60_000))
     got = _digest(spark, [text], [(9, " ".join(f"w{i}" for i in range(59_000, 59_030)))])
     assert got[0][:3] == (60_000, 30, 1)
+
+
+def test_filtered_scans_are_worked_out_once(spark):
+    """A second evaluation takes a second Python worker in every task."""
+    docs, items = _docs(spark, ["a b c", "x a b y", None, "z"]), _items(spark, [(1, "a b")])
+    runs = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython")
+    cut = decontam.clean(docs.withColumn("was", docs["text"]), items, window=2).filter("not (text <=> was)")
+    assert runs(cut) == 1
+    assert sorted((r["doc_id"], r["text"].split()) for r in cut.collect()) == [(0, ["c"]), (1, ["x", "y"])]
+    pieces, _ = decontam._pieces(items, 2, 100)
+    find = decontam._hits_of(decontam._scanner(pieces, 0))
+    hits = docs.select("doc_id", find(docs["text"].cast("binary")).alias("h")).where("size(h.runs) > 0").select("doc_id", "h.*")
+    assert runs(hits) == 1
+    assert sorted((r["doc_id"], r["items"]) for r in hits.collect()) == [(0, ["1"]), (1, ["1"])]

@@ -113,3 +113,13 @@ def test_low_scores_equal_percentiles(spark, monkeypatch):
             got = langid.low_scores(scored, share)
             assert got == pytest.approx({lang: np.percentile([s for was, s in rows if was == lang], 100 * share) for lang in ("aa", "bb", "cc", "dd")})
     assert langid.low_scores(scored.limit(0)) == {}
+
+
+def test_a_filtered_prediction_is_worked_out_once(spark):
+    """A second evaluation takes a second Python worker in every task."""
+    rnd = random.Random(12)
+    model = langid.fit(spark.createDataFrame(_rows(rnd, 60), DOC))
+    rows = _rows(rnd, 40)
+    reached = langid.identify(spark.createDataFrame(rows, DOC), model).filter("language.lang_pred = lang").select("doc_id", "language.score")
+    assert reached._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {tuple(r) for r in reached.collect()} == {(i, s) for i, t, was, _, _ in rows for lang, s in [model.predict(t)] if lang == was}
