@@ -14,9 +14,10 @@ mapping in ``sources.testdata``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.windows import DAY
@@ -138,23 +139,46 @@ def parts_for(rows: int) -> int:
     return max(1, min(FEW, -(-rows // PART_ROWS)), -(-rows // MOST_PART_ROWS))
 
 
-def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite") -> None:
-    """Write a role table in its layout (``ROLE_LAYOUT``).
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """What is written inside has its shuffle files removed when it is done, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
+def laid_out(df: DataFrame, role: str, made: dict[str, Column] | None = None) -> DataFrame:
+    """The role's rows in its layout (``ROLE_LAYOUT``), ``DAY`` last where it is laid out by day.
 
     Rows are dealt by ranges of the layout's order into parts of even row
     counts, so a part's sort stays in memory however large the table or one
     folder of it is.  A hash of the row stands last in the ranges: a stamp
     that many rows share is split too.
+
+    With ``made``, ``df`` is a source and ``made`` has the role's columns
+    over it, one row for each of its rows: the source's columns are dealt
+    and sorted, and the role's, which are wider, are made as they are written.
     """
     parts, order = ROLE_LAYOUT[role]
-    if DAY in parts:
-        df = df.withColumn(DAY, F.to_date(order[0]))
-    out = df.repartitionByRange(parts_for(df.count()), *parts, *order, F.xxhash64(*df.columns))
-    out = out.sortWithinPartitions(*parts, *order)
-    w = out.write.mode(mode)
-    if parts:
-        w = w.partitionBy(*parts)
-    w.parquet(path)
+    made = made or {c: F.col(c) for c in df.columns}
+    columns = made | ({DAY: F.to_date(made[order[0]])} if DAY in parts else {})
+    place = {c: f"{c} in the layout" for c in (*parts, *order)}
+    dealt = df.repartitionByRange(parts_for(df.count()), *[columns[c] for c in place], F.xxhash64(*made.values()))
+    dealt = dealt.withColumns({name: columns[c] for c, name in place.items()}).sortWithinPartitions(*place.values())
+    return dealt.select(*[(F.col(place[c]) if c in place else column).alias(c) for c, column in columns.items()])
+
+
+def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite", made: dict[str, Column] | None = None) -> None:
+    """Write a role table in its layout (``laid_out``)."""
+    w = laid_out(df, role, made).write.mode(mode).option("compression", "zstd")
+    if ROLE_LAYOUT[role][0]:
+        w = w.partitionBy(*ROLE_LAYOUT[role][0])
+    with shuffles_removed(df.sparkSession):
+        w.parquet(path)
 
 
 @dataclass(frozen=True)

@@ -19,7 +19,7 @@ from __future__ import annotations
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -164,31 +164,38 @@ GRC_PD = [
 ]
 
 
-def _select(exprs: list[str]):
-    return lambda df: df.selectExpr(*exprs)
-
-
-def _grc_i(customer: DataFrame) -> DataFrame:
-    return customer.where("c_custkey % 9 <> 0").selectExpr("c_custkey AS referenceid")
-
+GRC_I = ["c_custkey AS referenceid"]
 
 _BUILDERS = {
-    "items": ("lineitem", _select(ITEMS)),
-    "tasks": ("orders", _select(TASKS)),
-    "worklog": ("events", _select(WORKLOG)),
-    "productdetails": ("part", _select(PRODUCTDETAILS)),
-    "ordermaster": ("orders", _select(ORDERMASTER)),
-    "grc_g": ("lineitem", _select(GRC_G)),
-    "grc_m": ("orders", _select(GRC_M)),
-    "grc_i": ("customer", _grc_i),
-    "grc_v": ("supplier", _select(GRC_V)),
-    "grc_pd": ("orders", _select(GRC_PD)),
+    "items": ("lineitem", ITEMS),
+    "tasks": ("orders", TASKS),
+    "worklog": ("events", WORKLOG),
+    "productdetails": ("part", PRODUCTDETAILS),
+    "ordermaster": ("orders", ORDERMASTER),
+    "grc_g": ("lineitem", GRC_G),
+    "grc_m": ("orders", GRC_M),
+    "grc_i": ("customer", GRC_I),
+    "grc_v": ("supplier", GRC_V),
+    "grc_pd": ("orders", GRC_PD),
 }
+_ROWS = {"grc_i": "c_custkey % 9 <> 0"}  # the source's rows that a role has, if not all
+
+
+def _source(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{_BUILDERS[role][0]}.parquet")
+    return df.where(_ROWS[role]) if role in _ROWS else df
 
 
 def role_frame(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
-    table, fn = _BUILDERS[role]
-    return fn(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
+    return _source(spark, sf_dir, role).selectExpr(*_BUILDERS[role][1])
+
+
+def made_of(role: str) -> dict[str, Column] | None:
+    """The role's columns over its source, by name; None where a source row makes several rows."""
+    exprs = _BUILDERS[role][1]
+    if any(e.startswith(("inline(", "explode(")) for e in exprs):
+        return None
+    return {e.rsplit(" AS ", 1)[1]: F.expr(e.rsplit(" AS ", 1)[0]) for e in exprs}
 
 
 # (application, folder, role) -> (state of the source table, stored role)
@@ -231,7 +238,8 @@ def testdata_roles(spark: SparkSession, sf_dir: str) -> Roles:
             if known and known[0] == state:
                 return known[1]
             target = f"{checkpoint_dir(spark).rstrip('/')}/roles-{uuid.uuid4().hex}"
-            store_role(role_frame(spark, base, role), f"{target}/{role}", role)
+            made = made_of(role)
+            store_role(_source(spark, base, role) if made else role_frame(spark, base, role), f"{target}/{role}", role, made=made)
             _STAGED[key] = (state, getattr(parquet_roles(spark, target), role))
             return _STAGED[key][1]
 
