@@ -141,7 +141,7 @@ def parts_for(rows: int) -> int:
 
 @contextmanager
 def shuffles_removed(spark: SparkSession):
-    """What is written inside has its shuffle files removed when it is done, not when the driver happens to collect its garbage."""
+    """What is run inside has its shuffle files removed when it is done, not when the driver happens to collect its garbage."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     was = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
@@ -174,10 +174,10 @@ def laid_out(df: DataFrame, role: str, made: dict[str, Column] | None = None) ->
 
 def store_role(df: DataFrame, path: str, role: str, mode: str = "overwrite", made: dict[str, Column] | None = None) -> None:
     """Write a role table in its layout (``laid_out``)."""
-    w = laid_out(df, role, made).write.mode(mode).option("compression", "zstd")
-    if ROLE_LAYOUT[role][0]:
-        w = w.partitionBy(*ROLE_LAYOUT[role][0])
     with shuffles_removed(df.sparkSession):
+        w = laid_out(df, role, made).write.mode(mode).option("compression", "zstd")
+        if ROLE_LAYOUT[role][0]:
+            w = w.partitionBy(*ROLE_LAYOUT[role][0])
         w.parquet(path)
 
 
